@@ -1,0 +1,6 @@
+"""Intentionally empty: the workload is batch only.
+
+No source, window or operator of the covered feature set is incremental; the
+daily table is rebuilt from the fact.  The package exists so that a future
+incremental load has a home.
+"""
