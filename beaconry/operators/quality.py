@@ -95,12 +95,11 @@ def reconcile(a: DataFrame, b: DataFrame, by: str) -> DataFrame:
 
 
 def columns_report(df: DataFrame, required) -> DataFrame:
-    """Required columns against the schema; data is not read."""
-    spark = df.sparkSession
+    """Required columns: present or not, and how many rows hold a value."""
     have = set(df.columns)
-    rows = [(c, c in have) for c in required]
-    return spark.createDataFrame(rows, "column_name string, is_present boolean").withColumn(
-        "status", F.when(F.col("is_present"), "PASS").otherwise("FAIL"))
+    one = df.agg(*[(F.count(c) if c in have else F.lit(None).cast("long")).alias(c) for c in required], F.count("*").alias("_all"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(c in have).alias("is_present"), F.col(c).alias("filled_rows")) for c in required])
+    return one.select(F.inline(pairs)).withColumn("status", F.when(F.col("is_present"), "PASS").otherwise("FAIL"))
 
 
 def one_to_one(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -109,6 +108,62 @@ def one_to_one(df: DataFrame, a: str, b: str) -> DataFrame:
         "status", F.when(F.col("value_count") == 1, "PASS").otherwise("FAIL"))
 
 
+def mapping_integrity(mapping: DataFrame, code: str, text: str) -> DataFrame:
+    """Codes unique and non-blank, texts non-blank."""
+    c = X.blank_to_null(F.upper(code))
+    per_code = mapping.groupBy(c.alias("c")).agg(F.count("*").alias("n"), F.count_if(X.blank_to_null(text).isNull()).alias("t"))
+    one = per_code.agg(F.sum("n").alias("mapping_rows"), F.count("c").alias("distinct_codes"),
+                       F.coalesce(F.sum(F.when(F.col("c").isNull(), F.col("n"))), F.lit(0)).alias("missing_codes"), F.sum("t").alias("missing_texts"))
+    bad = F.col("mapping_rows") - F.col("distinct_codes") + F.col("missing_texts")
+    return one.withColumn("status", status_of(bad))
+
+
+def description_reconciliation(dim: DataFrame, code: str, text: str, unknown_text: str = "UNKNOWN CALL TYPE",
+                               undocumented_text: str = "UNDOCUMENTED CALL TYPE") -> DataFrame:
+    """Documented, undocumented and unknown members add up, no description is missing."""
+    t, is_unknown = F.col(text), F.col(code) == X.UNKNOWN
+    one = dim.agg(
+        F.count("*").alias("dimension_rows"), F.count_if(~t.isin(unknown_text, undocumented_text)).alias("documented_rows"),
+        F.count_if(t == undocumented_text).alias("undocumented_rows"), F.count_if(t == unknown_text).alias("unknown_rows"),
+        F.count_if(X.blank_to_null(t).isNull()).alias("missing_descriptions"), F.count_if(is_unknown != (t == unknown_text)).alias("invalid_unknown"))
+    gap = F.col("dimension_rows") - F.col("documented_rows") - F.col("undocumented_rows") - F.col("unknown_rows")
+    return one.withColumn("status", status_of(F.abs(gap) + F.col("missing_descriptions") + F.col("invalid_unknown")))
+
+
+def mapping_status_checks() -> dict[str, Column]:
+    status = F.col("mapping_status")
+    return {
+        "undocumented_defaults": (status == "Undocumented") & ((F.col("disposition_description") != "undocumented code") | (F.col("disposition_category") != "Undocumented")),
+        "status_against_documented": (status == "Documented") != F.col("is_documented_code"),
+        "status_against_unknown": (status == "Unknown") != F.col("is_unknown"),
+    }
+
+
+def codes_kept(source: DataFrame, source_code: str, dim: DataFrame, dim_code: str) -> DataFrame:
+    """Distinct source codes, members, and source codes without a member."""
+    codes = source.select(F.col(source_code).alias("c")).distinct()
+    tagged = codes.join(dim.select(F.col(dim_code).alias("c"), F.lit(1).alias("kept")), "c", "left")
+    one = tagged.agg(F.count("*").alias("source_codes"), F.count("kept").alias("dimension_codes"), F.count_if(F.col("kept").isNull()).alias("lost_codes"))
+    return one.withColumn("status", status_of(F.col("lost_codes")))
+
+
+def grain_unique(df: DataFrame, grain) -> DataFrame:
+    """Groups of the grain that hold several rows, and the rows in excess."""
+    d = duplicate_keys(df, grain).agg(F.count("*").alias("duplicate_grain_groups"), F.coalesce(F.sum(F.col("row_count") - 1), F.lit(0)).alias("duplicate_excess_rows"))
+    return d.withColumn("status", status_of(F.col("duplicate_grain_groups")))
+
+
+def totals_agree(daily: DataFrame, fact: DataFrame) -> DataFrame:
+    """Sum of daily incidents against the number of fact rows."""
+    one = daily.agg(F.sum("total_incidents").alias("daily_total")).withColumn("fact_total", fact.agg(F.count("*")).scalar())
+    return one.withColumn("difference", F.col("daily_total") - F.col("fact_total")).withColumn("status", status_of(F.col("difference")))
+
+
+def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per table with its number of rows."""
+    return all_checks([df.agg(F.count("*").alias("row_count")).select(F.lit(t).alias("table_name"), "row_count") for t, df in tables.items()])
+
+
 # --- recomputation of the daily table's derived columns ----------------------
 
 def _off(a, b) -> Column:
