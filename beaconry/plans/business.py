@@ -515,9 +515,10 @@ TRAIN_END = 1999 * 12 + 11
 
 @query("b41_forecast_error", "initial_severity_level_code:i months:i mae:f4 rmse:f4 mape:f4",
        f"""WITH {forecast_sql(_counts_sql('initial_severity_level_code', TRAIN_END), 'initial_severity_level_code')},
-       act AS (SELECT initial_severity_level_code, {_MI} AS m, COUNT(*) AS y FROM od GROUP BY ALL),
-       e AS (SELECT initial_severity_level_code, y, y - forecast AS e FROM act JOIN fc USING (initial_severity_level_code, m))
-       SELECT initial_severity_level_code, COUNT(*) AS months, AVG(abs(e)) AS mae, sqrt(AVG(e * e)) AS rmse, AVG(abs(e / y)) * 100 AS mape FROM e GROUP BY 1""")
+       act AS (SELECT initial_severity_level_code, {_MI} AS m, COUNT(*) AS y FROM od WHERE {_MI} <= {LAST_FULL} GROUP BY ALL),
+       e AS (SELECT initial_severity_level_code, COALESCE(y, 0) AS y, COALESCE(y, 0) - forecast AS e
+       FROM fc LEFT JOIN act USING (initial_severity_level_code, m) WHERE m <= {LAST_FULL})
+       SELECT initial_severity_level_code, COUNT(*) AS months, AVG(abs(e)) AS mae, sqrt(AVG(e * e)) AS rmse, AVG(abs(e / NULLIF(y, 0))) * 100 AS mape FROM e GROUP BY 1""")
 def forecast_error(spark, folder):
     seg = ["initial_severity_level_code"]
     o = A.orders(spark, folder)

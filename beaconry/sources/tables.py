@@ -20,18 +20,21 @@ def number_range(spark: SparkSession, lo: int, hi: int, name: str) -> DataFrame:
     return spark.range(lo, hi).select(F.col("id").cast("int").alias(name))
 
 
-def overwrite(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+def overwrite(df: DataFrame, path: str, partition_by: str | None = None, rebalance: bool = True) -> None:
     """Replace a table, optionally one folder per partition value.
 
-    Rows are first rebalanced by the partition column: each folder gets files of
-    the advisory size, and a value that holds a large share of the rows is split
-    over several tasks instead of landing in one.
+    Rows that come in any order are first rebalanced by the partition column:
+    each folder gets files of the advisory size, and a value that holds a large
+    share of the rows is split over several tasks instead of landing in one.
+    Pass ``rebalance=False`` when the input already lies in the same folders, so
+    that no shuffle of the whole table is paid for.
     """
-    if partition_by:
-        df = df.hint("rebalance", F.col(partition_by))
-        df.write.mode("overwrite").partitionBy(partition_by).parquet(path)
-    else:
+    if not partition_by:
         df.write.mode("overwrite").parquet(path)
+        return
+    if rebalance:
+        df = df.hint("rebalance", F.col(partition_by))
+    df.write.mode("overwrite").partitionBy(partition_by).parquet(path)
 
 
 def append(df: DataFrame, path: str) -> None:
