@@ -24,22 +24,25 @@ def share_pct(n, total) -> Column:
 
 def share_of(grouped: DataFrame, n: str = "total_incidents", within=(), name: str = "incident_percentage",
              total: str | None = None) -> DataFrame:
-    """Share of each row in the total of its parent group (or of everything)."""
+    """Share of each row in the total of its parent group, or of everything.
+
+    The total is a window over the aggregated rows.  A self join or a scalar
+    sub-query would state the same, but Spark then plans the scan and the
+    aggregation under it a second time.
+    """
     t = F.sum(n).over(Window.partitionBy(*within))
     out = grouped.withColumn(name, F.try_divide(F.col(n) * 100.0, t))
     return out.withColumn(total, t) if total else out
 
 
-def share_of_all(grouped: DataFrame, n: str = "total_incidents", name: str = "incident_percentage") -> DataFrame:
-    """Share of the grand total, the total read as a scalar sub-query."""
-    return grouped.withColumn(name, F.try_divide(F.col(n) * 100.0, grouped.agg(F.sum(n)).scalar()))
+def role_counts(df: DataFrame, roles: dict[str, str], code: str) -> DataFrame:
+    """Rows per code in each of several roles, from one scan.
 
-
-def share_of_parent(grouped: DataFrame, parent, n: str = "total_incidents", total: str = "parent_incidents",
-                    name: str = "parent_percentage") -> DataFrame:
-    """Share of the parent group's total by joining the parent's own aggregate."""
-    totals = grouped.groupBy(*parent).agg(F.sum(n).alias(total))
-    return grouped.join(totals, list(parent)).withColumn(name, share_pct(n, total))
+    Equals a full outer join of one count per role, codes missing in a role
+    counting zero, without reading the rows once per role.
+    """
+    pairs = F.array(*[F.struct(F.col(c).alias(code), F.lit(r).alias("_role")) for r, c in roles.items()])
+    return df.select(F.inline(pairs)).groupBy(code).agg(*[F.count_if(F.col("_role") == r).alias(r) for r in roles])
 
 
 def rank_within(df: DataFrame, by, within=(), name: str = "rank", dense: bool = False) -> DataFrame:
@@ -69,12 +72,12 @@ def transition_matrix(df: DataFrame, a: str, b: str, changed: str, top: int | No
 
     ``top`` keeps the largest transitions, ties broken by the two codes.
     """
-    pairs = df.filter(F.col(changed)).groupBy(a, b).agg(F.count("*").alias("transition_incidents"))
-    out = share_of_parent(pairs, [a], "transition_incidents", "initial_changed_incidents", "percentage_within_initial_changes")
-    out = out.withColumn("percentage_of_all_changes",
-                         F.try_divide(F.col("transition_incidents") * 100.0, pairs.agg(F.sum("transition_incidents")).scalar()))
-    out = rank_within(out, "transition_incidents", [a], "transition_rank_within_initial")
-    return top_n(out, [F.col("transition_incidents").desc(), a, b], top) if top else out
+    n = "transition_incidents"
+    out = df.filter(F.col(changed)).groupBy(a, b).agg(F.count("*").alias(n))
+    out = share_of(out, n, [a], "percentage_within_initial_changes", total="initial_changed_incidents")
+    out = share_of(out, n, name="percentage_of_all_changes")
+    out = rank_within(out, n, [a], "transition_rank_within_initial")
+    return top_n(out, [F.col(n).desc(), a, b], top) if top else out
 
 
 def change_rate(df: DataFrame, group: str, changed: str, min_n: int = 0) -> DataFrame:
@@ -130,10 +133,12 @@ def high_demand_slow(g: DataFrame, flag: str, rule: str = "mean", demand: str =
     """Flag groups that are both busy and slow against the mean of the groups.
 
     ``mean``: demand above the mean demand.  ``p75``: demand at or above its
-    interpolated 75th percentile.  Benchmarks are one-row scalar sub-queries.
+    interpolated 75th percentile.  The benchmarks are windows over the grouped
+    rows (months, days or hours), so the incidents are read once.
     """
+    all_groups = Window.partitionBy()
     level = F.avg(demand) if rule == "mean" else F.percentile(demand, 0.75)
-    out = g.withColumns({"demand_benchmark": g.agg(level).scalar(), "response_benchmark": g.agg(F.avg(response)).scalar()})
+    out = g.withColumns({"demand_benchmark": level.over(all_groups), "response_benchmark": F.avg(response).over(all_groups)})
     d, r = F.col(demand), F.col(response)
     busy = d > F.col("demand_benchmark") if rule == "mean" else d >= F.col("demand_benchmark")
     return out.withColumn(flag, F.when(busy & (r > F.col("response_benchmark")), 1).otherwise(0))

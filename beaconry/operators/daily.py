@@ -134,15 +134,23 @@ def daily_table(fact: DataFrame, grain=GRAIN, group=LIMIT_GROUP, **limits) -> Da
     return control_limits(derived_metrics(daily_performance(fact, grain)), group, **limits)
 
 
+def _limit_columns(k: float, warn_k: float) -> dict[str, Column]:
+    c, sd, enough = F.col("center_line"), F.col("sd"), F.col("days") >= 2
+    return {"upper_control_limit": F.when(enough, c + k * sd), "lower_control_limit": F.when(enough, X.at_least_zero(c - k * sd)),
+            "upper_warning_limit": F.when(enough, c + warn_k * sd), "lower_warning_limit": F.when(enough, X.at_least_zero(c - warn_k * sd))}
+
+
 def period_limits(daily: DataFrame, value: str, k: float = 3.0, warn_k: float = 2.0) -> DataFrame:
     """Control limits of a selected period: mean of daily values +- k sd.
 
     Limits need at least two days; the lower ones stop at zero.
     """
-    v = F.col(value)
-    s = daily.agg(F.count(v).alias("days"), F.avg(v).alias("center_line"), F.stddev_pop(v).alias("sd"))
-    enough = F.col("days") >= 2
-    up = lambda m: F.when(enough, F.col("center_line") + m * F.col("sd"))
-    lo = lambda m: F.when(enough, X.at_least_zero(F.col("center_line") - m * F.col("sd")))
-    return s.select("days", "center_line", "sd", up(k).alias("upper_control_limit"), lo(k).alias("lower_control_limit"),
-                    up(warn_k).alias("upper_warning_limit"), lo(warn_k).alias("lower_warning_limit"))
+    s = daily.agg(F.count(value).alias("days"), F.avg(value).alias("center_line"), F.stddev_pop(value).alias("sd"))
+    return s.withColumns(_limit_columns(k, warn_k))
+
+
+def control_chart(daily: DataFrame, value: str, k: float = 3.0, warn_k: float = 2.0) -> DataFrame:
+    """The daily series with the limits of the whole period on every row."""
+    w = Window.partitionBy()
+    s = daily.withColumns({"days": F.count(value).over(w), "center_line": F.avg(value).over(w), "sd": F.stddev_pop(value).over(w)})
+    return s.withColumns(_limit_columns(k, warn_k))

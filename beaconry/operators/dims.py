@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from beaconry.functions import exprs as X
 from beaconry.session import pin
+from beaconry.sources.tables import literal_table
 
 # Disposition codes with their description and category.
 DISPOSITIONS = [
@@ -181,7 +182,7 @@ def category_sort(category) -> Column:
 
 
 def disposition_mapping(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DISPOSITIONS, "disposition_code string, disposition_description string, disposition_category string")
+    return literal_table(spark, DISPOSITIONS, "disposition_code string, disposition_description string, disposition_category string")
 
 
 def mapping_coverage(dim: DataFrame, text: str, unknown_text: str = "UNKNOWN CALL TYPE",

@@ -9,7 +9,7 @@ aggregation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Normal quantiles for the common confidence levels.
@@ -26,19 +26,18 @@ def monthly_counts(df: DataFrame, date: str, segment=(), last_complete: Column |
     """Rows per month and segment with empty months filled by zero.
 
     Months run from the first to the last month of the whole series, or to
-    ``last_complete`` (a month index) to leave out a partial last month.
+    ``last_complete`` (a month index) to leave out a partial last month.  After
+    the one aggregation only months are left, so a segment's counts travel as a
+    small map and the gaps are filled without reading the rows again.
     """
     g = df.groupBy(*segment, month_index(date).alias("m")).agg(F.count("*").alias("y"))
     if last_complete is not None:
         g = g.filter(F.col("m") <= last_complete)
-    ends = g.agg(F.min("m").alias("lo"), F.max("m").alias("hi"))
-    if not segment:
-        months = ends.select(F.explode(F.sequence("lo", "hi")).alias("m"))
-        return months.join(g, "m", "left").select("m", F.coalesce("y", F.lit(0)).alias("y"))
-    frame = g.select(*segment).distinct().withColumns({
-        "lo": ends.select("lo").scalar(), "hi": ends.select("hi").scalar()})
-    months = frame.select(*segment, F.explode(F.sequence("lo", "hi")).alias("m"))
-    return months.join(g, [*segment, "m"], "left").select(*segment, "m", F.coalesce("y", F.lit(0)).alias("y"))
+    all_rows = Window.partitionBy()
+    g = g.withColumns({"lo": F.min("m").over(all_rows), "hi": F.max("m").over(all_rows)})
+    per_segment = g.groupBy(*segment, "lo", "hi").agg(F.map_from_entries(F.collect_list(F.struct("m", "y"))).alias("seen"))
+    months = per_segment.select(*segment, "seen", F.explode(F.sequence("lo", "hi")).alias("m"))
+    return months.select(*segment, "m", F.coalesce(F.try_element_at("seen", F.col("m")), F.lit(0)).alias("y"))
 
 
 def monthly_means(df: DataFrame, date: str, value: str, segment=()) -> DataFrame:
@@ -47,41 +46,37 @@ def monthly_means(df: DataFrame, date: str, value: str, segment=()) -> DataFrame
     return g.filter(F.col("n") > 0).select(*segment, "m", (F.col("s") / F.col("n")).alias("y"))
 
 
-def fit_trend(monthly: DataFrame, segment=()) -> DataFrame:
-    """Slope, intercept, number of months and last month per segment."""
-    y, m = F.col("y").cast("double"), F.col("m").cast("double")
-    return monthly.groupBy(*segment).agg(
-        F.regr_slope(y, m).alias("slope"), F.regr_intercept(y, m).alias("intercept"),
-        F.count("*").alias("n"), F.max("m").alias("last_m"))
-
+def decompose(monthly: DataFrame, segment=(), season: int = 12) -> DataFrame:
+    """Monthly rows with trend (``slope``, ``intercept``), ``seasonal`` part and ``rest``.
 
-def _with(left: DataFrame, right: DataFrame, keys) -> DataFrame:
-    """Attach per-segment rows; without segments the right side is a single row."""
-    if keys:
-        return left.join(right, list(keys))
-    one = right.select(F.struct(*right.columns).alias("_r"))
-    return left.withColumn("_r", one.scalar()).select("*", "_r.*").drop("_r")
+    The trend is a least-squares line per segment, the seasonal part the mean
+    deviation of each calendar month.  All of it is windows over months.
+    """
+    w = Window.partitionBy(*segment)
+    y, m = F.col("y").cast("double"), F.col("m").cast("double")
+    out = monthly.withColumns({"slope": F.regr_slope(y, m).over(w), "intercept": F.regr_intercept(y, m).over(w), "phase": F.col("m") % season})
+    out = out.withColumn("deviation", y - (F.col("intercept") + F.col("slope") * F.col("m")))
+    out = out.withColumn("seasonal", F.avg("deviation").over(Window.partitionBy(*segment, "phase")))
+    return out.withColumn("rest", F.col("deviation") - F.col("seasonal"))
 
 
 def forecast(monthly: DataFrame, segment=(), horizon: int = 12, season: int = 12, level: float = 0.95) -> DataFrame:
-    """Point forecast and band for the next ``horizon`` months of each segment."""
+    """Point forecast and band for the next ``horizon`` months of each segment.
+
+    The band is ``z * sd * sqrt(1 + h / n)`` around the point forecast, with the
+    population sd of what trend and season leave unexplained.
+    """
     seg = list(segment)
-    trend = fit_trend(monthly, seg)
-    line = F.col("intercept") + F.col("slope") * F.col("m")
-    fitted = _with(monthly, trend, seg).withColumns({"resid": F.col("y") - line, "phase": F.col("m") % season})
-    seasonal = fitted.groupBy(*seg, "phase").agg(F.avg("resid").alias("seasonal"), F.count("*").alias("c"),
-                                                 F.sum(F.col("resid") * F.col("resid")).alias("ss"))
-    # Residual spread around trend plus season: sum of squares minus c * mean^2 per phase.
-    spread = seasonal.groupBy(*seg).agg(
-        F.sqrt(F.greatest(F.lit(0.0), F.sum(F.col("ss") - F.col("c") * F.col("seasonal") * F.col("seasonal")) / F.sum("c"))).alias("sd"))
-    ahead = (trend.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-             .withColumn("m", F.col("last_m") + F.col("h")).withColumn("phase", F.col("m") % season))
-    out = ahead.join(seasonal.select(*seg, "phase", "seasonal"), [*seg, "phase"], "left")
-    out = _with(out, spread, seg)
-    point = line + F.coalesce("seasonal", F.lit(0.0))
+    fit = decompose(monthly, seg, season).groupBy(*seg).agg(
+        F.any_value("slope").alias("slope"), F.any_value("intercept").alias("intercept"), F.count("*").alias("n"), F.max("m").alias("last_m"),
+        F.sqrt(F.avg(F.col("rest") * F.col("rest"))).alias("sd"),
+        F.map_from_entries(F.collect_set(F.struct("phase", "seasonal"))).alias("seasons"))
+    ahead = fit.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(horizon)))).withColumn("m", F.col("last_m") + F.col("h"))
+    point = (F.col("intercept") + F.col("slope") * F.col("m")
+             + F.coalesce(F.try_element_at("seasons", F.col("m") % season), F.lit(0.0)))
     half = Z[level] * F.col("sd") * F.sqrt(1 + F.col("h") / F.col("n"))
-    return out.select(*seg, "h", F.floor(F.col("m") / 12).cast("int").alias("year"), (F.col("m") % 12 + 1).cast("int").alias("month"),
-                      "m", point.alias("forecast"), (point - half).alias("lower"), (point + half).alias("upper"))
+    return ahead.select(*seg, "h", F.floor(F.col("m") / 12).cast("int").alias("year"), (F.col("m") % 12 + 1).cast("int").alias("month"),
+                        "m", point.alias("forecast"), (point - half).alias("lower"), (point + half).alias("upper"))
 
 
 def forecast_error(actual: DataFrame, predicted: DataFrame, segment=()) -> DataFrame:

@@ -112,10 +112,11 @@ def share_removing(df: DataFrame, member: str, others=(), name: str = "incident_
 def previous_year(df: DataFrame, year: str, value: str = "total_incidents") -> DataFrame:
     """Value of exactly the year before; a missing year stays blank.
 
-    Unlike a lag over rows, a gap in the years is not bridged.
+    Unlike a plain lag, a gap in the years is not bridged.
     """
-    prev = df.select((F.col(year) + 1).alias(year), F.col(value).alias("previous_year"))
-    out = df.join(prev, year, "left").withColumn("yoy_change", F.col(value) - F.col("previous_year"))
+    w = Window.orderBy(year)
+    prev = F.when(F.lag(year).over(w) == F.col(year) - 1, F.lag(value).over(w))
+    out = df.withColumn("previous_year", prev).withColumn("yoy_change", F.col(value) - F.col("previous_year"))
     return out.withColumn("yoy_percentage", F.try_divide(F.col("yoy_change").cast("double"), F.col("previous_year").cast("double")))
 
 

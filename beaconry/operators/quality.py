@@ -73,16 +73,16 @@ def count_orphaned_keys(fact: DataFrame, lookups) -> DataFrame:
 def orphans_in_one_pass(fact: DataFrame, lookups) -> DataFrame:
     """Orphan rows for all lookups by left joins and one aggregation.
 
-    The fact is first reduced to its distinct key combinations with row counts,
-    so the joins run on combinations and not on incidents.
+    Only key columns are read.  Dimension keys are made distinct so that no
+    join can multiply rows; small dimensions are broadcast by their size and
+    the fact is not shuffled for them.
     """
     keys = [fk for fk, _, _ in lookups]
-    out = fact.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    out = fact.select(*dict.fromkeys(keys))
     for i, (fk, dim, dk) in enumerate(lookups):
-        side = dim.select(F.col(dk).alias(f"_k{i}"))
+        side = dim.select(F.col(dk).alias(f"_k{i}")).filter(F.col(f"_k{i}").isNotNull()).distinct()
         out = out.join(side, F.col(fk) == F.col(f"_k{i}"), "left")
-    one = out.agg(*[F.sum(F.when(F.col(f"_k{i}").isNull() & F.col(fk).isNotNull(), F.col("_rows")).otherwise(0)).alias(fk)
-                    for i, (fk, _, _) in enumerate(lookups)])
+    one = out.agg(*[F.count_if(F.col(f"_k{i}").isNull() & F.col(fk).isNotNull()).alias(fk) for i, fk in enumerate(keys)])
     return as_rows(one, "fact", keys)
 
 
@@ -280,22 +280,24 @@ def daily_checks() -> dict[str, dict[str, Column]]:
             "limits": limit_checks(), "anomalies": anomaly_checks()}
 
 
-def audit_record(daily: DataFrame, fact_rows: DataFrame, run_id: str, grain=('incident_date', *DY.LIMIT_GROUP)) -> DataFrame:
+def audit_record(daily: DataFrame, fact_rows: DataFrame, run_id: str, grain=("incident_date", *DY.LIMIT_GROUP)) -> DataFrame:
     """One audit row: counts, a pass flag per theme and the overall verdict.
 
-    ``fact_rows`` is a one-row frame with the expected incident count.  All
-    flags come from one aggregation over the daily table.
+    ``fact_rows`` is a one-row frame with the expected incident count.  Rows are
+    grouped by the grain first, so duplicates and all theme flags come out of
+    one pass over the daily table.
     """
     themes = daily_checks()
-    per_grain = daily.groupBy(*grain).agg(F.count("*").alias("n")).filter(F.col("n") > 1).agg(F.count("*").alias("d"))
-    one = daily.agg(
-        F.count("*").alias("daily_rows"), F.sum("total_incidents").alias("daily_incidents"),
-        X.n_if(F.col("is_reportable_response_anomaly")).alias("reportable_anomalies"),
-        *[(F.count_if(reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in checks.values()])) == 0).alias(f"{t}_passed")
-          for t, checks in themes.items()])
-    out = one.withColumns({"fact_incidents": fact_rows.scalar(), "duplicate_grains": per_grain.scalar()})
+    issues = {t: F.count_if(reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in checks.values()])) for t, checks in themes.items()}
+    per_grain = daily.groupBy(*grain).agg(
+        F.count("*").alias("n"), F.sum("total_incidents").alias("incidents"), X.n_if(F.col("is_reportable_response_anomaly")).alias("reportable"),
+        *[c.alias(t) for t, c in issues.items()])
+    one = per_grain.agg(
+        F.sum("n").alias("daily_rows"), F.sum("incidents").alias("daily_incidents"), F.sum("reportable").alias("reportable_anomalies"),
+        F.count_if(F.col("n") > 1).alias("duplicate_grains"), *[(F.sum(t) == 0).alias(f"{t}_passed") for t in themes])
+    out = one.withColumn("fact_incidents", fact_rows.scalar())
     out = out.withColumns({"reconciliation_passed": F.col("fact_incidents") == F.col("daily_incidents"),
                            "grain_passed": F.col("duplicate_grains") == 0})
     flags = [f"{t}_passed" for t in themes] + ["reconciliation_passed", "grain_passed"]
-    ok = reduce(lambda a, b: a & b, [F.col(f) for f in flags])
+    ok = reduce(lambda a, b: a & b, [F.coalesce(F.col(f), F.lit(False)) for f in flags])
     return out.withColumn("validation_status", F.when(ok, "PASS").otherwise("FAIL")).withColumn("audit_run_id", F.lit(run_id))

@@ -17,7 +17,7 @@ from beaconry.operators import fact as FC
 from beaconry.operators import silver as S
 from beaconry.session import new_folder
 from beaconry.sources import raw as R
-from beaconry.sources.tables import table
+from beaconry.sources.tables import literal_table, table
 
 # How an event row reads as an incident.  ``k`` is the payload
 # number, ``s`` the response seconds, ``r_name`` the region of the user's area.
@@ -233,7 +233,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def call_type_mapping(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CALL_TYPES, "call_type string, call_type_description string")
+    return literal_table(spark, CALL_TYPES, "call_type string, call_type_description string")
 
 
 def with_disposition(spark: SparkSession, df: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from beaconry.plans import analogs as A
 from beaconry.plans import oracle as O
 from beaconry.plans.aggregates import DAYS, daily, daily_base, day_means
 from beaconry.plans.registry import query
+from beaconry.session import pin
 
 V = "valid_incident_response_seconds"
 
@@ -99,10 +100,8 @@ def common_initial_class(spark, folder):
        SELECT COALESCE(i.c, f.c) AS call_type, COALESCE(i.n, 0) AS initial_incident_count, COALESCE(f.n, 0) AS final_incident_count,
        COALESCE(f.n, 0) - COALESCE(i.n, 0) AS final_minus_initial_difference FROM i FULL JOIN f ON i.c = f.c""")
 def initial_final_volume(spark, folder):
-    ev = A.event_view(spark, folder)
-    i = ev.groupBy(F.col("initial_call_type").alias("call_type")).agg(F.count("*").alias("initial_incident_count"))
-    f = ev.groupBy(F.col("final_call_type").alias("call_type")).agg(F.count("*").alias("final_incident_count"))
-    out = i.join(f, "call_type", "full").fillna(0, ["initial_incident_count", "final_incident_count"])
+    out = AN.role_counts(A.event_view(spark, folder), {"initial": "initial_call_type", "final": "final_call_type"}, "call_type")
+    out = out.withColumnsRenamed({"initial": "initial_incident_count", "final": "final_incident_count"})
     return out.withColumn("final_minus_initial_difference", F.col("final_incident_count") - F.col("initial_incident_count"))
 
 
@@ -227,14 +226,14 @@ def outcome_counts(spark, df, *group):
 @query("b18_outcome_distribution", "disposition_category:s total_incidents:i incident_percentage:f6",
        f"WITH {O.EVD} SELECT disposition_category, COUNT(*) AS total_incidents, COUNT(*) * 100.0 / SUM(COUNT(*)) OVER () AS incident_percentage FROM evd GROUP BY 1")
 def outcome_distribution(spark, folder):
-    return AN.share_of_all(outcome_counts(spark, A.event_view(spark, folder)))
+    return AN.share_of(outcome_counts(spark, A.event_view(spark, folder)))
 
 
 @query("b19_outcome_codes", "incident_disposition_code:s disposition_description:s disposition_category:s mapping_status:s total_incidents:i incident_percentage:f6",
        f"""WITH {O.EVD}, g AS (SELECT incident_disposition_code, disposition_description, disposition_category, mapping_status, COUNT(*) AS total_incidents FROM evd GROUP BY ALL)
        SELECT *, total_incidents * 100.0 / SUM(total_incidents) OVER () AS incident_percentage FROM g""")
 def outcome_codes(spark, folder):
-    g = AN.share_of_all(AN.counts(A.event_view(spark, folder), ["incident_disposition_code"]))
+    g = AN.share_of(AN.counts(A.event_view(spark, folder), ["incident_disposition_code"]))
     return A.with_disposition(spark, g).orderBy("disposition_category_sort", F.desc("total_incidents"), "incident_disposition_code")
 
 
@@ -248,7 +247,7 @@ def _within_sql(cte, fact, group, total, share, rank=None):
        _within_sql(O.EVD, "evd", "borough", "borough_incidents", "borough_percentage"))
 def outcome_by_area(spark, folder):
     g = outcome_counts(spark, A.event_view(spark, folder), "borough")
-    return AN.share_of_parent(g, ["borough"], total="borough_incidents", name="borough_percentage")
+    return AN.share_of(g, within=["borough"], total="borough_incidents", name="borough_percentage")
 
 
 def _change_sql(cte, fact, group, flag, min_n):
@@ -302,8 +301,8 @@ def severity_transitions(spark, folder):
 def change_overlap(spark, folder):
     g = A.event_view(spark, folder).groupBy(AN.change_group().alias("classification_change_group")).agg(F.count("*").alias("total_incidents"))
     some = ~F.col("classification_change_group").rlike("^(Unknown|Neither)")
-    n_some = g.filter(some).agg(F.sum("total_incidents")).scalar()
-    return AN.share_of_all(g, name="percentage_of_all_incidents").withColumn(
+    n_some = F.sum(F.when(some, F.col("total_incidents"))).over(AN.Window.partitionBy())
+    return AN.share_of(g, name="percentage_of_all_incidents").withColumn(
         "percentage_of_changed_incidents", F.when(some, F.try_divide(F.col("total_incidents") * 100.0, n_some)))
 
 
@@ -328,7 +327,7 @@ def annual_change_rates(spark, folder):
        _within_sql(O.EVD, "evd", "initial_severity_level_code", "severity_incidents", "percentage_within_severity", "rank_within_severity"))
 def outcome_by_severity(spark, folder):
     g = outcome_counts(spark, A.event_view(spark, folder), "initial_severity_level_code")
-    g = AN.share_of_parent(g, ["initial_severity_level_code"], total="severity_incidents", name="percentage_within_severity")
+    g = AN.share_of(g, within=["initial_severity_level_code"], total="severity_incidents", name="percentage_within_severity")
     return AN.rank_within(g, "total_incidents", ["initial_severity_level_code"], "rank_within_severity")
 
 
@@ -340,7 +339,7 @@ def outcome_by_severity(spark, folder):
        FROM p WINDOW w AS (PARTITION BY disposition_category ORDER BY incident_year)""")
 def annual_outcome_share(spark, folder):
     g = outcome_counts(spark, A.lines(spark, folder, supplier=False, customer=False), "incident_year")
-    g = AN.share_of_parent(g, ["incident_year"], total="annual_incidents", name="annual_percentage")
+    g = AN.share_of(g, within=["incident_year"], total="annual_incidents", name="annual_percentage")
     g = g.withColumn("annual_percentage", F.round("annual_percentage", 6))
     return AN.prev_change(g, "incident_year", "annual_percentage", ["disposition_category"], "previous_year_percentage", "point_change")
 
@@ -349,7 +348,7 @@ def annual_outcome_share(spark, folder):
        _within_sql(O.EVD + f", evg AS (SELECT *, {O.CHANGE_GROUP} AS change_group FROM evd)", "evg", "change_group", "group_incidents", "percentage_within_group", "rank_within_group"))
 def outcome_by_change_group(spark, folder):
     g = outcome_counts(spark, A.event_view(spark, folder).withColumn("change_group", AN.change_group()), "change_group")
-    g = AN.share_of_parent(g, ["change_group"], total="group_incidents", name="percentage_within_group")
+    g = AN.share_of(g, within=["change_group"], total="group_incidents", name="percentage_within_group")
     return AN.rank_within(g, "total_incidents", ["change_group"], "rank_within_group")
 
 
@@ -448,10 +447,7 @@ def daily_demand_response(spark, folder):
        f"""WITH {DAYS}, s AS (SELECT AVG(average_response_minutes) AS center_line, stddev_pop(average_response_minutes) AS sd FROM days)
        SELECT *, center_line + 3 * sd AS upper_control_limit, GREATEST(0, center_line - 3 * sd) AS lower_control_limit FROM days, s""")
 def control_chart_series(spark, folder):
-    d = day_means(spark, folder)
-    lim = DY.period_limits(d, "average_response_minutes")
-    one = lim.select(F.struct("center_line", "upper_control_limit", "lower_control_limit")).scalar()
-    return d.withColumn("lim", one).select("incident_date", "average_response_minutes", "lim.*").orderBy("incident_date")
+    return DY.control_chart(day_means(spark, folder), "average_response_minutes").orderBy("incident_date")
 
 
 @query("b39_sliced_measures", "initial_call_type:s total_incidents:i " + " ".join(f"{n}:f6" for n in _EXEC),
@@ -522,7 +518,7 @@ TRAIN_END = 1999 * 12 + 11
 def forecast_error(spark, folder):
     seg = ["initial_severity_level_code"]
     o = A.orders(spark, folder)
-    actual = FO.monthly_counts(o, "incident_date", seg, F.lit(LAST_FULL))
+    actual = pin(FO.monthly_counts(o, "incident_date", seg, F.lit(LAST_FULL)), "monthly")
     trained = FO.forecast(actual.filter(F.col("m") <= TRAIN_END), seg)
     return FO.forecast_error(actual, trained, seg)
 

@@ -50,13 +50,13 @@ def file_inventory(spark, folder):
     root = A.staged_csv(spark, folder)
     written = (R.read_raw(spark, root + "/year=*/*.csv").select(F.col("_source_year").alias("year"), "_source_file").distinct()
                .groupBy("year").agg(F.count("*").alias("expected_files")))
-    return R.file_inventory(spark, root + "/year=*/*.csv", written)
+    return R.file_inventory(spark, root, written)
 
 
 @query("i06_file_profile", "year:i data_rows:i failed_files:i wrong_columns:i",
        f"WITH {O.RAW} SELECT year, COUNT(*) AS data_rows, 0 AS failed_files, 0 AS wrong_columns FROM raw GROUP BY 1")
 def file_profile(spark, folder):
-    p = R.file_profile(spark, A.staged_csv(spark, folder) + "/year=*/*.csv")
+    p = R.file_profile(spark, A.staged_csv(spark, folder))
     return p.groupBy(F.regexp_extract("file_path", r"year=(\d{4})", 1).cast("int").alias("year")).agg(
         F.sum("data_rows").alias("data_rows"), F.count_if(F.col("status") != "PASS").alias("failed_files"),
         F.count_if(F.col("column_count") != len(R.RAW_COLUMNS)).alias("wrong_columns"))

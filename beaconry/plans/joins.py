@@ -49,7 +49,7 @@ def full_outer(spark, folder):
 @query("j06_one_row_total", "event_type:s total_incidents:i incident_percentage:f6",
        "SELECT event_type, COUNT(*) AS total_incidents, COUNT(*) * 100.0 / (SELECT COUNT(*) FROM events) AS incident_percentage FROM events GROUP BY 1")
 def one_row_total(spark, folder):
-    return AN.share_of_all(AN.counts(table(spark, folder, "events"), ["event_type"]))
+    return AN.share_of(AN.counts(table(spark, folder, "events"), ["event_type"]))
 
 
 @query("j07_multi_left_null_test", "check_name:s issues:i",
@@ -66,7 +66,8 @@ def multi_left_null_test(spark, folder):
        p AS (SELECT borough, SUM(total_incidents) AS parent_incidents FROM g GROUP BY 1)
        SELECT *, total_incidents * 100.0 / parent_incidents AS parent_percentage FROM g JOIN p USING (borough)""")
 def group_to_parent(spark, folder):
-    return AN.share_of_parent(AN.counts(A.event_view(spark, folder), ["borough", "incident_disposition_code"]), ["borough"])
+    g = AN.counts(A.event_view(spark, folder), ["borough", "incident_disposition_code"])
+    return AN.share_of(g, within=["borough"], name="parent_percentage", total="parent_incidents")
 
 
 @query("j09_star_join", "c_region:s s_nation:s lines:i revenue:f4",

@@ -166,7 +166,7 @@ def orphans_one_pass(spark, folder):
        SELECT *, left_rows - right_rows AS row_difference, CASE WHEN left_rows = right_rows THEN 'PASS' ELSE 'FAIL' END AS status FROM r""")
 def layer_reconciliation(spark, folder):
     o = A.orders(spark, folder).select("incident_id", "incident_year")
-    li = table(spark, folder, "lineitem").select(F.col("l_orderkey").cast("string").alias("incident_id"))
+    li = table(spark, folder, "lineitem").select(F.col("l_orderkey").cast("string").alias("incident_id")).distinct()
     return QC.reconcile(o, o.join(li, "incident_id", "left_semi"), "incident_year")
 
 

@@ -33,15 +33,17 @@ def get_session(app: str = "beaconry", master: str | None = None, shuffle_partit
 def scratch_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests, local runs) a local temporary folder is
-    made, once per application.
+    Only in local mode, where that may be unset, a temporary folder is made,
+    once per application; on a cluster a missing setting is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
-        app = spark.sparkContext.applicationId
-        if app not in _FALLBACK:
-            _FALLBACK[app] = tempfile.mkdtemp(prefix="beaconry-")
-        base = _FALLBACK[app]
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+        if sc.applicationId not in _FALLBACK:
+            _FALLBACK[sc.applicationId] = tempfile.mkdtemp(prefix="beaconry-")
+        base = _FALLBACK[sc.applicationId]
     return base.rstrip("/")
 
 

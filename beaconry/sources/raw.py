@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from beaconry.functions import blank_to_null
+from beaconry.sources.tables import list_files
 
 # The raw incident layout, in file order.
 RAW_COLUMNS = """
@@ -56,33 +57,35 @@ def write_raw(df: DataFrame, path: str, by: str) -> None:
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
-def file_inventory(spark: SparkSession, path: str, expected: DataFrame) -> DataFrame:
+def file_inventory(spark: SparkSession, root: str, expected: DataFrame) -> DataFrame:
     """Expected against found files per year; ``expected(year, expected_files)``."""
-    found = (spark.read.text(path).select(F.col("_metadata.file_path").alias("f")).distinct()
-             .withColumn("year", F.regexp_extract("f", r"year=(\d{4})", 1).try_cast("int"))
-             .groupBy("year").agg(F.count("*").alias("actual_files")))
+    found = (list_files(spark, root, ".csv").groupBy(F.regexp_extract("file_path", r"year=(\d{4})", 1).try_cast("int").alias("year"))
+             .agg(F.count("*").alias("actual_files")))
     return (expected.join(found, "year", "full")
             .select("year", F.coalesce("expected_files", F.lit(0)).alias("expected_files"),
                     F.coalesce("actual_files", F.lit(0)).alias("actual_files"))
             .withColumn("status", F.when(F.col("expected_files") == F.col("actual_files"), "PASS").otherwise("FAIL")))
 
 
-def file_profile(spark: SparkSession, path: str, columns=RAW_COLUMNS) -> DataFrame:
+def file_profile(spark: SparkSession, root: str, columns=RAW_COLUMNS) -> DataFrame:
     """Rows, columns, header match and a status per raw text file.
 
-    A header is the line equal to the expected one.  Everything is one grouped
-    pass over the lines, so a single large file is still read by many tasks.
+    A header is the line equal to the expected one.  The lines are counted in
+    one grouped pass, so a single large file is still read by many tasks; the
+    file listing on the left keeps files without any line.
     """
     header = ",".join(columns)
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b"))
-    per_file = lines.groupBy("f", "b").agg(
-        F.count_if(F.col("value") != header).alias("data_rows"),
-        F.bool_or(F.col("value") == header).alias("header_ok"),
-        F.max(F.when(F.col("value") == header, F.size(F.split("value", ",")))).alias("column_count"))
-    return per_file.select(
-        F.col("f").alias("file_path"), F.col("b").alias("file_bytes"), "data_rows", "column_count", "header_ok",
-        F.when(~F.col("header_ok"), "HEADER_MISMATCH").when(F.col("column_count") != len(columns), "COLUMN_COUNT_MISMATCH")
-        .when(F.col("data_rows") == 0, "EMPTY_FILE").otherwise("PASS").alias("status"))
+    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root)
+             .select("value", F.col("_metadata.file_path").alias("file_path")))
+    is_header = F.col("value") == header
+    counted = lines.groupBy("file_path").agg(
+        F.count_if(~is_header).alias("data_rows"), F.bool_or(is_header).alias("header_ok"),
+        F.max(F.when(is_header, F.size(F.split("value", ",")))).alias("column_count"))
+    out = list_files(spark, root, ".csv").join(counted, "file_path", "left").withColumns(
+        {"data_rows": F.coalesce("data_rows", F.lit(0)), "header_ok": F.coalesce("header_ok", F.lit(False))})
+    return out.withColumn("status", F.when(F.col("file_bytes") == 0, "EMPTY_FILE").when(~F.col("header_ok"), "HEADER_MISMATCH")
+                          .when(F.col("column_count") != len(columns), "COLUMN_COUNT_MISMATCH")
+                          .when(F.col("data_rows") == 0, "NO_DATA_ROWS").otherwise("PASS"))
 
 
 def yearly_expectation(bronze: DataFrame, expected: DataFrame, year: str, key: str) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -12,8 +15,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def literal_table(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """A small fixed table from tuples."""
-    return spark.createDataFrame(rows, schema)
+    """A small fixed table from tuples.
+
+    It is built from Arrow data and thereby becomes a local relation: Catalyst
+    knows its size and broadcasts it, where a table made from Python rows has no
+    size and would make the other side of a join shuffle.
+    """
+    fields = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows))
+    data = pa.table({f.name: pa.array(list(c), to_arrow_type(f.dataType)) for f, c in zip(fields, columns)})
+    return spark.createDataFrame(data, fields)
 
 
 def number_range(spark: SparkSession, lo: int, hi: int, name: str) -> DataFrame:
@@ -51,13 +62,26 @@ def read_back(before: DataFrame, spark: SparkSession, path: str, by: str) -> Dat
         .withColumn("status", F.when(F.col("expected_rows") == F.col("stored_rows"), "PASS").otherwise("FAIL")))
 
 
+def list_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
+    """Path and size of the files under a folder.
+
+    A listing, not a scan: the content column is never asked for, so no file is
+    opened.  Scans skip files of zero bytes; the names that the file index holds
+    on the driver in any case bring those back.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").load(root)
+    sizes = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("file_bytes"))
+    names = literal_table(spark, [(n,) for n in files.inputFiles()], "file_path string")
+    return names.join(sizes, "file_path", "left").withColumn("file_bytes", F.coalesce("file_bytes", F.lit(0)))
+
+
 def storage_detail(spark: SparkSession, path: str, partition_by: str) -> DataFrame:
-    """Files, rows and bytes per partition, from the scan's own file metadata."""
-    files = (spark.read.parquet(path)
-             .groupBy(partition_by, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
-             .agg(F.count("*").alias("rows")))
-    return files.groupBy(partition_by).agg(
-        F.count("*").alias("n_files"), F.sum("rows").alias("n_rows"), F.sum("bytes").alias("n_bytes"))
+    """Files and bytes per partition folder, and the rows stored there."""
+    files = list_files(spark, path, ".parquet").groupBy(
+        F.regexp_extract("file_path", f"/{partition_by}=([^/]*)/", 1).alias(partition_by)).agg(
+        F.count("*").alias("n_files"), F.sum("file_bytes").alias("n_bytes"))
+    rows = spark.read.parquet(path).groupBy(F.col(partition_by).cast("string").alias(partition_by)).agg(F.count("*").alias("n_rows"))
+    return files.join(rows, partition_by, "left")
 
 
 def latest(df: DataFrame, by: str, n: int = 1) -> DataFrame:

@@ -75,7 +75,20 @@ def test_star_view_answers_like_the_flat_rows(spark, loaded):
 
 
 def test_file_profile_flags_headers(spark, clean_raw):
-    p = R.file_profile(spark, clean_raw[0])
+    root = clean_raw[0].removesuffix("/year=*/*.csv")
+    p = R.file_profile(spark, root)
     assert p.filter("status <> 'PASS'").count() == 0
     assert p.agg(F.sum("data_rows")).first()[0] == clean_raw[1]
-    assert R.file_profile(spark, clean_raw[0], ["other"]).filter("status <> 'HEADER_MISMATCH'").count() == 0
+    assert R.file_profile(spark, root, ["other"]).filter("status <> 'HEADER_MISMATCH'").count() == 0
+
+
+def test_empty_files_are_listed(spark, tmp_path):
+    (tmp_path / "year=2024").mkdir()
+    (tmp_path / "year=2024" / "a.csv").write_text("")
+    (tmp_path / "year=2024" / "b.csv").write_text("x,y\n1,2\n3,4\n")
+    (tmp_path / "year=2024" / "c.csv").write_text("x,y\n")
+    got = {r["file_path"][-5:]: (r["status"], r["data_rows"]) for r in R.file_profile(spark, str(tmp_path), ["x", "y"]).collect()}
+    assert got == {"a.csv": ("EMPTY_FILE", 0), "b.csv": ("PASS", 2), "c.csv": ("NO_DATA_ROWS", 0)}
+    expected = spark.createDataFrame([(2024, 3), (2023, 1)], "year int, expected_files int")
+    inv = {r["year"]: r["status"] for r in R.file_inventory(spark, str(tmp_path), expected).collect()}
+    assert inv == {2024: "PASS", 2023: "FAIL"}
