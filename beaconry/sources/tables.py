@@ -71,7 +71,8 @@ def list_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").load(root)
     sizes = files.select(F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("file_bytes"))
-    names = literal_table(spark, [(n,) for n in files.inputFiles()], "file_path string")
+    # The index writes local names as file:///x, scans as file:/x.
+    names = literal_table(spark, [(n.replace("file:///", "file:/"),) for n in files.inputFiles()], "file_path string")
     return names.join(sizes, "file_path", "left").withColumn("file_bytes", F.coalesce("file_bytes", F.lit(0)))
 
 
