@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "UNKNOWN"
 UNKNOWN_CODE = -1
+# Display labels of severity codes; other codes show blank.
+SEVERITY_DISPLAY = {n: f"Severity Level {n}" for n in range(1, 10)}
 
 
 def _c(x) -> Column:
@@ -148,6 +150,15 @@ def is_weekend(date) -> Column:
     return F.dayofweek(_c(date)).isin(1, 7)
 
 
+def monday_first(date) -> Column:
+    """Weekday number from 1 for Monday to 7 for Sunday."""
+    return F.weekday(_c(date)) + 1
+
+
+def month_start(date) -> Column:
+    return F.trunc(_c(date), "month")
+
+
 def date_key(date) -> Column:
     """``yyyyMMdd`` as an integer."""
     d = _c(date)

@@ -80,13 +80,13 @@ def transition_matrix(df: DataFrame, a: str, b: str, changed: str, top: int | No
     return top_n(out, [F.col(n).desc(), a, b], top) if top else out
 
 
-def change_rate(df: DataFrame, group: str, changed: str, min_n: int = 0) -> DataFrame:
+def change_rate(df: DataFrame, group: str, changed: str, min_n: int = 0, name: str = "change_percentage") -> DataFrame:
     """Changed and unchanged rows per group, rate in percent, rank by rate."""
     g = df.groupBy(group).agg(F.count("*").alias("total_incidents"), X.n_if(F.col(changed)).alias("changed_incidents"))
     g = g.filter(F.col("total_incidents") >= min_n).withColumn(
         "unchanged_incidents", F.col("total_incidents") - F.col("changed_incidents"))
-    g = g.withColumn("change_percentage", F.round(share_pct("changed_incidents", "total_incidents"), 6))
-    return rank_within(g, "change_percentage", name="change_rate_rank")
+    g = g.withColumn(name, F.round(share_pct("changed_incidents", "total_incidents"), 6))
+    return rank_within(g, name, name="change_rate_rank")
 
 
 def change_group(a: str = "call_type_changed", b: str = "severity_changed") -> Column:

@@ -60,6 +60,9 @@ def catalogue() -> dict[str, Column]:
         "valid_dispatch_flag_count": filtered(F.col("is_valid_dispatch_response")),
         "valid_response_count": F.count(RESP),
         "valid_travel_count": F.count(TRAV),
+        "total_response_seconds": F.sum(RESP),
+        "total_dispatch_seconds": F.sum(DISP),
+        "total_travel_seconds": F.sum(TRAV),
         "valid_response_percentage": per(filtered(F.col("is_valid_incident_response")), total()),
         "average_response_minutes": mean_minutes(RESP),
         "average_dispatch_minutes": mean_minutes(DISP),

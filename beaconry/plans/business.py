@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from beaconry.functions import exprs as X
 from beaconry.operators import analysis as AN
 from beaconry.operators import daily as DY
+from beaconry.operators import dims as D
 from beaconry.operators import forecast as FO
 from beaconry.operators import measures as M
 from beaconry.plans import analogs as A
@@ -46,13 +47,14 @@ def monthly_volume(spark, folder):
         "year_month_label": F.date_format("m", "MMM yyyy"), "year_month_sort": F.year("m") * 100 + F.month("m")}).orderBy("m")
 
 
-@query("b03_demand_by_weekday", "day_of_week_number:i day_of_week_name:s is_weekend:b days_observed:i total_incidents:i average_daily_incidents:f2",
+@query("b03_demand_by_weekday", "day_of_week_number:i day_of_week_name:s day_of_week_short_name:s is_weekend:b days_observed:i total_incidents:i average_daily_incidents:f2",
        f"""WITH {O.EV}, d AS (SELECT incident_date, dow, day_name, COUNT(*) AS n FROM ev GROUP BY ALL)
-       SELECT dow AS day_of_week_number, day_name AS day_of_week_name, dow IN (1, 7) AS is_weekend, COUNT(*) AS days_observed, SUM(n) AS total_incidents,
+       SELECT dow AS day_of_week_number, day_name AS day_of_week_name, SUBSTRING(day_name, 1, 3) AS day_of_week_short_name, dow IN (1, 7) AS is_weekend, COUNT(*) AS days_observed, SUM(n) AS total_incidents,
        CAST((2 * SUM(n) * 100 + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) / 100 AS average_daily_incidents FROM d GROUP BY ALL""")
 def demand_by_weekday(spark, folder):
     d = AN.counts(A.event_view(spark, folder), ["incident_date"], "n")
     g = d.groupBy(F.dayofweek("incident_date").alias("day_of_week_number"), F.date_format("incident_date", "EEEE").alias("day_of_week_name"),
+                  F.date_format("incident_date", "EEE").alias("day_of_week_short_name"),
                   X.is_weekend("incident_date").alias("is_weekend")).agg(F.count("*").alias("days_observed"), F.sum("n").alias("total_incidents"))
     mean = F.round(F.col("total_incidents").cast("decimal(20,4)") / F.col("days_observed"), 2)
     return g.withColumn("average_daily_incidents", mean).orderBy("day_of_week_number")
@@ -75,9 +77,11 @@ def demand_by_hour(spark, folder):
     return out.select(F.col("incident_hour").alias("hour_number"), X.hour_label("incident_hour").alias("hour_label"), "total_incidents", "incident_percentage", "demand_rank")
 
 
-@query("b05_demand_by_time_of_day", "time_of_day:s total_incidents:i incident_percentage:f2 demand_rank:i", _ranked_sql("time_of_day", "demand_rank"))
+@query("b05_demand_by_time_of_day", "time_of_day:s time_of_day_sort:i total_incidents:i incident_percentage:f2 demand_rank:i",
+       _ranked_sql("time_of_day, incident_hour // 6 + 1 AS time_of_day_sort", "demand_rank"))
 def demand_by_time_of_day(spark, folder):
-    return _ranked(A.event_view(spark, folder), ["time_of_day"], "demand_rank")
+    ev = A.event_view(spark, folder).withColumn("time_of_day_sort", X.time_bucket_sort("incident_hour"))
+    return _ranked(ev, ["time_of_day", "time_of_day_sort"], "demand_rank").orderBy("time_of_day_sort")
 
 
 @query("b06_volume_by_area", "borough:s total_incidents:i incident_percentage:f6 incident_volume_rank:i", _ranked_sql("borough", "incident_volume_rank"))
@@ -95,14 +99,17 @@ def common_initial_class(spark, folder):
     return g.join(dims["call_type"].withColumnRenamed("call_type_key", "initial_call_type_key"), "initial_call_type_key")
 
 
-@query("b08_initial_final_volume", "call_type:s initial_incident_count:i final_incident_count:i final_minus_initial_difference:i",
-       f"""WITH {O.EV}, i AS (SELECT initial_call_type AS c, COUNT(*) AS n FROM ev GROUP BY 1), f AS (SELECT final_call_type AS c, COUNT(*) AS n FROM ev GROUP BY 1)
+@query("b08_initial_final_volume", "call_type:s call_type_description:s initial_incident_count:i final_incident_count:i final_minus_initial_difference:i",
+       f"""WITH {O.EV}, {O.CT}, i AS (SELECT initial_call_type AS c, COUNT(*) AS n FROM ev GROUP BY 1), f AS (SELECT final_call_type AS c, COUNT(*) AS n FROM ev GROUP BY 1)
        SELECT COALESCE(i.c, f.c) AS call_type, COALESCE(i.n, 0) AS initial_incident_count, COALESCE(f.n, 0) AS final_incident_count,
-       COALESCE(f.n, 0) - COALESCE(i.n, 0) AS final_minus_initial_difference FROM i FULL JOIN f ON i.c = f.c""")
+       COALESCE(f.n, 0) - COALESCE(i.n, 0) AS final_minus_initial_difference,
+       CASE WHEN COALESCE(i.c, f.c) = 'UNKNOWN' THEN 'UNKNOWN CALL TYPE' ELSE COALESCE(description, 'UNDOCUMENTED CALL TYPE') END AS call_type_description
+       FROM i FULL JOIN f ON i.c = f.c LEFT JOIN ct ON COALESCE(i.c, f.c) = code""")
 def initial_final_volume(spark, folder):
     out = AN.role_counts(A.event_view(spark, folder), {"initial": "initial_call_type", "final": "final_call_type"}, "call_type")
     out = out.withColumnsRenamed({"initial": "initial_incident_count", "final": "final_incident_count"})
-    return out.withColumn("final_minus_initial_difference", F.col("final_incident_count") - F.col("initial_incident_count"))
+    out = out.withColumn("final_minus_initial_difference", F.col("final_incident_count") - F.col("initial_incident_count"))
+    return D.describe_codes(out, A.call_type_mapping(spark), "call_type", "call_type_description")
 
 
 # --- response -----------------------------------------------------------------
@@ -112,10 +119,17 @@ _POOL_SQL = f"""SELECT *, valid_response_count * 100.0 / total_incidents AS vali
   {O.minutes('sd_s')} AS pooled_population_stddev_minutes, sd_s * 100.0 / avg_s AS response_cv_percentage"""
 
 
-@query("b09_response_by_severity", f"initial_severity_level_code:i {_POOL}",
-       f"WITH {O.EV}, {O.daily(O.GRAIN)}, {O.pooled('initial_severity_level_code')} {_POOL_SQL} FROM p1")
+_LABEL = "CASE WHEN initial_severity_level_code = -1 THEN 'Unknown' ELSE 'Severity Level ' || initial_severity_level_code END AS initial_severity_label"
+
+
+def labelled(df):
+    return df.withColumn("initial_severity_label", X.severity_label("initial_severity_level_code"))
+
+
+@query("b09_response_by_severity", f"initial_severity_level_code:i initial_severity_label:s {_POOL}",
+       f"WITH {O.EV}, {O.daily(O.GRAIN)}, {O.pooled('initial_severity_level_code')} {_POOL_SQL}, {_LABEL} FROM p1")
 def response_by_severity(spark, folder):
-    return AN.pooled_stats(daily_base(spark, folder), ["initial_severity_level_code"])
+    return labelled(AN.pooled_stats(daily_base(spark, folder), ["initial_severity_level_code"]))
 
 
 @query("b10_response_by_area", f"borough:s {_POOL} slowest_response_rank:i",
@@ -124,11 +138,11 @@ def response_by_area(spark, folder):
     return AN.rank_within(AN.pooled_stats(daily_base(spark, folder), ["borough"]), "average_response_seconds", name="slowest_response_rank")
 
 
-@query("b11_variability", f"borough:s initial_severity_level_code:i {_POOL} variability_rank:i",
-       f"WITH {O.EV}, {O.daily(O.GRAIN)}, {O.pooled('borough, initial_severity_level_code', 1000)} {_POOL_SQL}, RANK() OVER (ORDER BY sd_s DESC) AS variability_rank FROM p1")
+@query("b11_variability", f"borough:s initial_severity_level_code:i initial_severity_label:s {_POOL} variability_rank:i",
+       f"WITH {O.EV}, {O.daily(O.GRAIN)}, {O.pooled('borough, initial_severity_level_code', 1000)} {_POOL_SQL}, RANK() OVER (ORDER BY sd_s DESC) AS variability_rank, {_LABEL} FROM p1")
 def variability(spark, folder):
     g = AN.pooled_stats(daily_base(spark, folder), DY.LIMIT_GROUP, min_n=1000)
-    return AN.rank_within(g, "pooled_stddev_seconds", name="variability_rank")
+    return labelled(AN.rank_within(g, "pooled_stddev_seconds", name="variability_rank"))
 
 
 @query("b12_held_vs_not_held", "held_status:s total_incidents:i valid_response_count:i valid_response_percentage:f6 average_response_minutes:f2 "
@@ -179,23 +193,29 @@ def _slow_sql(flag: str) -> str:
        h AS (SELECT g.*, b.*, CASE WHEN total_incidents > demand_benchmark AND average_response_seconds > response_benchmark THEN 1 ELSE 0 END AS {flag} FROM g, b)"""
 
 
-@query("b15_busy_slow_months", "incident_year_month:s total_incidents:i valid_response_count:i average_response_minutes:f2 demand_benchmark:f2 is_high_demand_slow_response_month:i",
-       f"""WITH {O.LN}, g AS (SELECT incident_year_month, COUNT(*) AS total_incidents, COUNT({V}) AS valid_response_count, AVG({V}) AS average_response_seconds FROM ln GROUP BY 1),
-       {_slow_sql('is_high_demand_slow_response_month')} SELECT *, {O.minutes('average_response_seconds')} AS average_response_minutes FROM h""")
+@query("b15_busy_slow_months", "incident_year:i month_number:i year_month:s total_incidents:i valid_response_count:i weighted_average_response_minutes:f2 monthly_incident_benchmark:f2 "
+       "response_time_benchmark_minutes:f2 is_high_demand_slow_response_month:i",
+       f"""WITH {O.LN}, g AS (SELECT incident_year, incident_month AS month_number, incident_year_month AS year_month, COUNT(*) AS total_incidents, COUNT({V}) AS valid_response_count,
+       AVG({V}) AS average_response_seconds FROM ln GROUP BY ALL),
+       {_slow_sql('is_high_demand_slow_response_month')} SELECT *, {O.minutes('average_response_seconds')} AS weighted_average_response_minutes,
+       {O.minutes('response_benchmark')} AS response_time_benchmark_minutes, demand_benchmark AS monthly_incident_benchmark FROM h""")
 def busy_slow_months(spark, folder):
-    g = AN.response_by(A.lines(spark, folder, supplier=False, customer=False), ["incident_year_month"])
-    out = AN.high_demand_slow(g, "is_high_demand_slow_response_month")
-    return out.withColumn("average_response_minutes", X.sec_to_min("average_response_seconds")).orderBy(F.desc("is_high_demand_slow_response_month"), "incident_year_month")
+    g = AN.response_by(A.lines(spark, folder, supplier=False, customer=False), ["incident_year", "incident_month", "incident_year_month"])
+    out = AN.high_demand_slow(g, "is_high_demand_slow_response_month").withColumnsRenamed(
+        {"incident_month": "month_number", "incident_year_month": "year_month", "demand_benchmark": "monthly_incident_benchmark"})
+    return out.withColumns({"weighted_average_response_minutes": X.sec_to_min("average_response_seconds"),
+                            "response_time_benchmark_minutes": X.sec_to_min("response_benchmark")}).orderBy(F.desc("is_high_demand_slow_response_month"), "year_month")
 
 
-@query("b16_busy_slow_hours", "incident_hour:i total_incidents:i valid_response_count:i average_response_minutes:f2 is_high_demand_slow_response_hour:i combined_demand_rank:i",
-       f"""WITH {O.EV}, g AS (SELECT incident_hour, COUNT(*) AS total_incidents, COUNT({V}) AS valid_response_count, AVG({V}) AS average_response_seconds FROM ev GROUP BY 1),
+@query("b16_busy_slow_hours", "hour_number:i hour_label:s total_incidents:i valid_response_count:i average_response_minutes:f2 is_high_demand_slow_response_hour:i combined_demand_rank:i",
+       f"""WITH {O.EV}, g AS (SELECT incident_hour AS hour_number, lpad(CAST(incident_hour AS VARCHAR), 2, '0') || ':00' AS hour_label, COUNT(*) AS total_incidents, COUNT({V}) AS valid_response_count, AVG({V}) AS average_response_seconds FROM ev GROUP BY ALL),
        {_slow_sql('is_high_demand_slow_response_hour')} SELECT *, {O.minutes('average_response_seconds')} AS average_response_minutes,
        RANK() OVER (ORDER BY total_incidents DESC, average_response_seconds DESC) AS combined_demand_rank FROM h""")
 def busy_slow_hours(spark, folder):
     g = AN.high_demand_slow(AN.response_by(A.event_view(spark, folder), ["incident_hour"]), "is_high_demand_slow_response_hour")
     g = AN.rank_within(g, ["total_incidents", "average_response_seconds"], name="combined_demand_rank")
-    return g.withColumn("average_response_minutes", X.sec_to_min("average_response_seconds")).orderBy("incident_hour")
+    return g.withColumns({"hour_number": F.col("incident_hour"), "hour_label": X.hour_label("incident_hour"),
+                          "average_response_minutes": X.sec_to_min("average_response_seconds")}).orderBy("hour_number")
 
 
 @query("b17_reportable_anomalies", "borough:s initial_severity_level_code:i eligible_daily_groups:i reportable_anomaly_days:i above_ucl_days:i below_lcl_days:i anomaly_rate_percentage:f6",
@@ -229,9 +249,10 @@ def outcome_distribution(spark, folder):
     return AN.share_of(outcome_counts(spark, A.event_view(spark, folder)))
 
 
-@query("b19_outcome_codes", "incident_disposition_code:s disposition_description:s disposition_category:s mapping_status:s total_incidents:i incident_percentage:f6",
+@query("b19_outcome_codes", "incident_disposition_code:s disposition_description:s disposition_category:s mapping_status:s is_documented_code:b is_unknown:b total_incidents:i incident_percentage:f6",
        f"""WITH {O.EVD}, g AS (SELECT incident_disposition_code, disposition_description, disposition_category, mapping_status, COUNT(*) AS total_incidents FROM evd GROUP BY ALL)
-       SELECT *, total_incidents * 100.0 / SUM(total_incidents) OVER () AS incident_percentage FROM g""")
+       SELECT *, mapping_status = 'Documented' AS is_documented_code, mapping_status = 'Unknown' AS is_unknown,
+       total_incidents * 100.0 / SUM(total_incidents) OVER () AS incident_percentage FROM g""")
 def outcome_codes(spark, folder):
     g = AN.share_of(AN.counts(A.event_view(spark, folder), ["incident_disposition_code"]))
     return A.with_disposition(spark, g).orderBy("disposition_category_sort", F.desc("total_incidents"), "incident_disposition_code")
@@ -250,18 +271,19 @@ def outcome_by_area(spark, folder):
     return AN.share_of(g, within=["borough"], total="borough_incidents", name="borough_percentage")
 
 
-def _change_sql(cte, fact, group, flag, min_n):
+def _change_sql(cte, fact, group, flag, min_n, name):
     return f"""WITH {cte}, g AS (SELECT {group}, COUNT(*) AS total_incidents, COUNT(*) FILTER (WHERE {flag}) AS changed_incidents FROM {fact} GROUP BY 1 HAVING COUNT(*) >= {min_n}),
-       r AS (SELECT *, total_incidents - changed_incidents AS unchanged_incidents, ROUND(changed_incidents * 100.0 / total_incidents, 6) AS change_percentage FROM g)
-       SELECT *, RANK() OVER (ORDER BY change_percentage DESC) AS change_rate_rank FROM r"""
+       r AS (SELECT *, total_incidents - changed_incidents AS unchanged_incidents, ROUND(changed_incidents * 100.0 / total_incidents, 6) AS {name} FROM g)
+       SELECT *, RANK() OVER (ORDER BY {name} DESC) AS change_rate_rank FROM r"""
 
 
-_CHANGE = "total_incidents:i changed_incidents:i unchanged_incidents:i change_percentage:f6 change_rate_rank:i"
+_CHANGE = "total_incidents:i changed_incidents:i unchanged_incidents:i change_rate_rank:i"
 
 
-@query("b21_class_change_rate", f"initial_call_type:s {_CHANGE}", _change_sql(O.EV, "ev", "initial_call_type", "call_type_changed", 1000))
+@query("b21_class_change_rate", f"initial_call_type:s call_type_change_percentage:f6 {_CHANGE}",
+       _change_sql(O.EV, "ev", "initial_call_type", "call_type_changed", 1000, "call_type_change_percentage"))
 def class_change_rate(spark, folder):
-    return AN.change_rate(A.event_view(spark, folder), "initial_call_type", "call_type_changed", min_n=1000)
+    return AN.change_rate(A.event_view(spark, folder), "initial_call_type", "call_type_changed", 1000, "call_type_change_percentage")
 
 
 def _transition_sql(cte, fact, a, b, flag, top=None):
@@ -282,9 +304,10 @@ def class_transitions(spark, folder):
     return AN.transition_matrix(A.lines(spark, folder), "initial_call_type", "final_call_type", "call_type_changed", top=100)
 
 
-@query("b23_severity_change_rate", f"initial_severity_level_code:i {_CHANGE}", _change_sql(O.EV, "ev", "initial_severity_level_code", "severity_changed", 0))
+@query("b23_severity_change_rate", f"initial_severity_level_code:i severity_change_percentage:f6 {_CHANGE}",
+       _change_sql(O.EV, "ev", "initial_severity_level_code", "severity_changed", 0, "severity_change_percentage"))
 def severity_change_rate(spark, folder):
-    return AN.change_rate(A.event_view(spark, folder), "initial_severity_level_code", "severity_changed")
+    return AN.change_rate(A.event_view(spark, folder), "initial_severity_level_code", "severity_changed", name="severity_change_percentage")
 
 
 @query("b24_severity_transitions", f"initial_severity_level_code:i final_severity_level_code:i {_TRANS}",
@@ -306,50 +329,52 @@ def change_overlap(spark, folder):
         "percentage_of_changed_incidents", F.when(some, F.try_divide(F.col("total_incidents") * 100.0, n_some)))
 
 
-@query("b26_annual_change_rates", "incident_year:i total_incidents:i call_type_changed_incidents:i severity_changed_incidents:i both_changed_incidents:i any_changed_incidents:i "
-       "unknown_change_incidents:i call_type_change_percentage:f6 severity_change_percentage:f6 both_changed_percentage:f6 any_change_percentage:f6",
+@query("b26_annual_change_rates", "incident_year:i total_incidents:i call_type_changed_incidents:i severity_changed_incidents:i both_changed_incidents:i any_classification_changed_incidents:i "
+       "unknown_change_status_incidents:i call_type_change_percentage:f6 severity_change_percentage:f6 both_changed_percentage:f6 any_classification_change_percentage:f6",
        f"""WITH {O.LN}, g AS (SELECT incident_year, COUNT(*) AS total_incidents, COUNT(*) FILTER (WHERE call_type_changed) AS call_type_changed_incidents,
        COUNT(*) FILTER (WHERE severity_changed) AS severity_changed_incidents, COUNT(*) FILTER (WHERE call_type_changed AND severity_changed) AS both_changed_incidents,
-       COUNT(*) FILTER (WHERE call_type_changed OR severity_changed) AS any_changed_incidents,
-       COUNT(*) FILTER (WHERE call_type_changed IS NULL OR severity_changed IS NULL) AS unknown_change_incidents FROM ln GROUP BY 1)
+       COUNT(*) FILTER (WHERE call_type_changed OR severity_changed) AS any_classification_changed_incidents,
+       COUNT(*) FILTER (WHERE call_type_changed IS NULL OR severity_changed IS NULL) AS unknown_change_status_incidents FROM ln GROUP BY 1)
        SELECT *, call_type_changed_incidents * 100.0 / total_incidents AS call_type_change_percentage, severity_changed_incidents * 100.0 / total_incidents AS severity_change_percentage,
-       both_changed_incidents * 100.0 / total_incidents AS both_changed_percentage, any_changed_incidents * 100.0 / total_incidents AS any_change_percentage FROM g""")
+       both_changed_incidents * 100.0 / total_incidents AS both_changed_percentage, any_classification_changed_incidents * 100.0 / total_incidents AS any_classification_change_percentage FROM g""")
 def annual_change_rates(spark, folder):
     a, b = F.col("call_type_changed"), F.col("severity_changed")
     g = A.lines(spark, folder).groupBy("incident_year").agg(
         F.count("*").alias("total_incidents"), X.n_if(a).alias("call_type_changed_incidents"), X.n_if(b).alias("severity_changed_incidents"),
-        X.n_if(a & b).alias("both_changed_incidents"), X.n_if(a | b).alias("any_changed_incidents"), X.n_if(a.isNull() | b.isNull()).alias("unknown_change_incidents"))
-    names = {"call_type_changed": "call_type_change", "severity_changed": "severity_change", "both_changed": "both_changed", "any_changed": "any_change"}
+        X.n_if(a & b).alias("both_changed_incidents"), X.n_if(a | b).alias("any_classification_changed_incidents"), X.n_if(a.isNull() | b.isNull()).alias("unknown_change_status_incidents"))
+    names = {"call_type_changed": "call_type_change", "severity_changed": "severity_change", "both_changed": "both_changed", "any_classification_changed": "any_classification_change"}
     return g.withColumns({f"{p}_percentage": AN.share_pct(f"{n}_incidents", "total_incidents") for n, p in names.items()})
 
 
-@query("b27_outcome_by_severity", "initial_severity_level_code:i disposition_category:s total_incidents:i severity_incidents:i percentage_within_severity:f6 rank_within_severity:i",
-       _within_sql(O.EVD, "evd", "initial_severity_level_code", "severity_incidents", "percentage_within_severity", "rank_within_severity"))
+@query("b27_outcome_by_severity", "initial_severity_level_code:i disposition_category:s total_incidents:i initial_severity_incidents:i percentage_within_initial_severity:f6 disposition_rank_within_severity:i",
+       _within_sql(O.EVD, "evd", "initial_severity_level_code", "initial_severity_incidents", "percentage_within_initial_severity", "disposition_rank_within_severity"))
 def outcome_by_severity(spark, folder):
     g = outcome_counts(spark, A.event_view(spark, folder), "initial_severity_level_code")
-    g = AN.share_of(g, within=["initial_severity_level_code"], total="severity_incidents", name="percentage_within_severity")
-    return AN.rank_within(g, "total_incidents", ["initial_severity_level_code"], "rank_within_severity")
+    g = AN.share_of(g, within=["initial_severity_level_code"], total="initial_severity_incidents", name="percentage_within_initial_severity")
+    return AN.rank_within(g, "total_incidents", ["initial_severity_level_code"], "disposition_rank_within_severity")
 
 
-@query("b28_annual_outcome_share", "incident_year:i disposition_category:s total_incidents:i annual_incidents:i annual_percentage:f6 previous_year_percentage:f6 point_change:f6",
+@query("b28_annual_outcome_share", "incident_year:i disposition_category:s total_incidents:i annual_incidents:i annual_disposition_percentage:f6 previous_year_percentage:f6 year_over_year_percentage_point_change:f6",
        f"""WITH {O.LND}, g AS (SELECT incident_year, disposition_category, COUNT(*) AS total_incidents FROM lnd GROUP BY ALL),
        p AS (SELECT *, SUM(total_incidents) OVER (PARTITION BY incident_year) AS annual_incidents,
-       ROUND(total_incidents * 100.0 / SUM(total_incidents) OVER (PARTITION BY incident_year), 6) AS annual_percentage FROM g)
-       SELECT *, LAG(annual_percentage) OVER w AS previous_year_percentage, annual_percentage - LAG(annual_percentage) OVER w AS point_change
+       ROUND(total_incidents * 100.0 / SUM(total_incidents) OVER (PARTITION BY incident_year), 6) AS annual_disposition_percentage FROM g)
+       SELECT *, LAG(annual_disposition_percentage) OVER w AS previous_year_percentage, annual_disposition_percentage - LAG(annual_disposition_percentage) OVER w AS year_over_year_percentage_point_change
        FROM p WINDOW w AS (PARTITION BY disposition_category ORDER BY incident_year)""")
 def annual_outcome_share(spark, folder):
     g = outcome_counts(spark, A.lines(spark, folder, supplier=False, customer=False), "incident_year")
-    g = AN.share_of(g, within=["incident_year"], total="annual_incidents", name="annual_percentage")
-    g = g.withColumn("annual_percentage", F.round("annual_percentage", 6))
-    return AN.prev_change(g, "incident_year", "annual_percentage", ["disposition_category"], "previous_year_percentage", "point_change")
+    g = AN.share_of(g, within=["incident_year"], total="annual_incidents", name="annual_disposition_percentage")
+    g = g.withColumn("annual_disposition_percentage", F.round("annual_disposition_percentage", 6))
+    return AN.prev_change(g, "incident_year", "annual_disposition_percentage", ["disposition_category"], "previous_year_percentage", "year_over_year_percentage_point_change")
 
 
-@query("b29_outcome_by_change_group", "change_group:s disposition_category:s total_incidents:i group_incidents:i percentage_within_group:f6 rank_within_group:i",
-       _within_sql(O.EVD + f", evg AS (SELECT *, {O.CHANGE_GROUP} AS change_group FROM evd)", "evg", "change_group", "group_incidents", "percentage_within_group", "rank_within_group"))
+@query("b29_outcome_by_change_group", "classification_change_group:s disposition_category:s total_incidents:i classification_group_incidents:i "
+       "percentage_within_change_group:f6 disposition_rank_within_change_group:i",
+       _within_sql(O.EVD + f", evg AS (SELECT *, {O.CHANGE_GROUP} AS classification_change_group FROM evd)", "evg", "classification_change_group", "classification_group_incidents",
+                   "percentage_within_change_group", "disposition_rank_within_change_group"))
 def outcome_by_change_group(spark, folder):
-    g = outcome_counts(spark, A.event_view(spark, folder).withColumn("change_group", AN.change_group()), "change_group")
-    g = AN.share_of(g, within=["change_group"], total="group_incidents", name="percentage_within_group")
-    return AN.rank_within(g, "total_incidents", ["change_group"], "rank_within_group")
+    g = outcome_counts(spark, A.event_view(spark, folder).withColumn("classification_change_group", AN.change_group()), "classification_change_group")
+    g = AN.share_of(g, within=["classification_change_group"], total="classification_group_incidents", name="percentage_within_change_group")
+    return AN.rank_within(g, "total_incidents", ["classification_change_group"], "disposition_rank_within_change_group")
 
 
 # --- measures -----------------------------------------------------------------

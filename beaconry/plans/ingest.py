@@ -45,12 +45,13 @@ def lineage_columns(spark, folder):
         F.count("_ingested_at").alias("with_load_time"))
 
 
-@query("i05_file_inventory", "year:i expected_files:i actual_files:i status:s")
+@query("i05_file_inventory", "year:i file_difference:i status:s",
+       f"WITH {O.RAW} SELECT year, 0 AS file_difference, 'PASS' AS status FROM raw GROUP BY year")
 def file_inventory(spark, folder):
     root = A.staged_csv(spark, folder)
     written = (R.read_raw(spark, root + "/year=*/*.csv").select(F.col("_source_year").alias("year"), "_source_file").distinct()
                .groupBy("year").agg(F.count("*").alias("expected_files")))
-    return R.file_inventory(spark, root, written)
+    return R.file_inventory(spark, root, written).withColumn("file_difference", F.col("actual_files") - F.col("expected_files"))
 
 
 @query("i06_file_profile", "year:i data_rows:i failed_files:i wrong_columns:i",
@@ -113,11 +114,12 @@ def read_back(spark, folder):
     return T.read_back(o, spark, path, "incident_year")
 
 
-@query("i13_storage_detail", "incident_year:i n_files:i n_rows:i n_bytes:i")
+@query("i13_storage_detail", "incident_year:i n_rows:i has_files:b has_bytes:b",
+       f"WITH {O.OD} SELECT incident_year, COUNT(*) AS n_rows, TRUE AS has_files, TRUE AS has_bytes FROM od GROUP BY 1")
 def storage_detail(spark, folder):
     path = new_folder(spark, "detail")
     T.overwrite(A.orders(spark, folder).select("incident_id", "incident_year"), path, "incident_year")
-    return T.storage_detail(spark, path, "incident_year")
+    return T.storage_detail(spark, path, "incident_year").withColumns({"has_files": F.col("n_files") > 0, "has_bytes": F.col("n_bytes") > 0})
 
 
 @query("i14_preview", "incident_id:s incident_datetime:d borough:s",

@@ -161,7 +161,7 @@ def sort_columns(spark, folder):
     y = F.col("incident_year")
     return A.orders(spark, folder).groupBy(
         (y * 10 + F.quarter("incident_date")).alias("year_quarter_sort"), (y * 100 + F.col("incident_month")).alias("year_month_sort"),
-        ((F.dayofweek("incident_date") + 5) % 7 + 1).alias("monday_first")).agg(F.count("*").alias("n"))
+        X.monday_first("incident_date").alias("monday_first")).agg(F.count("*").alias("n"))
 
 
 @query("c21_month_bounds", "o_orderkey:i month_start:d month_end:d is_month_start:b is_month_end:b",
@@ -170,7 +170,7 @@ def sort_columns(spark, folder):
 def month_bounds(spark, folder):
     d = F.to_date("o_orderdate")
     return table(spark, folder, "orders").select(
-        "o_orderkey", F.trunc(d, "month").alias("month_start"), F.last_day(d).alias("month_end"),
+        "o_orderkey", X.month_start(d).alias("month_start"), F.last_day(d).alias("month_end"),
         (d == F.trunc(d, "month")).alias("is_month_start"), (d == F.last_day(d)).alias("is_month_end"))
 
 
@@ -212,10 +212,10 @@ def predicates(spark, folder):
 
 
 @query("c27_code_labels", "label:s n:i",
-       f"""WITH {O.EV} SELECT CASE initial_severity_level_code WHEN 1 THEN 'Critical' WHEN 2 THEN 'Urgent' WHEN 3 THEN 'Routine' ELSE 'Unknown' END AS label,
+       f"""WITH {O.EV} SELECT CASE WHEN initial_severity_level_code BETWEEN 1 AND 9 THEN 'Severity Level ' || initial_severity_level_code END AS label,
        COUNT(*) AS n FROM ev GROUP BY 1""")
 def code_labels(spark, folder):
-    label = X.mapped_label("initial_severity_level_code", {1: "Critical", 2: "Urgent", 3: "Routine"}, "Unknown")
+    label = X.mapped_label("initial_severity_level_code", X.SEVERITY_DISPLAY)
     return A.event_view(spark, folder).groupBy(label.alias("label")).agg(F.count("*").alias("n"))
 
 

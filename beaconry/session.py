@@ -22,6 +22,7 @@ def get_session(app: str = "beaconry", master: str | None = None, shuffle_partit
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          .config("spark.ui.enabled", "false"))
     if master:
         b = b.master(master)

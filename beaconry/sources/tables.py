@@ -9,9 +9,19 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Scan one parquet table; pruning and pushdown are left to Catalyst."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """Scan one parquet table; pruning and pushdown are left to Catalyst.
+
+    The schema is read from the files once per path; later scans reuse it and
+    start without another footer job.
+    """
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def literal_table(spark: SparkSession, rows, schema: str) -> DataFrame:

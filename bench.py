@@ -1,6 +1,7 @@
 """Time the headline queries and print one JSON line.
 
-``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local cores.  Every result
+``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local cores.  Each query runs
+once to warm up and is timed on its second run, planning included.  Every result
 is consumed in full by the noop sink, so no time goes into the driver.
 """
 
@@ -28,10 +29,9 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
     spark = get_session("bench", f"local[{cpus}]", shuffle_partitions=int(cpus))
     spark.sparkContext.setLogLevel("ERROR")
-    for name in ("b01_annual_volume", "a10_daily_performance", "b07_common_initial_class"):
-        REGISTRY[name].run(spark, folder).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in HEADLINE:
+        REGISTRY[name].run(spark, folder).write.format("noop").mode("overwrite").save()
         t = time.perf_counter()
         REGISTRY[name].run(spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - t, 3)
