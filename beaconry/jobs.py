@@ -95,9 +95,7 @@ def load_fact(spark: SparkSession, out: str, strict: bool = True) -> None:
 def load_daily(spark: SparkSession, out: str, run_id: str, strict: bool = True) -> None:
     """Roll the fact up to the daily table and audit the stored result."""
     fact, dims = stored_star(spark, out)
-    area = dims["geography"].select("geography_key", "borough")
-    severity = dims["severity"].select(F.col("severity_key").alias("initial_severity_key"), F.col("severity_level_code").alias("initial_severity_level_code"))
-    view = fact.join(area, "geography_key", "left").join(severity, "initial_severity_key", "left").withColumn("incident_date", F.to_date("incident_datetime"))
+    view = FC.star_view(fact, dims, DY.GRAIN)
     T.overwrite(DY.daily_table(view), f"{out}/daily", "incident_year", rebalance=True)
     audit = QC.audit_record(stored(spark, out, "daily"), fact.agg(F.count("*")), run_id)
     T.append(_stamped(audit), f"{out}/gold_audit")

@@ -98,19 +98,30 @@ def build_fact(silver: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     return keyed.withColumn("incident_count", F.lit(1)).select(*FACT_COLUMNS)
 
 
-def star_view(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """The fact with its natural attributes, as the analysis queries expect it.
+def star_view(fact: DataFrame, dims: dict[str, DataFrame], columns) -> DataFrame:
+    """The fact with the named natural attributes, as the analysis queries expect it.
 
-    Columns that a query does not use are pruned; its joins carry keys only.
+    Only dimensions that supply one of ``columns`` are joined; each small one is
+    broadcast by its stored size, so the view stays a narrow job.
     """
     ct, sv = dims["call_type"], dims["severity"]
-    g = dims["geography"].select("geography_key", *GEOGRAPHY)
-    disp = dims["disposition"]
-    date, time = dims["date"], dims["time"].drop("hour_number")
-    out = fact.join(date.drop("year"), "date_key").join(time, "time_key").join(g, "geography_key", "left").join(disp, "disposition_key", "left")
+    sources = {"date": (dims["date"], {"date_key": "date_key", "full_date": "incident_date"}),
+               "time": (dims["time"], {"time_key": "time_key", "hour_number": "incident_hour"}),
+               "geography": (dims["geography"], {"geography_key": "geography_key"}),
+               "disposition": (dims["disposition"], {"disposition_key": "disposition_key", "disposition_code": "incident_disposition_code"})}
     for role in ("initial", "final"):
-        out = (out.join(ct.select(F.col("call_type_key").alias(f"{role}_call_type_key"), F.col("call_type").alias(f"{role}_call_type"),
-                                  F.col("call_type_description").alias(f"{role}_call_type_description")), f"{role}_call_type_key", "left")
-               .join(sv.select(F.col("severity_key").alias(f"{role}_severity_key"), F.col("severity_level_code").alias(f"{role}_severity_level_code")),
-                     f"{role}_severity_key", "left"))
-    return out.withColumns({"incident_date": F.col("full_date"), "incident_hour": F.col("time_key")})
+        sources[f"{role}_call_type"] = (ct, {"call_type_key": f"{role}_call_type_key", "call_type": f"{role}_call_type",
+                                             "call_type_description": f"{role}_call_type_description"})
+        sources[f"{role}_severity"] = (sv, {"severity_key": f"{role}_severity_key", "severity_level_code": f"{role}_severity_level_code",
+                                            "severity_label": f"{role}_severity_label"})
+    out, missing = fact, set(columns) - set(fact.columns)
+    for dim, names in sources.values():
+        key = next(n for n in names.values() if n.endswith("_key"))
+        side = dim.withColumnsRenamed(names)
+        wanted = sorted(missing & set(side.columns))
+        if wanted:
+            out = out.join(side.select(key, *wanted), key, "left")
+            missing -= set(wanted)
+    if missing:
+        raise ValueError(f"no dimension supplies {sorted(missing)}")
+    return out

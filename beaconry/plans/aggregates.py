@@ -28,7 +28,7 @@ def daily_base(spark, folder):
 @query("a01_grouped_count", "initial_call_type:s total_incidents:i",
        f"WITH {O.EV} SELECT initial_call_type, COUNT(*) AS total_incidents FROM ev GROUP BY 1")
 def grouped_count(spark, folder):
-    return AN.counts(A.event_view(spark, folder), ["initial_call_type"]).orderBy(F.col("total_incidents").desc())
+    return AN.counts(A.event_view(spark, folder, area=False), ["initial_call_type"]).orderBy(F.col("total_incidents").desc())
 
 
 @query("a02_global_audit", "total_rows:i null_severity:i negative_dispatch:i missing_travel:i first_time:d last_time:d",
@@ -36,7 +36,7 @@ def grouped_count(spark, folder):
        COUNT(*) FILTER (WHERE dispatch_response_seconds_qy < 0) AS negative_dispatch, COUNT(*) FILTER (WHERE incident_travel_tm_seconds_qy IS NULL) AS missing_travel,
        MIN(incident_date) AS first_time, MAX(incident_date) AS last_time FROM et""")
 def global_audit(spark, folder):
-    return A.events(spark, folder).agg(
+    return A.events(spark, folder, area=False).agg(
         F.count("*").alias("total_rows"), X.n_if(F.col("initial_severity_level_code").isNull()).alias("null_severity"),
         X.n_if(F.col("dispatch_response_seconds_qy") < 0).alias("negative_dispatch"),
         X.n_if(F.col("incident_travel_tm_seconds_qy").isNull()).alias("missing_travel"),
@@ -75,7 +75,7 @@ def basic_aggregates(spark, folder):
 
 @query("a07_population_stddev", "initial_call_type:s sd:f6", f"WITH {O.EV} SELECT initial_call_type, stddev_pop({V}) AS sd FROM ev GROUP BY 1")
 def population_stddev(spark, folder):
-    return A.event_view(spark, folder).groupBy("initial_call_type").agg(F.stddev_pop(V).alias("sd"))
+    return A.event_view(spark, folder, area=False).groupBy("initial_call_type").agg(F.stddev_pop(V).alias("sd"))
 
 
 @query("a08_discrete_percentiles", "initial_call_type:s p50:f2 p75:f2 p90:f2 p95:f2",
@@ -83,7 +83,7 @@ def population_stddev(spark, folder):
        quantile_disc({V}, 0.95) AS p95 FROM ev GROUP BY 1""")
 def discrete_percentiles(spark, folder):
     p = F.percentile_approx(V, [0.5, 0.75, 0.9, 0.95], 10000)
-    g = A.event_view(spark, folder).groupBy("initial_call_type").agg(p.alias("p"))
+    g = A.event_view(spark, folder, area=False).groupBy("initial_call_type").agg(p.alias("p"))
     return g.select("initial_call_type", *[F.col("p")[i].alias(n) for i, n in enumerate(["p50", "p75", "p90", "p95"])])
 
 
@@ -143,7 +143,7 @@ def pooled_stddev(spark, folder):
 
 @query("a16_having", "zipcode:s total_incidents:i", f"WITH {O.EV} SELECT zipcode, COUNT(*) AS total_incidents FROM ev GROUP BY 1 HAVING COUNT(*) >= 250")
 def having(spark, folder):
-    return AN.counts(A.event_view(spark, folder), ["zipcode"]).filter(F.col("total_incidents") >= 250)
+    return AN.counts(A.event_view(spark, folder, area=False), ["zipcode"]).filter(F.col("total_incidents") >= 250)
 
 
 @query("a17_two_level_aggregate", "dow:i days_observed:i total_incidents:i average_daily_incidents:f2",
@@ -166,7 +166,7 @@ _H = [f"h{i:02d}" for i in range(24)]
 @query("a19_weekday_hour_matrix", "dow:i " + " ".join(f"{h}:i" for h in _H),
        f"WITH {O.EV} SELECT dow, " + ", ".join(f"COUNT(*) FILTER (WHERE incident_hour = {i}) AS {h}" for i, h in enumerate(_H)) + " FROM ev GROUP BY 1")
 def weekday_hour_matrix(spark, folder):
-    ev = A.event_view(spark, folder).withColumn("dow", F.col("incident_day_of_week_number"))
+    ev = A.event_view(spark, folder, area=False).withColumn("dow", F.col("incident_day_of_week_number"))
     return AN.pivot_matrix(ev, "dow", "incident_hour", range(24))
 
 

@@ -137,28 +137,31 @@ def _spark_at(n: str) -> str:
     return f"SUBSTRING(CAST(TIMESTAMPADD(SECOND, {n}, ts) AS STRING), 1, 19)"
 
 
-def event_base(spark: SparkSession, folder: str) -> DataFrame:
+def event_base(spark: SparkSession, folder: str, area: bool = True) -> DataFrame:
     """Events with payload number, response seconds and area; a narrow job.
 
     The area comes from the region table, small enough by its file size for
-    Catalyst to broadcast it.
+    Catalyst to broadcast it.  A query that does not use the area leaves the
+    join out (``area=False``) and with it the user column in the scan.
     """
     e = table(spark, folder, "events").withColumns({
         "k": F.regexp_extract("props", r'"k": ([0-9]+)', 1).cast("int"),
         "s": F.floor(F.col("value") * 6).cast("int")})
+    if not area:
+        return e.withColumn("r_name", F.lit(None).cast("string"))
     r = table(spark, folder, "region").select("r_regionkey", "r_name")
     return e.join(r, F.col("user_id") % 5 == F.col("r_regionkey"), "left")
 
 
-def events(spark: SparkSession, folder: str) -> DataFrame:
+def events(spark: SparkSession, folder: str, area: bool = True) -> DataFrame:
     """Typed event incidents with valid measures, change flags and date parts."""
-    e = event_base(spark, folder).selectExpr(*exprs(EVENT_FIELDS))
+    e = event_base(spark, folder, area).selectExpr(*exprs(EVENT_FIELDS))
     return S.change_flags(S.calendar_columns(S.valid_measures(e)))
 
 
-def event_view(spark: SparkSession, folder: str) -> DataFrame:
+def event_view(spark: SparkSession, folder: str, area: bool = True) -> DataFrame:
     """Event incidents with normalised codes, as the analysis queries expect."""
-    return FC.prepare(events(spark, folder))
+    return FC.prepare(events(spark, folder, area))
 
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:

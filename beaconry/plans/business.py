@@ -52,7 +52,7 @@ def monthly_volume(spark, folder):
        SELECT dow AS day_of_week_number, day_name AS day_of_week_name, SUBSTRING(day_name, 1, 3) AS day_of_week_short_name, dow IN (1, 7) AS is_weekend, COUNT(*) AS days_observed, SUM(n) AS total_incidents,
        CAST((2 * SUM(n) * 100 + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) / 100 AS average_daily_incidents FROM d GROUP BY ALL""")
 def demand_by_weekday(spark, folder):
-    d = AN.counts(A.event_view(spark, folder), ["incident_date"], "n")
+    d = AN.counts(A.event_view(spark, folder, area=False), ["incident_date"], "n")
     g = d.groupBy(F.dayofweek("incident_date").alias("day_of_week_number"), F.date_format("incident_date", "EEEE").alias("day_of_week_name"),
                   F.date_format("incident_date", "EEE").alias("day_of_week_short_name"),
                   X.is_weekend("incident_date").alias("is_weekend")).agg(F.count("*").alias("days_observed"), F.sum("n").alias("total_incidents"))
@@ -73,14 +73,14 @@ def _ranked_sql(cols: str, rank: str, cte: str = O.EV, fact: str = "ev") -> str:
 @query("b04_demand_by_hour", "hour_number:i hour_label:s total_incidents:i incident_percentage:f6 demand_rank:i",
        _ranked_sql("incident_hour AS hour_number, lpad(CAST(incident_hour AS VARCHAR), 2, '0') || ':00' AS hour_label", "demand_rank"))
 def demand_by_hour(spark, folder):
-    out = _ranked(A.event_view(spark, folder), ["incident_hour"], "demand_rank")
+    out = _ranked(A.event_view(spark, folder, area=False), ["incident_hour"], "demand_rank")
     return out.select(F.col("incident_hour").alias("hour_number"), X.hour_label("incident_hour").alias("hour_label"), "total_incidents", "incident_percentage", "demand_rank")
 
 
 @query("b05_demand_by_time_of_day", "time_of_day:s time_of_day_sort:i total_incidents:i incident_percentage:f2 demand_rank:i",
        _ranked_sql("time_of_day, incident_hour // 6 + 1 AS time_of_day_sort", "demand_rank"))
 def demand_by_time_of_day(spark, folder):
-    ev = A.event_view(spark, folder).withColumn("time_of_day_sort", X.time_bucket_sort("incident_hour"))
+    ev = A.event_view(spark, folder, area=False).withColumn("time_of_day_sort", X.time_bucket_sort("incident_hour"))
     return _ranked(ev, ["time_of_day", "time_of_day_sort"], "demand_rank").orderBy("time_of_day_sort")
 
 
@@ -153,7 +153,7 @@ def variability(spark, folder):
        {O.minutes('sd')} AS population_stddev_minutes, sd * 100.0 / m AS response_cv_percentage FROM g""")
 def held_vs_not_held(spark, folder):
     status = F.when(F.col("is_held"), "Held").otherwise("Not Held")
-    g = A.event_view(spark, folder).groupBy(status.alias("held_status")).agg(
+    g = A.event_view(spark, folder, area=False).groupBy(status.alias("held_status")).agg(
         F.count("*").alias("total_incidents"), F.count(V).alias("valid_response_count"), F.avg(V).alias("m"), F.stddev_pop(V).alias("sd"))
     return g.withColumns({"valid_response_percentage": AN.share_pct("valid_response_count", "total_incidents"), "average_response_minutes": X.sec_to_min("m"),
                           "population_stddev_minutes": X.sec_to_min("sd"), "response_cv_percentage": F.try_divide(F.col("sd") * 100.0, F.col("m"))})
@@ -168,7 +168,7 @@ _COMPLETE = f"WHERE valid_dispatch_response_seconds IS NOT NULL AND valid_travel
        SELECT *, {O.minutes('d')} AS average_dispatch_minutes, {O.minutes('t')} AS average_travel_minutes, {O.minutes('r')} AS average_incident_response_minutes,
        d * 100.0 / r AS dispatch_share_percentage, t * 100.0 / r AS travel_share_percentage, ROUND(ROUND(r - d - t, 6) / 60, 2) AS component_reconciliation_difference_minutes FROM g""")
 def component_share(spark, folder):
-    g = A.event_view(spark, folder).filter(M.complete()).agg(
+    g = A.event_view(spark, folder, area=False).filter(M.complete()).agg(
         F.count("*").alias("valid_component_records"), F.avg(M.DISP).alias("d"), F.avg(M.TRAV).alias("t"), F.avg(M.RESP).alias("r"))
     d, t, r = F.col("d"), F.col("t"), F.col("r")
     return g.withColumns({
@@ -183,7 +183,7 @@ def component_share(spark, folder):
        MAX(x) AS maximum_difference_seconds, AVG(x) AS average_difference_seconds FROM g""")
 def component_additivity(spark, folder):
     x = F.col(M.RESP) - F.col(M.DISP) - F.col(M.TRAV)
-    return A.event_view(spark, folder).filter(M.complete()).agg(
+    return A.event_view(spark, folder, area=False).filter(M.complete()).agg(
         F.count("*").alias("compared_records"), X.n_if(~X.near(x, F.lit(0.0), 1e-6)).alias("component_mismatch_records"),
         F.min(x).alias("minimum_difference_seconds"), F.max(x).alias("maximum_difference_seconds"), F.avg(x).alias("average_difference_seconds"))
 
@@ -212,7 +212,7 @@ def busy_slow_months(spark, folder):
        {_slow_sql('is_high_demand_slow_response_hour')} SELECT *, {O.minutes('average_response_seconds')} AS average_response_minutes,
        RANK() OVER (ORDER BY total_incidents DESC, average_response_seconds DESC) AS combined_demand_rank FROM h""")
 def busy_slow_hours(spark, folder):
-    g = AN.high_demand_slow(AN.response_by(A.event_view(spark, folder), ["incident_hour"]), "is_high_demand_slow_response_hour")
+    g = AN.high_demand_slow(AN.response_by(A.event_view(spark, folder, area=False), ["incident_hour"]), "is_high_demand_slow_response_hour")
     g = AN.rank_within(g, ["total_incidents", "average_response_seconds"], name="combined_demand_rank")
     return g.withColumns({"hour_number": F.col("incident_hour"), "hour_label": X.hour_label("incident_hour"),
                           "average_response_minutes": X.sec_to_min("average_response_seconds")}).orderBy("hour_number")
@@ -246,7 +246,7 @@ def outcome_counts(spark, df, *group):
 @query("b18_outcome_distribution", "disposition_category:s total_incidents:i incident_percentage:f6",
        f"WITH {O.EVD} SELECT disposition_category, COUNT(*) AS total_incidents, COUNT(*) * 100.0 / SUM(COUNT(*)) OVER () AS incident_percentage FROM evd GROUP BY 1")
 def outcome_distribution(spark, folder):
-    return AN.share_of(outcome_counts(spark, A.event_view(spark, folder)))
+    return AN.share_of(outcome_counts(spark, A.event_view(spark, folder, area=False)))
 
 
 @query("b19_outcome_codes", "incident_disposition_code:s disposition_description:s disposition_category:s mapping_status:s is_documented_code:b is_unknown:b total_incidents:i incident_percentage:f6",
@@ -254,7 +254,7 @@ def outcome_distribution(spark, folder):
        SELECT *, mapping_status = 'Documented' AS is_documented_code, mapping_status = 'Unknown' AS is_unknown,
        total_incidents * 100.0 / SUM(total_incidents) OVER () AS incident_percentage FROM g""")
 def outcome_codes(spark, folder):
-    g = AN.share_of(AN.counts(A.event_view(spark, folder), ["incident_disposition_code"]))
+    g = AN.share_of(AN.counts(A.event_view(spark, folder, area=False), ["incident_disposition_code"]))
     return A.with_disposition(spark, g).orderBy("disposition_category_sort", F.desc("total_incidents"), "incident_disposition_code")
 
 
@@ -283,7 +283,7 @@ _CHANGE = "total_incidents:i changed_incidents:i unchanged_incidents:i change_ra
 @query("b21_class_change_rate", f"initial_call_type:s call_type_change_percentage:f6 {_CHANGE}",
        _change_sql(O.EV, "ev", "initial_call_type", "call_type_changed", 1000, "call_type_change_percentage"))
 def class_change_rate(spark, folder):
-    return AN.change_rate(A.event_view(spark, folder), "initial_call_type", "call_type_changed", 1000, "call_type_change_percentage")
+    return AN.change_rate(A.event_view(spark, folder, area=False), "initial_call_type", "call_type_changed", 1000, "call_type_change_percentage")
 
 
 def _transition_sql(cte, fact, a, b, flag, top=None):
@@ -307,13 +307,13 @@ def class_transitions(spark, folder):
 @query("b23_severity_change_rate", f"initial_severity_level_code:i severity_change_percentage:f6 {_CHANGE}",
        _change_sql(O.EV, "ev", "initial_severity_level_code", "severity_changed", 0, "severity_change_percentage"))
 def severity_change_rate(spark, folder):
-    return AN.change_rate(A.event_view(spark, folder), "initial_severity_level_code", "severity_changed", name="severity_change_percentage")
+    return AN.change_rate(A.event_view(spark, folder, area=False), "initial_severity_level_code", "severity_changed", name="severity_change_percentage")
 
 
 @query("b24_severity_transitions", f"initial_severity_level_code:i final_severity_level_code:i {_TRANS}",
        _transition_sql(O.EV, "ev", "initial_severity_level_code", "final_severity_level_code", "severity_changed"))
 def severity_transitions(spark, folder):
-    return AN.transition_matrix(A.event_view(spark, folder), "initial_severity_level_code", "final_severity_level_code", "severity_changed")
+    return AN.transition_matrix(A.event_view(spark, folder, area=False), "initial_severity_level_code", "final_severity_level_code", "severity_changed")
 
 
 @query("b25_change_overlap", "classification_change_group:s total_incidents:i percentage_of_all_incidents:f6 percentage_of_changed_incidents:f6",
@@ -322,7 +322,7 @@ def severity_transitions(spark, folder):
        CASE WHEN classification_change_group NOT LIKE 'Unknown%' AND classification_change_group NOT LIKE 'Neither%' THEN total_incidents * 100.0 /
        (SELECT SUM(total_incidents) FROM g WHERE classification_change_group NOT LIKE 'Unknown%' AND classification_change_group NOT LIKE 'Neither%') END AS percentage_of_changed_incidents FROM g""")
 def change_overlap(spark, folder):
-    g = A.event_view(spark, folder).groupBy(AN.change_group().alias("classification_change_group")).agg(F.count("*").alias("total_incidents"))
+    g = A.event_view(spark, folder, area=False).groupBy(AN.change_group().alias("classification_change_group")).agg(F.count("*").alias("total_incidents"))
     some = ~F.col("classification_change_group").rlike("^(Unknown|Neither)")
     n_some = F.sum(F.when(some, F.col("total_incidents"))).over(AN.Window.partitionBy())
     return AN.share_of(g, name="percentage_of_all_incidents").withColumn(
@@ -349,7 +349,7 @@ def annual_change_rates(spark, folder):
 @query("b27_outcome_by_severity", "initial_severity_level_code:i disposition_category:s total_incidents:i initial_severity_incidents:i percentage_within_initial_severity:f6 disposition_rank_within_severity:i",
        _within_sql(O.EVD, "evd", "initial_severity_level_code", "initial_severity_incidents", "percentage_within_initial_severity", "disposition_rank_within_severity"))
 def outcome_by_severity(spark, folder):
-    g = outcome_counts(spark, A.event_view(spark, folder), "initial_severity_level_code")
+    g = outcome_counts(spark, A.event_view(spark, folder, area=False), "initial_severity_level_code")
     g = AN.share_of(g, within=["initial_severity_level_code"], total="initial_severity_incidents", name="percentage_within_initial_severity")
     return AN.rank_within(g, "total_incidents", ["initial_severity_level_code"], "disposition_rank_within_severity")
 
@@ -372,7 +372,7 @@ def annual_outcome_share(spark, folder):
        _within_sql(O.EVD + f", evg AS (SELECT *, {O.CHANGE_GROUP} AS classification_change_group FROM evd)", "evg", "classification_change_group", "classification_group_incidents",
                    "percentage_within_change_group", "disposition_rank_within_change_group"))
 def outcome_by_change_group(spark, folder):
-    g = outcome_counts(spark, A.event_view(spark, folder).withColumn("classification_change_group", AN.change_group()), "classification_change_group")
+    g = outcome_counts(spark, A.event_view(spark, folder, area=False).withColumn("classification_change_group", AN.change_group()), "classification_change_group")
     g = AN.share_of(g, within=["classification_change_group"], total="classification_group_incidents", name="percentage_within_change_group")
     return AN.rank_within(g, "total_incidents", ["classification_change_group"], "disposition_rank_within_change_group")
 
@@ -419,7 +419,7 @@ def held_difference(spark, folder):
        f"""WITH {O.EV}, g AS (SELECT COUNT(*) AS complete_incidents, SUM(valid_dispatch_response_seconds) AS d, SUM(valid_travel_time_seconds) AS t, SUM({V}) AS r FROM ev {_COMPLETE})
        SELECT *, d / r AS dispatch_share, t / r AS travel_share, r - d - t AS component_difference_seconds, d / r + t / r AS component_share_total FROM g""")
 def component_measures(spark, folder):
-    return M.measure(A.event_view(spark, folder), ["complete_incidents", "dispatch_share", "travel_share", "component_difference_seconds", "component_share_total"])
+    return M.measure(A.event_view(spark, folder, area=False), ["complete_incidents", "dispatch_share", "travel_share", "component_difference_seconds", "component_share_total"])
 
 
 @query("b34_final_role", "call_type:s final_incidents:i final_share:f6 final_rank:i",
@@ -460,7 +460,7 @@ _EXEC_SQL = f"""COUNT(*) AS total_incidents, COUNT(*) FILTER (WHERE is_valid_inc
 
 @query("b36_executive_summary", "total_incidents:i " + " ".join(f"{n}:f6" for n in _EXEC), f"WITH {O.EVD} SELECT {_EXEC_SQL} FROM evd")
 def executive_summary(spark, folder):
-    return M.measure(A.with_disposition(spark, A.event_view(spark, folder)), ["total_incidents", *_EXEC])
+    return M.measure(A.with_disposition(spark, A.event_view(spark, folder, area=False)), ["total_incidents", *_EXEC])
 
 
 @query("b37_daily_demand_response", "incident_date:d total_incidents:i average_response_minutes:f6", f"WITH {DAYS} SELECT * FROM days")

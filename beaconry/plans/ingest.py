@@ -68,7 +68,7 @@ def file_profile(spark, folder):
        "FROM dm LEFT JOIN ev ON code = incident_disposition_code GROUP BY ALL")
 def literal_table(spark, folder):
     m = T.literal_table(spark, D.DISPOSITIONS, "disposition_code string, disposition_description string, disposition_category string")
-    used = A.event_view(spark, folder).groupBy(F.col("incident_disposition_code").alias("disposition_code")).agg(F.count("*").alias("n"))
+    used = A.event_view(spark, folder, area=False).groupBy(F.col("incident_disposition_code").alias("disposition_code")).agg(F.count("*").alias("n"))
     return m.join(used, "disposition_code", "left").withColumn("total_incidents", F.coalesce("n", F.lit(0)))
 
 
@@ -76,7 +76,7 @@ def literal_table(spark, folder):
        f"WITH {O.EV} SELECT r.range AS hour_number, COUNT(incident_id) AS total_incidents FROM range(24) r LEFT JOIN ev ON incident_hour = r.range GROUP BY 1")
 def range_generator(spark, folder):
     h = T.number_range(spark, 0, 24, "hour_number")
-    n = A.event_view(spark, folder).groupBy(F.col("incident_hour").alias("hour_number")).agg(F.count("*").alias("n"))
+    n = A.event_view(spark, folder, area=False).groupBy(F.col("incident_hour").alias("hour_number")).agg(F.count("*").alias("n"))
     return h.join(n, "hour_number", "left").withColumn("total_incidents", F.coalesce("n", F.lit(0)))
 
 

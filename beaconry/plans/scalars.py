@@ -55,7 +55,7 @@ def yn_to_boolean(spark, folder):
 @query("c06_valid_measures", "incident_id:s valid_dispatch_response_seconds:f1 valid_incident_response_seconds:f1 valid_travel_time_seconds:f1",
        f"WITH {O.EV} SELECT * FROM et")
 def valid_measures(spark, folder):
-    return A.events(spark, folder)
+    return A.events(spark, folder, area=False)
 
 
 @query("c07_date_parts", "incident_id:s incident_date:d incident_year:i incident_quarter:i incident_month:i incident_month_name:s "
@@ -63,17 +63,17 @@ def valid_measures(spark, folder):
        f"""WITH {O.EV} SELECT *, quarter(incident_datetime) AS incident_quarter, strftime(incident_datetime, '%B') AS incident_month_name,
        dow AS incident_day_of_week_number, day_name AS incident_day_of_week_name FROM et""")
 def date_parts(spark, folder):
-    return A.events(spark, folder)
+    return A.events(spark, folder, area=False)
 
 
 @query("c08_weekend_flag", "incident_id:s is_weekend:b", f"WITH {O.EV} SELECT incident_id, dayofweek(incident_datetime) IN (0, 6) AS is_weekend FROM et")
 def weekend_flag(spark, folder):
-    return A.events(spark, folder).select("incident_id", "is_weekend")
+    return A.events(spark, folder, area=False).select("incident_id", "is_weekend")
 
 
 @query("c09_time_of_day", "incident_id:s incident_hour:i time_of_day:s", f"WITH {O.EV} SELECT * FROM et")
 def time_of_day(spark, folder):
-    return A.events(spark, folder)
+    return A.events(spark, folder, area=False)
 
 
 @query("c10_minutes_double", "incident_id:s dispatch_response_minutes:f2 incident_response_minutes:f2 travel_time_minutes:f2",
@@ -81,7 +81,7 @@ def time_of_day(spark, folder):
        ROUND(valid_incident_response_seconds / 60.0, 2) AS incident_response_minutes,
        ROUND(valid_travel_time_seconds / 60.0, 2) AS travel_time_minutes FROM et""")
 def minutes_double(spark, folder):
-    return A.events(spark, folder)
+    return A.events(spark, folder, area=False)
 
 
 @query("c11_minutes_decimal", "event_id:i value_minutes:f2", f"SELECT event_id, {O.minutes('value')} AS value_minutes FROM events")
@@ -100,7 +100,7 @@ def count_percentage(spark, folder):
 
 @query("c13_change_flags", "incident_id:s call_type_changed:b severity_changed:b", f"WITH {O.EV} SELECT * FROM et")
 def change_flags(spark, folder):
-    return A.events(spark, folder)
+    return A.events(spark, folder, area=False)
 
 
 @query("c14_elapsed_seconds", "incident_id:s incident_duration_seconds:f1 hospital_travel_seconds:f1",
@@ -187,7 +187,7 @@ def calendar_parts(spark, folder):
 @query("c23_null_safe_equality", "is_same:b n:i",
        f"WITH {O.EV} SELECT initial_severity_level_code IS NOT DISTINCT FROM final_severity_level_code AS is_same, COUNT(*) AS n FROM et GROUP BY 1")
 def null_safe_equality(spark, folder):
-    return A.events(spark, folder).groupBy(X.same("initial_severity_level_code", "final_severity_level_code").alias("is_same")).agg(F.count("*").alias("n"))
+    return A.events(spark, folder, area=False).groupBy(X.same("initial_severity_level_code", "final_severity_level_code").alias("is_same")).agg(F.count("*").alias("n"))
 
 
 @query("c24_clamp_at_zero", "event_id:i clamped:f2", "SELECT event_id, GREATEST(0.0, value - 50) AS clamped FROM events")
@@ -198,7 +198,7 @@ def clamp_at_zero(spark, folder):
 @query("c25_safe_division", "event_id:i share:f8",
        """SELECT event_id, value / NULLIF(CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INTEGER), 0) AS share FROM events""")
 def safe_division(spark, folder):
-    return A.event_base(spark, folder).select("event_id", X.ratio("value", "k").alias("share"))
+    return A.event_base(spark, folder, area=False).select("event_id", X.ratio("value", "k").alias("share"))
 
 
 @query("c26_predicates", "incident_id:s initial_call_type:s incident_hour:i final_severity_level_code:i",
@@ -216,7 +216,7 @@ def predicates(spark, folder):
        COUNT(*) AS n FROM ev GROUP BY 1""")
 def code_labels(spark, folder):
     label = X.mapped_label("initial_severity_level_code", X.SEVERITY_DISPLAY)
-    return A.event_view(spark, folder).groupBy(label.alias("label")).agg(F.count("*").alias("n"))
+    return A.event_view(spark, folder, area=False).groupBy(label.alias("label")).agg(F.count("*").alias("n"))
 
 
 @query("c28_project_reorder", "incident_count:i is_held:b borough:s incident_id:s", f"WITH {O.EV} SELECT 1 AS incident_count, * FROM ev")

@@ -35,7 +35,7 @@ def lag_partition(spark, folder):
 @query("w03_rank_global", "zipcode:s total_incidents:i demand_rank:i",
        f"WITH {O.EV} SELECT zipcode, COUNT(*) AS total_incidents, RANK() OVER (ORDER BY COUNT(*) DESC) AS demand_rank FROM ev GROUP BY 1")
 def rank_global(spark, folder):
-    return AN.rank_within(AN.counts(A.event_view(spark, folder), ["zipcode"]), "total_incidents", name="demand_rank")
+    return AN.rank_within(AN.counts(A.event_view(spark, folder, area=False), ["zipcode"]), "total_incidents", name="demand_rank")
 
 
 @query("w04_rank_partition", "borough:s zipcode:s total_incidents:i area_rank:i",
@@ -74,7 +74,7 @@ def sample_quality(spark, folder):
 @query("w09_share_by_window", "time_of_day:s total_incidents:i incident_percentage:f6",
        f"WITH {O.EV} SELECT time_of_day, COUNT(*) AS total_incidents, COUNT(*) * 100.0 / SUM(COUNT(*)) OVER () AS incident_percentage FROM ev GROUP BY 1")
 def share_by_window(spark, folder):
-    return AN.share_of(AN.counts(A.event_view(spark, folder), ["time_of_day"]))
+    return AN.share_of(AN.counts(A.event_view(spark, folder, area=False), ["time_of_day"]))
 
 
 @query("w10_dense_numbering", "key:i borough:s zipcode:s", f"""WITH {O.EV} SELECT row_number() OVER (ORDER BY borough, zipcode) AS key, *
@@ -87,7 +87,7 @@ def dense_numbering(spark, folder):
        f"""WITH {O.EV} SELECT zipcode, COUNT(*) AS total_incidents, DENSE_RANK() OVER (ORDER BY COUNT(*) DESC) AS visible_rank FROM ev
        WHERE zipcode <> 'UNKNOWN' AND incident_hour < 12 GROUP BY 1""")
 def dense_rank_visible(spark, folder):
-    seen = A.event_view(spark, folder).filter("zipcode <> 'UNKNOWN' AND incident_hour < 12")
+    seen = A.event_view(spark, folder, area=False).filter("zipcode <> 'UNKNOWN' AND incident_hour < 12")
     return AN.rank_within(AN.counts(seen, ["zipcode"]), "total_incidents", name="visible_rank", dense=True)
 
 
@@ -95,7 +95,7 @@ def dense_rank_visible(spark, folder):
        f"""WITH {O.EV}, g AS (SELECT incident_hour, COUNT(*) AS total_incidents, AVG(valid_incident_response_seconds) AS average_response_seconds FROM ev GROUP BY 1)
        SELECT *, RANK() OVER (ORDER BY total_incidents DESC, average_response_seconds DESC) AS combined_rank FROM g""")
 def rank_two_measures(spark, folder):
-    g = AN.response_by(A.event_view(spark, folder), ["incident_hour"])
+    g = AN.response_by(A.event_view(spark, folder, area=False), ["incident_hour"])
     return AN.rank_within(g, ["total_incidents", "average_response_seconds"], name="combined_rank")
 
 
@@ -117,7 +117,7 @@ def top_n(spark, folder):
        f"""WITH {O.EV} SELECT final_call_type, COUNT(*) AS total_incidents FROM ev WHERE final_call_type NOT IN ('UNKNOWN', 'REVIEW')
        GROUP BY 1 ORDER BY total_incidents DESC, final_call_type LIMIT 3""")
 def top_n_excluding(spark, folder):
-    kept = A.event_view(spark, folder).filter(~F.col("final_call_type").isin("UNKNOWN", "REVIEW"))
+    kept = A.event_view(spark, folder, area=False).filter(~F.col("final_call_type").isin("UNKNOWN", "REVIEW"))
     return AN.top_n(AN.counts(kept, ["final_call_type"]), [F.col("total_incidents").desc(), "final_call_type"], 3)
 
 
