@@ -106,7 +106,7 @@ def common_initial_class(spark, folder):
        CASE WHEN COALESCE(i.c, f.c) = 'UNKNOWN' THEN 'UNKNOWN CALL TYPE' ELSE COALESCE(description, 'UNDOCUMENTED CALL TYPE') END AS call_type_description
        FROM i FULL JOIN f ON i.c = f.c LEFT JOIN ct ON COALESCE(i.c, f.c) = code""")
 def initial_final_volume(spark, folder):
-    out = AN.role_counts(A.event_view(spark, folder), {"initial": "initial_call_type", "final": "final_call_type"}, "call_type")
+    out = AN.role_counts(A.event_view(spark, folder, area=False), {"initial": "initial_call_type", "final": "final_call_type"}, "call_type")
     out = out.withColumnsRenamed({"initial": "initial_incident_count", "final": "final_incident_count"})
     out = out.withColumn("final_minus_initial_difference", F.col("final_incident_count") - F.col("initial_incident_count"))
     return D.describe_codes(out, A.call_type_mapping(spark), "call_type", "call_type_description")
@@ -482,6 +482,49 @@ def sliced_measures(spark, folder):
     return M.measure(A.with_disposition(spark, A.event_view(spark, folder)), ["total_incidents", *_EXEC], ["initial_call_type"], slice_)
 
 
+_ALL = [
+    ("total_incidents", "i", "COUNT(*)"), ("valid_incident_flag_count", "i", "COUNT(*) FILTER (WHERE is_valid_incident_response)"),
+    ("valid_dispatch_flag_count", "i", "COUNT(*) FILTER (WHERE is_valid_dispatch_response)"), ("valid_response_count", "i", f"COUNT({V})"),
+    ("valid_travel_count", "i", "COUNT(valid_travel_time_seconds)"), ("total_response_seconds", "f1", f"SUM({V})"),
+    ("total_dispatch_seconds", "f1", "SUM(valid_dispatch_response_seconds)"), ("total_travel_seconds", "f1", "SUM(valid_travel_time_seconds)"),
+    ("valid_response_percentage", "f6", "COUNT(*) FILTER (WHERE is_valid_incident_response) / COUNT(*)"),
+    ("average_response_minutes", "f6", f"AVG({V}) / 60"), ("average_dispatch_minutes", "f6", "AVG(valid_dispatch_response_seconds) / 60"),
+    ("average_travel_minutes", "f6", "AVG(valid_travel_time_seconds) / 60"), ("stddev_response_minutes", "f6", f"stddev_pop({V}) / 60"),
+    ("response_cv", "f6", f"stddev_pop({V}) / AVG({V})"), ("p90_response_minutes", "f6", f"quantile_cont({V}, 0.9) / 60"),
+    ("p95_response_minutes", "f6", f"quantile_cont({V}, 0.95) / 60"), ("held_incidents", "i", "COUNT(*) FILTER (WHERE is_held)"),
+    ("held_percentage", "f6", "COUNT(*) FILTER (WHERE is_held) / COUNT(*)"),
+    ("transported_incidents", "i", "COUNT(*) FILTER (WHERE disposition_category = 'Transported')"),
+    ("transported_percentage", "f6", "COUNT(*) FILTER (WHERE disposition_category = 'Transported') / COUNT(*)"),
+    ("not_transported_incidents", "i", "COUNT(*) FILTER (WHERE disposition_category = 'Not Transported')"),
+    ("not_transported_percentage", "f6", "COUNT(*) FILTER (WHERE disposition_category = 'Not Transported') / COUNT(*)"),
+    ("call_type_changed_incidents", "i", "COUNT(*) FILTER (WHERE call_type_changed)"),
+    ("call_type_change_percentage", "f6", "COUNT(*) FILTER (WHERE call_type_changed) / COUNT(*)"),
+    ("severity_changed_incidents", "i", "COUNT(*) FILTER (WHERE severity_changed)"),
+    ("severity_change_percentage", "f6", "COUNT(*) FILTER (WHERE severity_changed) / COUNT(*)"),
+]
+
+
+@query("b39_measure_catalogue", "borough:s " + " ".join(f"{n}:{t}" for n, t, _ in _ALL),
+       f"WITH {O.EVD} SELECT borough, {', '.join(f'{e} AS {n}' for n, _, e in _ALL)} FROM evd GROUP BY 1")
+def measure_catalogue(spark, folder):
+    return M.measure(A.with_disposition(spark, A.event_view(spark, folder)), [n for n, _, _ in _ALL], ["borough"])
+
+
+# Removing one dimension's filter leaves the others: each member's share in its year.
+_MEMBERS = {"weekday": ("incident_day_of_week_number", "dow"), "hour": ("incident_hour", "incident_hour"), "time_of_day": ("time_of_day", "time_of_day"),
+            "area": ("borough", "borough"), "call_type": ("initial_call_type", "initial_call_type"), "disposition": ("disposition_category", "disposition_category")}
+
+
+@query("b39_member_shares", "dimension:s incident_year:i member:s total_incidents:i incident_share:f6",
+       f"WITH {O.EVD}, m AS (" + " UNION ALL ".join(f"SELECT '{d}' AS dimension, incident_year, CAST({c} AS VARCHAR) AS member FROM evd" for d, (_, c) in _MEMBERS.items())
+       + "), g AS (SELECT dimension, incident_year, member, COUNT(*) AS total_incidents FROM m GROUP BY ALL) "
+       "SELECT *, total_incidents * 1.0 / SUM(total_incidents) OVER (PARTITION BY dimension, incident_year) AS incident_share FROM g")
+def member_shares(spark, folder):
+    ev = A.with_disposition(spark, A.event_view(spark, folder))
+    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(c).cast("string").alias("member")) for d, (c, _) in _MEMBERS.items()])
+    return M.share_removing(ev.select("incident_year", F.inline(pairs)), "member", ["dimension", "incident_year"])
+
+
 # --- forecast -----------------------------------------------------------------
 
 LAST_FULL = 2001 * 12 + 6  # July 2001: the order series ends on the first of August

@@ -20,13 +20,13 @@ def csv_scan(spark, folder):
 
 
 @query("i02_mapping_scan", "call_type:s call_type_description:s",
-       "SELECT n_name AS call_type, 'nation in ' || r_name AS call_type_description FROM nation JOIN region ON n_regionkey = r_regionkey")
+       "SELECT UPPER(s_name) AS call_type, 'supplier of ' || n_name AS call_type_description FROM supplier JOIN nation ON s_nationkey = n_nationkey")
 def mapping_scan(spark, folder):
     path = new_folder(spark, "mapping")
-    n, r = T.table(spark, folder, "nation"), T.table(spark, folder, "region")
-    (n.join(r, n.n_regionkey == r.r_regionkey)
-     .select(F.concat(F.lit(" "), F.lower("n_name"), F.lit("  ")).alias("call_type"),
-             F.concat(F.lit(" nation in "), "r_name").alias("call_type_description"))
+    s, n = T.table(spark, folder, "supplier"), T.table(spark, folder, "nation")
+    (s.join(n, s.s_nationkey == n.n_nationkey)
+     .select(F.concat(F.lit(" "), F.lower("s_name"), F.lit("  ")).alias("call_type"),
+             F.concat(F.lit(" supplier of "), "n_name").alias("call_type_description"))
      .write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return R.read_mapping(spark, path, "call_type", "call_type_description")
 

@@ -25,10 +25,12 @@ def left_broadcast(spark, folder):
     return e.join(r, e.user_id % 7 == r.r_regionkey, "left").groupBy("r_name").agg(F.count("*").alias("n"))
 
 
-@query("j03_left_on_expression", "n_name:s r_name:s", "SELECT n_name, r_name FROM nation LEFT JOIN region ON n_regionkey + 1 = r_regionkey")
+@query("j03_left_on_expression", "n_name:s customers:i balance:f2",
+       "SELECT n_name, COUNT(*) AS customers, SUM(c_acctbal) AS balance FROM customer LEFT JOIN nation ON c_nationkey + 1 = n_nationkey GROUP BY 1")
 def left_on_expression(spark, folder):
-    n, r = table(spark, folder, "nation").alias("n"), table(spark, folder, "region").alias("r")
-    return n.join(r, F.col("n.n_regionkey") + 1 == F.col("r.r_regionkey"), "left").select("n.n_name", "r.r_name")
+    c, n = table(spark, folder, "customer").alias("c"), table(spark, folder, "nation").alias("n")
+    joined = c.join(n, F.col("c.c_nationkey") + 1 == F.col("n.n_nationkey"), "left")
+    return joined.groupBy("n.n_name").agg(F.count("*").alias("customers"), F.sum("c.c_acctbal").alias("balance"))
 
 
 @query("j04_left_anti_orphans", "k:i", "SELECT DISTINCT user_id AS k FROM events WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)")
