@@ -63,11 +63,18 @@ def orphan_keys(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) ->
 
 
 def count_orphaned_keys(fact: DataFrame, lookups) -> DataFrame:
-    """Orphan count per ``(fact_key, dim, dim_key)`` lookup, one row each."""
-    return all_checks([
-        orphan_keys(fact, fk, dim, dk).agg(F.count("*").alias("issues"))
-        .select(F.lit("fact").alias("table_name"), F.lit(fk).alias("check_name"), "issues", status_of(F.col("issues")).alias("status"))
-        for fk, dim, dk in lookups])
+    """Distinct orphan keys per ``(fact_key, dim, dim_key)`` lookup.
+
+    All keys of a row become (name, key) pairs in one scan; they are reduced to
+    the distinct pairs before the shuffle and then looked for among the members
+    of all dimensions, tagged the same way.
+    """
+    pairs = F.array(*[F.struct(F.lit(fk).alias("check_name"), F.col(fk).alias("k")) for fk, _, _ in lookups])
+    used = fact.select(F.inline(pairs)).distinct()
+    members = all_checks([dim.select(F.lit(fk).alias("check_name"), F.col(dk).alias("k")) for fk, dim, dk in lookups]).distinct()
+    found = used.join(members.withColumn("_hit", F.lit(True)), ["check_name", "k"], "left")
+    out = found.groupBy("check_name").agg(F.count_if(F.col("k").isNotNull() & F.col("_hit").isNull()).alias("issues"))
+    return out.select(F.lit("fact").alias("table_name"), "check_name", "issues", status_of(F.col("issues")).alias("status"))
 
 
 def orphans_in_one_pass(fact: DataFrame, lookups) -> DataFrame:

@@ -97,8 +97,8 @@ _DAY = "incident_date:d borough:s initial_severity_level_code:i"
 
 
 @query("a10_daily_performance", _DAY + " total_incidents:i valid_dispatch_response_count:i valid_incident_response_count:i valid_travel_time_count:i "
-       "total_dispatch_response_seconds:f1 total_incident_response_seconds:f1 total_travel_time_seconds:f1 average_dispatch_response_seconds:f4 "
-       "average_incident_response_seconds:f4 average_travel_time_seconds:f4 population_stddev_response_seconds:f4 minimum_response_seconds:f1 "
+       "total_dispatch_response_seconds:f1 total_incident_response_seconds:f1 total_travel_time_seconds:f1 average_dispatch_response_seconds:f6 "
+       "average_incident_response_seconds:f6 average_travel_time_seconds:f6 population_stddev_response_seconds:f4 minimum_response_seconds:f1 "
        "maximum_response_seconds:f1 p50_response_seconds:f1 p75_response_seconds:f1 p90_response_seconds:f1 p95_response_seconds:f1 "
        "held_incident_count:i special_event_count:i transfer_incident_count:i", f"WITH {O.EV}, {O.daily(O.GRAIN)} SELECT * FROM d0")
 def daily_performance(spark, folder):

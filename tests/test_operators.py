@@ -149,6 +149,7 @@ def test_planted_key_faults_are_counted(spark):
     p = QC.key_profile(fact, "k", "t").first()
     assert (p["total_rows"], p["distinct_keys"], p["missing_keys"], p["duplicate_rows"], p["status"]) == (5, 3, 1, 1, "FAIL")
     assert QC.orphan_keys(fact, "k", dim, "k").collect()[0]["k"] == 9
+    assert [(r["check_name"], r["issues"]) for r in QC.count_orphaned_keys(fact, [("k", dim, "k")]).collect()] == [("k", 1)]
     assert [r["issues"] for r in QC.orphans_in_one_pass(fact, [("k", dim, "k")]).collect()] == [1]
     assert QC.key_profile(fact.filter("k > 99"), "k", "empty").first()["status"] == "FAIL"
     rec = {r["id"]: r["row_difference"] for r in QC.reconcile(fact, fact.filter("k IS NOT NULL"), "id").collect()}
