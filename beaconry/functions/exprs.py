@@ -49,8 +49,17 @@ def to_ts(c) -> Column:
     return _c(c).try_cast("timestamp_ntz")
 
 
+def convert(c, type_name: str) -> Column:
+    """Text to a type, null on failure.
+
+    Whole numbers go through double, so that ``"2.0"`` counts as 2.
+    """
+    c = _c(c)
+    return c.try_cast("double").try_cast(type_name) if type_name in ("int", "long") else c.try_cast(type_name)
+
+
 def to_int(c) -> Column:
-    return _c(c).try_cast("int")
+    return convert(c, "int")
 
 
 def to_double(c) -> Column:

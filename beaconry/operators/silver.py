@@ -36,12 +36,12 @@ def clean_strings(df: DataFrame, upper=()) -> DataFrame:
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Cast columns, null where the text does not convert."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
+    return df.withColumns({c: X.convert(c, t) for c, t in types.items()})
 
 
 def conversion_failures(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Rows per column whose non-null text does not convert (one pass)."""
-    return df.agg(*[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(c + "_invalid")
+    return df.agg(*[F.count_if(F.col(c).isNotNull() & X.convert(c, t).isNull()).alias(c + "_invalid")
                     for c, t in types.items()])
 
 

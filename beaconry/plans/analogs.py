@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from beaconry.operators import dims as D
 from beaconry.operators import fact as FC
 from beaconry.operators import silver as S
-from beaconry.session import new_folder
+from beaconry.session import new_folder, pin
 from beaconry.sources import raw as R
 from beaconry.sources.tables import literal_table, table
 
@@ -199,26 +199,30 @@ def lines(spark: SparkSession, folder: str, supplier: bool = True, customer: boo
     """Typed order-line incidents.
 
     Customers are resolved on the order side before the lines join, so the long
-    line rows are shuffled once for the order key.  A role that a query does not
-    use is left out with its join (``supplier``/``customer`` false).
+    line rows are shuffled once for the order key.  Only keys travel through
+    those joins; names of nations and regions are looked up on the joined rows.
+    A role that a query does not use is left out with its join
+    (``supplier``/``customer`` false).
     """
     li, o = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    n, r = table(spark, folder, "nation"), table(spark, folder, "region")
     fields = dict(LINE_FIELDS)
-    n = table(spark, folder, "nation")
     if customer:
-        r = table(spark, folder, "region")
-        place = n.join(r, n.n_regionkey == r.r_regionkey).select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("c_nation"), "r_name")
-        c = table(spark, folder, "customer").select("c_custkey", "c_nationkey").join(place, "c_nationkey", "left")
+        c = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
         o = o.join(c, o.o_custkey == c.c_custkey, "left")
     else:
         fields.pop("initial_call_type"), fields.pop("borough")
     out = li.join(o, li.l_orderkey == o.o_orderkey)
     if supplier:
+        s = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
         home = n.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("s_nation"))
-        s = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey").join(home, "s_nationkey", "left")
-        out = out.join(s, out.l_suppkey == s.s_suppkey, "left")
+        out = out.join(s, out.l_suppkey == s.s_suppkey, "left").join(home, "s_nationkey", "left")
     else:
         fields.pop("final_call_type")
+    if customer:
+        # Two plain scans: the estimated size of a joined pair would be their product.
+        place = n.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("c_nation"), F.col("n_regionkey").alias("r_regionkey"))
+        out = out.join(place, "c_nationkey", "left").join(r.select("r_regionkey", "r_name"), "r_regionkey", "left")
     out = out.withColumn("s", F.datediff("l_shipdate", "o_orderdate")).selectExpr(*exprs(fields))
     out = S.calendar_columns(S.valid_measures(out))
     flags = {"severity_changed": S.X.changed("initial_severity_level_code", "final_severity_level_code")}
@@ -248,6 +252,6 @@ def star(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, DataFra
     def make():
         silver = events(spark, folder).withColumns({"incident_duration_seconds": F.lit(None).cast("double"),
                                                     "hospital_travel_seconds": F.lit(None).cast("double")})
-        dims = FC.build_dims(silver, call_type_mapping(spark))
+        dims = {n: pin(d, f"dim-{n}") for n, d in FC.build_dims(silver, call_type_mapping(spark)).items()}
         return FC.build_fact(silver, dims), dims
     return _once(spark, folder, "star", make)

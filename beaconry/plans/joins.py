@@ -78,12 +78,14 @@ def group_to_parent(spark, folder):
        JOIN region ON cn.n_regionkey = r_regionkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation sn ON s_nationkey = sn.n_nationkey GROUP BY ALL""")
 def star_join(spark, folder):
     t = lambda n: table(spark, folder, n)
+    buyers = (t("orders").select("o_orderkey", "o_custkey").join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+              .select("o_orderkey", "c_nationkey"))
+    # Keys travel and are summed; the names meet at most nations x nations rows.
+    by_key = (t("lineitem").join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
+              .join(t("supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+              .groupBy("c_nationkey", "s_nationkey").agg(F.count("*").alias("n"), F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("v")))
     n, r = t("nation"), t("region")
     c_place = n.join(r, n.n_regionkey == r.r_regionkey).select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("c_region"))
     s_place = n.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("s_nation"))
-    buyers = (t("orders").select("o_orderkey", "o_custkey").join(t("customer").join(c_place, "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-              .select("o_orderkey", "c_region"))
-    sellers = t("supplier").join(s_place, "s_nationkey").select("s_suppkey", "s_nation")
-    return (t("lineitem").join(buyers, F.col("l_orderkey") == F.col("o_orderkey")).join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
-            .groupBy("c_region", "s_nation").agg(F.count("*").alias("lines"),
-                                                 F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue")))
+    return (by_key.join(c_place, "c_nationkey").join(s_place, "s_nationkey").groupBy("c_region", "s_nation")
+            .agg(F.sum("n").alias("lines"), F.sum("v").alias("revenue")))

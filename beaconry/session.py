@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_FALLBACK: dict[str, str] = {}
+_FALLBACK: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def get_session(app: str = "beaconry", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -35,7 +35,8 @@ def scratch_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
     Only in local mode, where that may be unset, a temporary folder is made,
-    once per application; on a cluster a missing setting is an error.
+    once per application and until the process ends; on a cluster a missing
+    setting is an error.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
@@ -43,8 +44,8 @@ def scratch_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         if sc.applicationId not in _FALLBACK:
-            _FALLBACK[sc.applicationId] = tempfile.mkdtemp(prefix="beaconry-")
-        base = _FALLBACK[sc.applicationId]
+            _FALLBACK[sc.applicationId] = tempfile.TemporaryDirectory(prefix="beaconry-", ignore_cleanup_errors=True)
+        base = _FALLBACK[sc.applicationId].name
     return base.rstrip("/")
 
 
