@@ -48,15 +48,30 @@ def stored_star(spark: SparkSession, out: str) -> tuple[DataFrame, dict[str, Dat
     return stored(spark, out, "fact"), stored_star_dims(spark, out)
 
 
-def load_bronze(spark: SparkSession, raw: str, out: str, expected: DataFrame | None = None, strict: bool = True) -> None:
-    """Raw CSV to partitioned columnar rows; optional expected rows per year."""
-    T.overwrite(R.read_raw(spark, raw), f"{out}/bronze", "_source_year", rebalance=False)
+def _verdict(checks: list[tuple[str, DataFrame]]) -> DataFrame:
+    """One row over check results that each have a ``status`` column."""
+    rows = QC.all_checks([df.select(F.lit(name).alias("check_name"), "status") for name, df in checks])
+    bad = F.col("status") != "PASS"
+    return rows.agg(F.when(F.count_if(bad) == 0, "PASS").otherwise("FAIL").alias("validation_status"),
+                    F.collect_set(F.when(bad, F.col("check_name"))).alias("failed_checks"))
+
+
+def load_bronze(spark: SparkSession, raw: str, out: str, expected: DataFrame | None = None,
+                expected_files: DataFrame | None = None, strict: bool = True) -> None:
+    """Raw CSV in ``year=`` folders under ``raw`` to partitioned columnar rows.
+
+    ``expected(year, expected_rows)`` and ``expected_files(year, expected_files)``
+    are optional; files are checked before anything is read.
+    """
+    if expected_files is not None:
+        _gate(_verdict([("files", R.file_inventory(spark, raw, expected_files))]), "raw files", strict)
+    T.overwrite(R.read_raw(spark, f"{raw}/year=*/*.csv"), f"{out}/bronze", "_source_year", rebalance=False)
     bronze = stored(spark, out, "bronze")
     if expected is None:
         expected = bronze.groupBy(F.col("_source_year").alias("year")).agg(F.count("*").alias("expected_rows"))
     audit = R.yearly_expectation(bronze, expected, "_source_year", "incident_id")
     T.append(_stamped(audit), f"{out}/bronze_audit")
-    _gate(audit.agg(F.when(F.bool_and(F.col("status") == "PASS"), "PASS").otherwise("FAIL").alias("validation_status")), "bronze", strict)
+    _gate(_verdict([("rows", audit)]), "bronze", strict)
 
 
 def load_silver(spark: SparkSession, out: str, strict: bool = True) -> None:
@@ -68,13 +83,17 @@ def load_silver(spark: SparkSession, out: str, strict: bool = True) -> None:
 
 
 def load_dimensions(spark: SparkSession, out: str, call_type_mapping: DataFrame, strict: bool = True) -> None:
-    """Build and store the six dimensions."""
+    """Check the mapping, then build, store and check the six dimensions."""
+    _gate(_verdict([("mapping", QC.mapping_integrity(call_type_mapping, "call_type", "call_type_description"))]), "call type mapping", strict)
     for name, dim in FC.build_dims(stored(spark, out, "silver"), call_type_mapping).items():
         T.overwrite(dim, f"{out}/dim_{name}")
     dims = stored_star_dims(spark, out)
-    keys = QC.all_checks([QC.key_profile(d, f"{n}_key", n) for n, d in dims.items()])
-    _gate(keys.agg(F.when(F.bool_and(F.col("status") == "PASS"), "PASS").otherwise("FAIL").alias("validation_status"),
-                   F.collect_list(F.when(F.col("status") != "PASS", F.col("table_name"))).alias("failed")), "dimensions", strict)
+    checks = [(f"{n} key", QC.key_profile(d, f"{n}_key", n)) for n, d in dims.items()]
+    checks += [("call type descriptions", QC.description_reconciliation(dims["call_type"], "call_type", "call_type_description")),
+               ("disposition status", QC.run_checks(dims["disposition"], "disposition", QC.mapping_status_checks())),
+               ("category order", QC.one_to_one(dims["disposition"], "disposition_category", "disposition_category_sort")),
+               ("hours per bucket", QC.hours_per_bucket(dims["time"])), ("calendar", QC.calendar_complete(dims["date"]))]
+    _gate(_verdict(checks), "dimensions", strict)
 
 
 def load_fact(spark: SparkSession, out: str, strict: bool = True) -> None:
@@ -103,9 +122,9 @@ def load_daily(spark: SparkSession, out: str, run_id: str, strict: bool = True)
 
 
 def load_all(spark: SparkSession, raw: str, call_type_mapping: DataFrame, out: str, run_id: str,
-             expected: DataFrame | None = None, strict: bool = True) -> None:
+             expected: DataFrame | None = None, expected_files: DataFrame | None = None, strict: bool = True) -> None:
     """All stages in order."""
-    load_bronze(spark, raw, out, expected, strict)
+    load_bronze(spark, raw, out, expected, expected_files, strict)
     load_silver(spark, out, strict)
     load_dimensions(spark, out, call_type_mapping, strict)
     load_fact(spark, out, strict)

@@ -160,6 +160,20 @@ def grain_unique(df: DataFrame, grain) -> DataFrame:
     return d.withColumn("status", status_of(F.col("duplicate_grain_groups")))
 
 
+def hours_per_bucket(df: DataFrame, bucket: str = "time_of_day", hour: str = "hour_number") -> DataFrame:
+    """Every part of the day holds six hours."""
+    g = df.groupBy(bucket).agg(F.countDistinct(hour).alias("hours_in_bucket"))
+    return g.withColumn("status", status_of(F.col("hours_in_bucket") - 6))
+
+
+def calendar_complete(days: DataFrame, date: str = "full_date") -> DataFrame:
+    """One row per day and no day missing between the first and the last."""
+    one = days.agg(F.count(date).alias("calendar_days"), (F.date_diff(F.max(date), F.min(date)) + 1).alias("span_days"),
+                   F.countDistinct(date).alias("distinct_days"))
+    gap = F.abs(F.col("calendar_days") - F.col("span_days")) + F.abs(F.col("distinct_days") - F.col("span_days"))
+    return one.withColumn("status", status_of(gap))
+
+
 def totals_agree(daily: DataFrame, fact: DataFrame) -> DataFrame:
     """Sum of daily incidents against the number of fact rows."""
     one = daily.agg(F.sum("total_incidents").alias("daily_total")).withColumn("fact_total", fact.agg(F.count("*")).scalar())

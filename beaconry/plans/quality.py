@@ -193,8 +193,7 @@ def calendar_complete(spark, folder):
 @query("q15_hours_per_bucket", "time_of_day:s hours_in_bucket:i status:s",
        f"""WITH {O.EV} SELECT time_of_day, COUNT(DISTINCT incident_hour) AS hours_in_bucket, CASE WHEN COUNT(DISTINCT incident_hour) = 6 THEN 'PASS' ELSE 'FAIL' END AS status FROM ev GROUP BY 1""")
 def hours_per_bucket(spark, folder):
-    g = A.event_view(spark, folder, area=False).groupBy("time_of_day").agg(F.countDistinct("incident_hour").alias("hours_in_bucket"))
-    return g.withColumn("status", QC.status_of(F.col("hours_in_bucket") - 6))
+    return QC.hours_per_bucket(A.event_view(spark, folder, area=False), "time_of_day", "incident_hour")
 
 
 @query("q16_mapping_integrity", "mapping_rows:i distinct_codes:i missing_codes:i missing_texts:i status:s",

@@ -20,7 +20,7 @@ def clean_raw(spark):
     raw = A.raw_events(spark, FOLDER).filter("year = 2024 AND dispatch_response_seconds_qy NOT LIKE '-%'")
     path = new_folder(spark, "clean-raw")
     R.write_raw(raw, path, "year")
-    return path + "/year=*/*.csv", raw.count()
+    return path, raw.count()
 
 
 @pytest.fixture(scope="module")
@@ -44,11 +44,26 @@ def test_faulty_input_is_stopped(spark):
     path = new_folder(spark, "faulty-raw")
     R.write_raw(A.raw_events(spark, FOLDER), path, "year")
     out = new_folder(spark, "lake")
-    jobs.load_bronze(spark, path + "/year=*/*.csv", out)
+    jobs.load_bronze(spark, path, out)
     with pytest.raises(jobs.AuditFailed):
         jobs.load_silver(spark, out)
 
 
+def test_missing_files_and_rows_are_stopped(spark, clean_raw):
+    files = spark.createDataFrame([(2024, 999)], "year int, expected_files int")
+    with pytest.raises(jobs.AuditFailed):
+        jobs.load_bronze(spark, clean_raw[0], new_folder(spark, "lake"), expected_files=files)
+    rows = spark.createDataFrame([(2024, clean_raw[1] + 1)], "year int, expected_rows long")
+    with pytest.raises(jobs.AuditFailed):
+        jobs.load_bronze(spark, clean_raw[0], new_folder(spark, "lake"), expected=rows)
+
+
+def test_bad_mapping_is_stopped(spark, loaded):
+    twice = A.call_type_mapping(spark).unionByName(A.call_type_mapping(spark))
+    with pytest.raises(jobs.AuditFailed):
+        jobs.load_dimensions(spark, loaded, twice)
+
+
 def test_wrong_header_is_refused(spark):
     path = new_folder(spark, "bad-header")
     spark.createDataFrame([("1", "2")], "a string, b string").write.option("header", True).csv(path)
@@ -76,7 +91,7 @@ def test_star_view_answers_like_the_flat_rows(spark, loaded):
 
 
 def test_file_profile_flags_headers(spark, clean_raw):
-    root = clean_raw[0].removesuffix("/year=*/*.csv")
+    root = clean_raw[0]
     p = R.file_profile(spark, root)
     assert p.filter("status <> 'PASS'").count() == 0
     assert p.agg(F.sum("data_rows")).first()[0] == clean_raw[1]
