@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beaconry.functions import exprs as X
 from beaconry.operators import daily as DY
 from beaconry.operators import fact as FC
 from beaconry.operators import quality as QC
@@ -114,7 +115,7 @@ def load_fact(spark: SparkSession, out: str, strict: bool = True) -> None:
 def load_daily(spark: SparkSession, out: str, run_id: str, strict: bool = True) -> None:
     """Roll the fact up to the daily table and audit the stored result."""
     fact, dims = stored_star(spark, out)
-    view = FC.star_view(fact, dims, DY.GRAIN)
+    view = FC.star_view(fact, dims, DY.LIMIT_GROUP).withColumn("incident_date", X.date_of_key("date_key"))
     T.overwrite(DY.daily_table(view), f"{out}/daily", "incident_year", rebalance=True)
     audit = QC.audit_record(stored(spark, out, "daily"), fact.agg(F.count("*")), run_id)
     T.append(_stamped(audit), f"{out}/gold_audit")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from beaconry.functions import exprs as X
 
-GRAIN = ["incident_date", "incident_year", "date_key", "borough", "initial_severity_level_code"]
+GRAIN = ["incident_date", "borough", "initial_severity_level_code"]
 LIMIT_GROUP = ["borough", "initial_severity_level_code"]
 KINDS = {"dispatch": "valid_dispatch_response_seconds", "incident": "valid_incident_response_seconds",
          "travel": "valid_travel_time_seconds"}
@@ -19,8 +19,10 @@ FLAGS = {"held_incident": "is_held", "special_event": "is_special_event", "trans
 def daily_performance(fact: DataFrame, grain=GRAIN, accuracy: int = 10000) -> DataFrame:
     """Counts, additive totals, averages, spread, percentiles and flags per grain.
 
-    One hash aggregation; every measure has a mergeable partial state, so rows
-    are reduced before the shuffle and a hot group costs no more than others.
+    One aggregation; every measure has a mergeable partial state, so rows are
+    reduced before the shuffle and a hot group costs no more than others.  Year
+    and date key follow from the date and are added to the grouped rows, which
+    keeps them out of the sort and shuffle keys.
     """
     v = KINDS["incident"]
     aggs = [F.count("*").alias("total_incidents")]
@@ -33,7 +35,10 @@ def daily_performance(fact: DataFrame, grain=GRAIN, accuracy: int = 10000) -> Da
              F.percentile_approx(v, list(PERCENTILES.values()), accuracy).alias("_p")]
     aggs += [X.n_if(F.col(c)).alias(f"{n}_count") for n, c in FLAGS.items()]
     out = fact.groupBy(*grain).agg(*aggs)
-    return out.withColumns({f"{n}_response_seconds": F.col("_p")[i] for i, n in enumerate(PERCENTILES)}).drop("_p")
+    out = out.withColumns({f"{n}_response_seconds": F.col("_p")[i] for i, n in enumerate(PERCENTILES)}).drop("_p")
+    if "incident_date" in grain:
+        out = out.withColumns({"incident_year": F.year("incident_date"), "date_key": X.date_key("incident_date")})
+    return out
 
 
 def response_rate(df: DataFrame) -> DataFrame:
