@@ -6,17 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beaconry.llm import quality_trees, toxicity_mil
+from beaconry.llm import length_buckets, pii_lstm, quality_trees, simhash, toxicity_mil
 from beaconry.llm.common import table
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_lstm.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_buckets.pack(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_mil.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op7_quality_trees, op9_toxicity)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op4_simhash, op6_personal_data, op7_quality_trees, op8_packing, op9_toxicity)}
 ORACLE: dict[str, str] = {}
