@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beaconry.llm import length_buckets, pii_lstm, quality_trees, simhash, toxicity_mil
+from beaconry.llm import length_buckets, pii_lstm, quality_trees, rules, simhash, toxicity_mil
 from beaconry.llm.common import table
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.verdicts(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -31,5 +35,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op4_simhash, op6_personal_data, op7_quality_trees, op8_packing, op9_toxicity)}
-ORACLE: dict[str, str] = {}
+    op2_quality_rules, op4_simhash, op6_personal_data, op7_quality_trees, op8_packing, op9_toxicity)}
+ORACLE: dict[str, str] = {"op2_quality_rules": rules.SQL}

@@ -97,7 +97,7 @@ def cells(fps: DataFrame) -> DataFrame:
             counts = popcounts(fp)
             for i, mask in enumerate(_CELLS):
                 # if two cells ever share a key, their rows are merely compared once more
-                key = ((counts & mask) * np.uint64(0x9E3779B97F4A7C15)) ^ (np.uint64(i) * np.uint64(0xBF58476D1CE4E5B9))
+                key = ((counts & mask) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(i * 0xBF58476D1CE4E5B9 % 2 ** 64)
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), b.column(0)], ["cell", "fp"])
 
     return fps.mapInArrow(run, "cell long, fp long")
