@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beaconry.llm import length_buckets, pii_lstm, quality_trees, rules, simhash, toxicity_mil
+from beaconry.llm import kd_shards, length_buckets, pii_lstm, quality_trees, rules, simhash, toxicity_mil
 from beaconry.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_mil.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.shard(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_quality_rules, op4_simhash, op6_personal_data, op7_quality_trees, op8_packing, op9_toxicity)}
+    op2_quality_rules, op4_simhash, op6_personal_data, op7_quality_trees, op8_packing, op9_toxicity, op10_kd_shards)}
 ORACLE: dict[str, str] = {"op2_quality_rules": rules.SQL}
