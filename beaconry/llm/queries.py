@@ -5,15 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from beaconry.llm import kd_shards, length_buckets, pii_lstm, quality_trees, rules, simhash, toxicity_mil
+from beaconry.llm import kd_shards, length_buckets, mtree, pii_lstm, quality_trees, rules, secret_crf, simhash, toxicity_mil
 from beaconry.llm.common import table
 
 
+def op1_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_crf.secrets(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,5 +48,5 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_quality_rules, op4_simhash, op6_personal_data, op7_quality_trees, op8_packing, op9_toxicity, op10_kd_shards)}
-ORACLE: dict[str, str] = {"op2_quality_rules": rules.SQL}
+    op1_mtree_top_k, op2_quality_rules, op3_secret_crf, op4_simhash, op6_personal_data, op7_quality_trees, op8_packing, op9_toxicity, op10_kd_shards)}
+ORACLE: dict[str, str] = {"op1_mtree_top_k": mtree.SQL, "op2_quality_rules": rules.SQL}
