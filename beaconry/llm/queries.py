@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import kd_shards, length_buckets, mtree, pii_lstm, quality_trees, rules, secret_crf, simhash, toxicity_mil
+from beaconry.llm import kd_shards, length_buckets, mtree, piece_fst, pii_lstm, quality_trees, rules, secret_crf, simhash, toxicity_mil
 from beaconry.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_piece_fst(spark: SparkSession, sf_dir: str, model: str = "/opt/tokenizers/piece_bpe_32k.model") -> DataFrame:
+    return piece_fst.encode(table(spark, sf_dir, "documents"), piece_fst.compile_model(model))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_lstm.personal_data(table(spark, sf_dir, "documents"))
 
@@ -48,5 +52,5 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_mtree_top_k, op2_quality_rules, op3_secret_crf, op4_simhash, op6_personal_data, op7_quality_trees, op8_packing, op9_toxicity, op10_kd_shards)}
+    op1_mtree_top_k, op2_quality_rules, op3_secret_crf, op4_simhash, op5_piece_fst, op6_personal_data, op7_quality_trees, op8_packing, op9_toxicity, op10_kd_shards)}
 ORACLE: dict[str, str] = {"op1_mtree_top_k": mtree.SQL, "op2_quality_rules": rules.SQL}
