@@ -52,10 +52,13 @@ def to_ts(c) -> Column:
 def convert(c, type_name: str) -> Column:
     """Text to a type, null on failure.
 
-    Whole numbers go through double, so that ``"2.0"`` counts as 2.
+    Whole numbers go through a decimal, so that ``"2.0"`` counts as 2 and long keys keep all digits; NaN and infinity are
+    no measures and count as failures.
     """
     c = _c(c)
-    return c.try_cast("double").try_cast(type_name) if type_name in ("int", "long") else c.try_cast(type_name)
+    if type_name in ("int", "long"):
+        return c.try_cast("decimal(38,18)").try_cast(type_name)
+    return to_double(c) if type_name == "double" else c.try_cast(type_name)
 
 
 def to_int(c) -> Column:
@@ -63,7 +66,8 @@ def to_int(c) -> Column:
 
 
 def to_double(c) -> Column:
-    return _c(c).try_cast("double")
+    d = _c(c).try_cast("double")
+    return F.when(F.abs(d) < F.lit(float("inf")), d)
 
 
 def yn_to_bool(c) -> Column:
@@ -75,9 +79,9 @@ def yn_to_bool(c) -> Column:
 # --- measures --------------------------------------------------------------
 
 def valid_measure(value, flag=None) -> Column:
-    """The value where it is non-negative and, if given, its flag is true."""
+    """The value where it is a non-negative number and, if given, its flag is true."""
     value = _c(value)
-    ok = value >= 0
+    ok = (value >= 0) & (value < F.lit(float("inf")))
     return F.when(ok if flag is None else (_c(flag) & ok), value)
 
 
@@ -92,30 +96,43 @@ def minutes_of(seconds) -> Column:
     return F.round(_c(seconds) / 60.0, 2)
 
 
+def quotient(n, d=None, factor=1, digits: int | None = None, decimal: str | None = None, positive: bool = False) -> Column:
+    """``factor * n / d``; null where the divisor is missing or zero, with ``positive`` also where it is negative.
+
+    Both sides are doubles, or of the type ``decimal`` so that rounding to ``digits`` is exact and half up; the result is a
+    double. Without ``d`` there is no division.
+    """
+    kind = decimal or "double"
+    value = _c(n).cast(kind) * F.lit(factor)
+    if d is not None:
+        bottom = (_c(d) if isinstance(d, (str, Column)) else F.lit(d)).cast(kind)
+        value = F.when(bottom > 0, value / bottom) if positive else F.try_divide(value, bottom)
+    return (value if digits is None else F.round(value, digits)).cast("double")
+
+
 def sec_to_min(seconds) -> Column:
-    """Seconds to minutes in decimal arithmetic (half up), two digits."""
-    return F.round(_c(seconds).cast("decimal(24,6)") / F.lit(60), 2).cast("double")
+    """Seconds to minutes, two exact digits."""
+    return quotient(seconds, 60, digits=2, decimal="decimal(24,6)")
 
 
 def pct(n, total, scale: int = 2) -> Column:
-    """``n`` of ``total`` in percent by decimal arithmetic; null on total <= 0."""
-    n, total = _c(n).cast("decimal(20,0)"), _c(total).cast("decimal(20,0)")
-    return F.when(total > 0, F.round(n * 100 / total, scale).cast("double"))
+    """``n`` of ``total`` in percent, exact digits; null unless the total is positive."""
+    return quotient(n, total, 100, scale, "decimal(20,0)", positive=True)
 
 
 def ratio(a, b) -> Column:
     """Division that is null on a zero or missing divisor."""
-    return F.try_divide(_c(a).cast("double"), _c(b).cast("double"))
+    return quotient(a, b)
 
 
 def cv_ratio(sd, mean) -> Column:
     """Coefficient of variation; null unless the mean is positive."""
-    return F.when(_c(mean) > 0, _c(sd) / _c(mean))
+    return quotient(sd, mean, positive=True)
 
 
 def cv_pct(cv) -> Column:
-    """Coefficient of variation in percent, two digits, decimal arithmetic."""
-    return F.round(_c(cv).cast("decimal(38,10)") * 100, 2).cast("double")
+    """Coefficient of variation in percent, two exact digits."""
+    return quotient(cv, factor=100, digits=2, decimal="decimal(38,10)")
 
 
 def changed(a, b) -> Column:

@@ -1,13 +1,15 @@
 """The batch load from raw files to the daily table, stage by stage.
 
 Each stage reads what the previous one stored, so stages can run as separate
-applications.  A stage ends with an audit of the stored result; a failed audit
-stops the load before the next stage reads it.  Only one-row audit results
-reach the driver.
+applications.  A stage writes beside the last good table, audits what it wrote and
+only then puts it in that table's place; a failed audit stops the load and leaves
+the last good table as it was.  Only one-row audit results reach the driver.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,11 +52,30 @@ def stored_star(spark: SparkSession, out: str) -> tuple[DataFrame, dict[str, Dat
 
 
 def _verdict(checks: list[tuple[str, DataFrame]]) -> DataFrame:
-    """One row over check results that each have a ``status`` column."""
+    """One row over check results that each have a ``status`` column; a check without any row has failed."""
     rows = QC.all_checks([df.select(F.lit(name).alias("check_name"), "status") for name, df in checks])
     bad = F.col("status") != "PASS"
-    return rows.agg(F.when(F.count_if(bad) == 0, "PASS").otherwise("FAIL").alias("validation_status"),
-                    F.collect_set(F.when(bad, F.col("check_name"))).alias("failed_checks"))
+    silent = F.array_except(F.array(*[F.lit(n) for n in dict.fromkeys(name for name, _ in checks)]), F.col("seen"))
+    one = rows.agg(F.collect_set(F.when(bad, F.col("check_name"))).alias("failed"), F.collect_set("check_name").alias("seen"))
+    failed = F.array_union("failed", silent)
+    return one.select(F.when(F.size(failed) == 0, "PASS").otherwise("FAIL").alias("validation_status"), failed.alias("failed_checks"))
+
+
+def _publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a staged and audited table in the place of the last one, which stays as it was until then."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    new, final, old = (hadoop.Path(p) for p in (staged, path, f"{path}__old"))
+    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    if fs.exists(final):
+        fs.rename(final, old)
+    if not fs.rename(new, final):
+        raise OSError(f"could not put {staged} in the place of {path}")
+    fs.delete(old, True)
+
+
+def _staged(out: str, name: str) -> str:
+    return f"{out}/_staging/{name}-{uuid.uuid4().hex}"
 
 
 def load_bronze(spark: SparkSession, raw: str, out: str, expected: DataFrame | None = None,
@@ -62,64 +83,105 @@ def load_bronze(spark: SparkSession, raw: str, out: str, expected: DataFrame | N
     """Raw CSV in ``year=`` folders under ``raw`` to partitioned columnar rows.
 
     ``expected(year, expected_rows)`` and ``expected_files(year, expected_files)``
-    are optional; files are checked before anything is read.
+    are optional; files are checked before anything is read. Without expected
+    rows the stored rows are held against those of the files.
     """
     if expected_files is not None:
         _gate(_verdict([("files", R.file_inventory(spark, raw, expected_files))]), "raw files", strict)
-    T.overwrite(R.read_raw(spark, f"{raw}/year=*/*.csv"), f"{out}/bronze", "_source_year", rebalance=False)
-    bronze = stored(spark, out, "bronze")
+    at = _staged(out, "bronze")
+    lines = R.read_raw(spark, f"{raw}/year=*/*.csv")
+    T.overwrite(lines, at, "_source_year", rebalance=False)
+    bronze = spark.read.parquet(at)
     if expected is None:
-        expected = bronze.groupBy(F.col("_source_year").alias("year")).agg(F.count("*").alias("expected_rows"))
+        expected = lines.groupBy(F.col("_source_year").alias("year")).agg(F.count("*").alias("expected_rows"))
     audit = R.yearly_expectation(bronze, expected, "_source_year", "incident_id")
     T.append(_stamped(audit), f"{out}/bronze_audit")
-    _gate(_verdict([("rows", audit)]), "bronze", strict)
+    columns = QC.exact_columns(bronze, [*R.RAW_COLUMNS, "_source_file", "_ingested_at", "_source_year"], "bronze")
+    _gate(_verdict([("rows", audit), ("columns", columns)]), "bronze", strict)
+    _publish(spark, at, f"{out}/bronze")
 
 
 def load_silver(spark: SparkSession, out: str, strict: bool = True) -> None:
-    """Clean and type the stored raw rows."""
-    silver = S.to_silver(stored(spark, out, "bronze"))
-    T.overwrite(silver, f"{out}/silver", "incident_year", rebalance=False)
-    T.append(_stamped(S.silver_audit(stored(spark, out, "silver"))), f"{out}/silver_audit")
-    _gate(T.latest(stored(spark, out, "silver_audit"), "audit_timestamp"), "silver", strict)
+    """Clean and type the stored raw rows; no row may be lost or gained."""
+    bronze = stored(spark, out, "bronze")
+    at = _staged(out, "silver")
+    typed = S.to_silver(bronze)
+    T.overwrite(typed, at, "incident_year", rebalance=False)
+    silver = spark.read.parquet(at)
+    audit = S.silver_audit(silver)
+    T.append(_stamped(audit), f"{out}/silver_audit")
+    whole = F.lit("all").alias("layer")
+    rows = QC.reconcile(bronze.select(whole), silver.select(whole), "layer")
+    columns = QC.exact_columns(silver, [*(c for c in typed.columns if c != "incident_year"), "incident_year"], "silver")
+    _gate(_verdict([("audit", audit.select(F.col("validation_status").alias("status"))), ("rows against bronze", rows), ("columns", columns)]), "silver", strict)
+    _publish(spark, at, f"{out}/silver")
+
+
+#: Natural keys of the dimensions: no two members may share one.
+NATURAL_KEYS = {"date": ["full_date"], "time": ["hour_number"], "geography": FC.GEOGRAPHY, "call_type": ["call_type"],
+                "severity": ["severity_level_code"], "disposition": ["disposition_code"]}
 
 
-def load_dimensions(spark: SparkSession, out: str, call_type_mapping: DataFrame, strict: bool = True) -> None:
+def load_dimensions(spark: SparkSession, out: str, call_type_mapping: DataFrame, strict: bool = True, mapping_rows: int | None = None) -> None:
     """Check the mapping, then build, store and check the six dimensions."""
-    _gate(_verdict([("mapping", QC.mapping_integrity(call_type_mapping, "call_type", "call_type_description"))]), "call type mapping", strict)
-    for name, dim in FC.build_dims(stored(spark, out, "silver"), call_type_mapping).items():
-        T.overwrite(dim, f"{out}/dim_{name}")
-    dims = stored_star_dims(spark, out)
+    integrity = QC.mapping_integrity(call_type_mapping, "call_type", "call_type_description", mapping_rows)
+    _gate(_verdict([("mapping", integrity)]), "call type mapping", strict)
+    built = FC.build_dims(stored(spark, out, "silver"), call_type_mapping)
+    at = {name: _staged(out, f"dim_{name}") for name in built}
+    for name, dim in built.items():
+        T.overwrite(dim, at[name])
+    dims = {name: spark.read.parquet(path) for name, path in at.items()}
     checks = [(f"{n} key", QC.key_profile(d, f"{n}_key", n)) for n, d in dims.items()]
+    checks += [(f"{n} natural key", QC.unique_members(d, NATURAL_KEYS[n], n)) for n, d in dims.items()]
+    checks += [(f"{n} columns", QC.exact_columns(d, built[n].columns, n)) for n, d in dims.items()]
     checks += [("call type descriptions", QC.description_reconciliation(dims["call_type"], "call_type", "call_type_description")),
                ("disposition status", QC.run_checks(dims["disposition"], "disposition", QC.mapping_status_checks())),
                ("category order", QC.one_to_one(dims["disposition"], "disposition_category", "disposition_category_sort")),
                ("hours per bucket", QC.hours_per_bucket(dims["time"])), ("calendar", QC.calendar_complete(dims["date"]))]
     _gate(_verdict(checks), "dimensions", strict)
+    for name, path in at.items():
+        _publish(spark, path, f"{out}/dim_{name}")
+
+
+def _key_lookups(dims: dict[str, DataFrame]) -> list[tuple[str, DataFrame, str]]:
+    roles = {"date": ["date_key"], "time": ["time_key"], "geography": ["geography_key"], "disposition": ["disposition_key"],
+             "call_type": ["initial_call_type_key", "final_call_type_key"], "severity": ["initial_severity_key", "final_severity_key"]}
+    return [(key, dims[d], f"{d}_key") for d, keys in roles.items() for key in keys]
 
 
 def load_fact(spark: SparkSession, out: str, strict: bool = True) -> None:
-    """Resolve keys and store the fact; every key present, no row lost or gained."""
-    silver = stored(spark, out, "silver")
-    T.overwrite(FC.build_fact(silver, stored_star_dims(spark, out)), f"{out}/fact", "incident_year", rebalance=False)
-    fact = stored(spark, out, "fact")
+    """Resolve keys and store the fact: every key present and known, no measure negative, no row lost or gained."""
+    silver, dims = stored(spark, out, "silver"), stored_star_dims(spark, out)
+    at = _staged(out, "fact")
+    T.overwrite(FC.build_fact(silver, dims), at, "incident_year", rebalance=False)
+    fact = spark.read.parquet(at)
     keys = [c for c in FC.FACT_COLUMNS if c.endswith("_key")]
-    nulls = QC.run_checks(fact, "fact", {k: F.col(k).isNull() for k in keys})
+    measures = [c for c in FC.FACT_COLUMNS if c.endswith(("_seconds", "_minutes", "_count"))]
+    rules = QC.run_checks(fact, "fact", {k: F.col(k).isNull() for k in keys} | {f"{m}_negative": F.col(m) < 0 for m in measures})
+    orphans = QC.orphans_in_one_pass(fact, _key_lookups(dims)).withColumn("check_name", F.concat("check_name", F.lit("_orphans")))
     rows = QC.reconcile(silver, fact, "incident_year").select(
         F.lit("fact").alias("table_name"), F.concat(F.lit("rows_"), F.coalesce(F.col("incident_year").cast("string"), F.lit("none"))).alias("check_name"),
         F.abs("row_difference").alias("issues"), "status")
-    checks = nulls.unionByName(rows)
-    T.append(_stamped(checks), f"{out}/fact_audit")
-    _gate(checks.agg(F.when(F.sum("issues") == 0, "PASS").otherwise("FAIL").alias("validation_status")), "fact", strict)
+    columns = QC.exact_columns(fact, [*(c for c in FC.FACT_COLUMNS if c != "incident_year"), "incident_year"], "fact")
+    audit = _stamped(QC.all_checks([rules, orphans, rows, columns]))
+    T.append(audit, f"{out}/fact_audit")
+    _gate(_verdict([("rules", rules), ("orphans", orphans), ("rows", rows), ("columns", columns)]), "fact", strict)
+    _publish(spark, at, f"{out}/fact")
 
 
 def load_daily(spark: SparkSession, out: str, run_id: str, strict: bool = True) -> None:
     """Roll the fact up to the daily table and audit the stored result."""
     fact, dims = stored_star(spark, out)
     view = FC.star_view(fact, dims, DY.LIMIT_GROUP).withColumn("incident_date", X.date_of_key("date_key"))
-    T.overwrite(DY.daily_table(view), f"{out}/daily", "incident_year", rebalance=True)
-    audit = QC.audit_record(stored(spark, out, "daily"), fact.agg(F.count("*")), run_id)
+    at = _staged(out, "daily")
+    daily = DY.daily_table(view)
+    T.overwrite(daily, at, "incident_year", rebalance=True)
+    table = spark.read.parquet(at)
+    audit = QC.audit_record(table, fact.agg(F.count("*")), run_id)
     T.append(_stamped(audit), f"{out}/gold_audit")
-    _gate(T.latest(stored(spark, out, "gold_audit"), "audit_timestamp"), "daily", strict)
+    columns = QC.exact_columns(table, [*(c for c in daily.columns if c != "incident_year"), "incident_year"], "daily")
+    _gate(_verdict([("audit", audit.select(F.col("validation_status").alias("status"))), ("columns", columns)]), "daily", strict)
+    _publish(spark, at, f"{out}/daily")
 
 
 def load_all(spark: SparkSession, raw: str, call_type_mapping: DataFrame, out: str, run_id: str,

@@ -19,7 +19,7 @@ def counts(df: DataFrame, group, n: str = "total_incidents") -> DataFrame:
 
 def share_pct(n, total) -> Column:
     """Percentage of a total in double arithmetic; null on a zero total."""
-    return F.try_divide(F.col(n) * 100.0, F.col(total) if isinstance(total, str) else total)
+    return X.quotient(n, total, 100)
 
 
 def share_of(grouped: DataFrame, n: str = "total_incidents", within=(), name: str = "incident_percentage",

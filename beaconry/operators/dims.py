@@ -34,7 +34,15 @@ CATEGORY_ORDER = [
     "Cancelled / Not Dispatched", "Duplicate Incident", "Unknown / No Disposition",
 ]
 
-MAX_WINDOW_ROWS = 1_000_000
+# What a column shows for the unknown member and for a code the mapping lacks.
+CALL_TYPE_DEFAULTS = {"call_type_description": ("UNKNOWN CALL TYPE", "UNDOCUMENTED CALL TYPE")}
+DISPOSITION_DEFAULTS = {
+    "disposition_description": ("unknown", "undocumented code"),
+    "disposition_category": ("Unknown / No Disposition", "Undocumented"),
+    "mapping_status": ("Unknown", "Undocumented"),
+    "is_documented_code": (False, False),
+    "is_unknown": (True, False),
+}
 
 
 def calendar(spark: SparkSession, lo, hi) -> DataFrame:
@@ -108,18 +116,9 @@ def distinct_members(df: DataFrame, columns) -> DataFrame:
     return df.select(*[X.or_unknown(c).alias(c) for c in columns]).distinct()
 
 
-def with_surrogate_key(df: DataFrame, order, name: str, max_window_rows: int = MAX_WINDOW_ROWS) -> DataFrame:
-    """Dense 1..n key in the order of the natural key.
-
-    The members are pinned first, so counting them is cheap and the expensive
-    distinct over the fact runs once.  Up to ``max_window_rows`` one sorted
-    window does it; beyond that :func:`dense_key_at_scale` numbers them in
-    parallel with the same result.
-    """
-    members = pin(df, name)
-    if members.count() > max_window_rows:
-        return dense_key_at_scale(members, order, name)
-    return members.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+def with_surrogate_key(df: DataFrame, order, name: str) -> DataFrame:
+    """Dense 1..n key in the order of the natural key."""
+    return dense_key_at_scale(df, order, name)
 
 
 def dense_key_at_scale(df: DataFrame, order, name: str) -> DataFrame:
@@ -143,37 +142,31 @@ def dense_key_at_scale(df: DataFrame, order, name: str) -> DataFrame:
             .withColumn(name, F.col("_start") + F.col("_pos") + 1).drop("_part", "_pos", "_start"))
 
 
-def describe_codes(dim: DataFrame, mapping: DataFrame, code: str, text: str,
-                   unknown_text: str = "UNKNOWN CALL TYPE", undocumented_text: str = "UNDOCUMENTED CALL TYPE") -> DataFrame:
-    """Attach descriptions, keeping every code.
+def enrich(df: DataFrame, mapping: DataFrame, code: str, defaults: dict[str, tuple], mapped_code: str | None = None) -> DataFrame:
+    """Add mapped columns to every row that carries a code.
 
-    The unknown member and codes missing from the mapping stay apart.
+    ``defaults`` gives for each column what the unknown member and what a code without an entry show; entries with a null
+    text count as missing texts of a known code and show the latter. The mapping is a stored or literal table whose size
+    Catalyst knows.
     """
-    m = mapping.select(F.col(code).alias("_code"), F.col(text).alias("_text"))
-    return (dim.join(m, F.col(code) == F.col("_code"), "left")
-            .withColumn(text, F.when(F.col(code) == X.UNKNOWN, unknown_text).otherwise(F.coalesce("_text", F.lit(undocumented_text))))
-            .drop("_code", "_text"))
+    names = {c: f"_m_{c}" for c in defaults}
+    side = mapping.select(F.col(mapped_code or code).alias("_m"), *[F.col(c).alias(n) for c, n in names.items()])
+    out = df.join(side, F.col(code) == F.col("_m"), "left")
+    filled = {c: F.when(F.col(code) == X.UNKNOWN, F.lit(unknown)).otherwise(F.coalesce(names[c], F.lit(missing)))
+              for c, (unknown, missing) in defaults.items()}
+    return out.withColumns(filled).drop("_m", *names.values())
 
 
-def dispositions(df: DataFrame, mapping: DataFrame, code: str = "disposition_code") -> DataFrame:
-    """Attach disposition description, category, sort, status and flags.
+def describe_codes(dim: DataFrame, mapping: DataFrame, code: str, text: str) -> DataFrame:
+    """Attach descriptions, keeping every code."""
+    return enrich(dim, mapping, code, {text: CALL_TYPE_DEFAULTS["call_type_description"]})
 
-    Works on the distinct codes (to build the dimension) and on any frame that
-    carries the code.  The mapping is a small literal table whose size Catalyst
-    knows, so the join needs no shuffle.
-    """
-    c = F.col(code)
-    m = mapping.select(F.col("disposition_code").alias("_dc"), F.col("disposition_description").alias("_dd"),
-                       F.col("disposition_category").alias("_cat"))
-    is_unknown, known = c == X.UNKNOWN, F.col("_dc").isNotNull()
-    category = F.when(is_unknown, "Unknown / No Disposition").otherwise(F.coalesce("_cat", F.lit("Undocumented")))
-    return df.join(m, c == F.col("_dc"), "left").withColumns({
-        "disposition_description": F.when(is_unknown, "unknown").otherwise(F.coalesce("_dd", F.lit("undocumented code"))),
-        "disposition_category": category,
-        "disposition_category_sort": category_sort(category),
-        "mapping_status": F.when(is_unknown, "Unknown").when(known, "Documented").otherwise("Undocumented"),
-        "is_documented_code": known, "is_unknown": is_unknown,
-    }).drop("_dc", "_dd", "_cat")
+
+def dispositions(df: DataFrame, mapping: DataFrame, code: str = "disposition_code") -> DataFrame:
+    """Attach disposition description, category, sort, status and flags to distinct codes or to any rows with the code."""
+    listed = mapping.withColumns({"mapping_status": F.lit("Documented"), "is_documented_code": F.lit(True), "is_unknown": F.lit(False)})
+    out = enrich(df, listed, code, DISPOSITION_DEFAULTS, "disposition_code")
+    return out.withColumn("disposition_category_sort", category_sort(F.col("disposition_category")))
 
 
 def category_sort(category) -> Column:

@@ -38,13 +38,14 @@ def resolve_keys(fact: DataFrame, lookups) -> DataFrame:
 
     No broadcast hint: the dimensions are stored tables, so Catalyst knows their
     size and broadcasts the small ones; one that has outgrown the threshold is
-    joined by shuffle, with AQE splitting skewed keys.  The members are made
-    unique on the join columns: no lookup can multiply fact rows, and Catalyst,
-    knowing it, drops every lookup whose key a query does not read.
+    joined by shuffle, with AQE splitting skewed keys.  Natural keys are gated to
+    be unique when the dimensions are loaded; grouping by them here tells Catalyst
+    so, which then drops every lookup whose key a query does not read, and should
+    a duplicate ever pass, the smallest key is taken.
     """
     for i, lk in enumerate(lookups):
         names = [f"_lk{i}_{j}" for j in range(len(lk.dim_columns))]
-        side = lk.dim.select(*[F.col(d).alias(n) for d, n in zip(lk.dim_columns, names)], F.col(lk.key).alias(lk.name)).dropDuplicates(names)
+        side = lk.dim.select(*[F.col(d).alias(n) for d, n in zip(lk.dim_columns, names)], F.col(lk.key)).groupBy(*names).agg(F.min(lk.key).alias(lk.name))
         on = [F.col(f) == F.col(n) for f, n in zip(lk.fact_columns, names)]
         fact = fact.join(side, on, "left").drop(*names)
     return fact

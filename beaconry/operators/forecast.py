@@ -22,28 +22,40 @@ def month_index(date) -> Column:
     return F.year(d) * 12 + F.month(d) - 1
 
 
-def monthly_counts(df: DataFrame, date: str, segment=(), last_complete: Column | None = None) -> DataFrame:
+def last_complete(latest: Column) -> Column:
+    """Index of the last month that the latest date ends: its own on the last day of a month, else the one before."""
+    return month_index(latest) - F.when(latest == F.last_day(latest), 0).otherwise(1)
+
+
+def monthly_counts(df: DataFrame, date: str, segment=(), complete: bool = False) -> DataFrame:
     """Rows per month and segment with empty months filled by zero.
 
-    Months run from the first to the last month of the whole series, or to
-    ``last_complete`` (a month index) to leave out a partial last month.  After
-    the one aggregation only months are left, so a segment's counts travel as a
-    small map and the gaps are filled without reading the rows again.
+    Months run from the first to the last month of the whole series, with
+    ``complete`` to the last one that the dates cover to its end.
+    After the one aggregation only months are left, so a segment's counts travel
+    as a small map and the gaps are filled without reading the rows again; the
+    ends of the series are taken over one row for each segment.
     """
-    g = df.groupBy(*segment, month_index(date).alias("m")).agg(F.count("*").alias("y"))
-    if last_complete is not None:
-        g = g.filter(F.col("m") <= last_complete)
-    all_rows = Window.partitionBy()
-    g = g.withColumns({"lo": F.min("m").over(all_rows), "hi": F.max("m").over(all_rows)})
-    per_segment = g.groupBy(*segment, "lo", "hi").agg(F.map_from_entries(F.collect_list(F.struct("m", "y"))).alias("seen"))
-    months = per_segment.select(*segment, "seen", F.explode(F.sequence("lo", "hi")).alias("m"))
+    g = df.groupBy(*segment, month_index(date).alias("m")).agg(F.count("*").alias("y"), F.max(F.to_date(date)).alias("latest"))
+    per_segment = g.groupBy(*segment).agg(F.map_from_entries(F.collect_list(F.struct("m", "y"))).alias("seen"),
+                                          F.min("m").alias("first"), F.max("latest").alias("latest"))
+    every, end = Window.partitionBy(), last_complete if complete else month_index
+    per_segment = per_segment.withColumns({"lo": F.min("first").over(every), "hi": end(F.max("latest").over(every))})
+    months = per_segment.where("lo <= hi").select(*segment, "seen", F.explode(F.sequence("lo", "hi")).alias("m"))
     return months.select(*segment, "m", F.coalesce(F.try_element_at("seen", F.col("m")), F.lit(0)).alias("y"))
 
 
-def monthly_means(df: DataFrame, date: str, value: str, segment=()) -> DataFrame:
-    """Mean of the non-null values per month, from additive sums and counts."""
-    g = df.groupBy(*segment, month_index(date).alias("m")).agg(F.sum(value).alias("s"), F.count(value).alias("n"))
-    return g.filter(F.col("n") > 0).select(*segment, "m", (F.col("s") / F.col("n")).alias("y"))
+def monthly_means(df: DataFrame, date: str, value: str, segment=(), complete: bool = False) -> DataFrame:
+    """Mean of the non-null values per month, from additive sums and counts; a month without values has no row."""
+    g = df.groupBy(*segment, month_index(date).alias("m")).agg(F.sum(value).alias("s"), F.count(value).alias("n"), F.max(F.to_date(date)).alias("latest"))
+    g = g.withColumn("hi", (last_complete if complete else month_index)(F.max("latest").over(Window.partitionBy())))
+    return g.filter((F.col("n") > 0) & (F.col("m") <= F.col("hi"))).select(*segment, "m", (F.col("s") / F.col("n")).alias("y"))
+
+
+def without_last(monthly: DataFrame, months: int) -> DataFrame:
+    """The series without its last ``months`` months, to hold them out."""
+    end = monthly.agg((F.max("m") - months).alias("_end"))
+    return monthly.crossJoin(end).filter("m <= _end").drop("_end")  # one row on the right
 
 
 def decompose(monthly: DataFrame, segment=(), season: int = 12) -> DataFrame:

@@ -37,7 +37,7 @@ def sd_minutes(seconds: str, where: Column | None = None) -> Column:
 
 
 def per(n: Column, d: Column) -> Column:
-    return F.try_divide(n.cast("double"), d.cast("double"))
+    return X.quotient(n, d)
 
 
 def complete() -> Column:

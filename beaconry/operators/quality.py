@@ -109,19 +109,37 @@ def columns_report(df: DataFrame, required) -> DataFrame:
     return one.select(F.inline(pairs)).withColumn("status", F.when(F.col("is_present"), "PASS").otherwise("FAIL"))
 
 
+def exact_columns(df: DataFrame, expected, table: str) -> DataFrame:
+    """Missing, extra and misplaced columns against an exact list, as check rows; no row is read."""
+    have, want = list(df.columns), list(expected)
+    counts = {"missing_columns": len(set(want) - set(have)), "extra_columns": len(set(have) - set(want)),
+              "misplaced_columns": sum(a != b for a, b in zip([c for c in have if c in want], [c for c in want if c in have]))}
+    return as_rows(df.sparkSession.range(1).select(*[F.lit(v).alias(k) for k, v in counts.items()]), table, counts)
+
+
+def unique_members(df: DataFrame, keys, table: str) -> DataFrame:
+    """Natural keys that several members hold, as one check row."""
+    one = duplicate_keys(df, keys).agg(F.count("*").alias("duplicate_natural_keys"))
+    return as_rows(one, table, ["duplicate_natural_keys"])
+
+
 def one_to_one(df: DataFrame, a: str, b: str) -> DataFrame:
     """Number of distinct ``b`` per ``a`` with a status."""
     return df.groupBy(a).agg(F.countDistinct(b).alias("value_count")).withColumn(
         "status", F.when(F.col("value_count") == 1, "PASS").otherwise("FAIL"))
 
 
-def mapping_integrity(mapping: DataFrame, code: str, text: str) -> DataFrame:
-    """Codes unique and non-blank, texts non-blank."""
+def mapping_integrity(mapping: DataFrame, code: str, text: str, expected_rows: int | None = None) -> DataFrame:
+    """Codes unique and non-blank, texts non-blank and, if given, exactly ``expected_rows`` entries; an empty mapping fails."""
     c = X.blank_to_null(F.upper(code))
     per_code = mapping.groupBy(c.alias("c")).agg(F.count("*").alias("n"), F.count_if(X.blank_to_null(text).isNull()).alias("t"))
     one = per_code.agg(F.sum("n").alias("mapping_rows"), F.count("c").alias("distinct_codes"),
                        F.coalesce(F.sum(F.when(F.col("c").isNull(), F.col("n"))), F.lit(0)).alias("missing_codes"), F.sum("t").alias("missing_texts"))
     bad = F.col("mapping_rows") - F.col("distinct_codes") + F.col("missing_texts")
+    if expected_rows is not None:
+        bad = bad + F.abs(F.col("mapping_rows") - expected_rows)
+    one = one.withColumn("mapping_rows", F.coalesce("mapping_rows", F.lit(0)))
+    bad = F.when(F.col("mapping_rows") == 0, 1).otherwise(bad)
     return one.withColumn("status", status_of(bad))
 
 
@@ -235,7 +253,9 @@ def statistic_checks() -> dict[str, Column]:
         "mean_out_of_range": (avg < lo - TOL) | (avg > hi + TOL),
         "negative_stddev": sd < 0,
         "null_rule": (F.col("valid_incident_response_count") == 0) != sd.isNull(),
+        "percentile_null_rule": reduce(lambda a, b: a | b, [(F.col("valid_incident_response_count") == 0) != x.isNull() for x in (lo, p50, p75, p90, p95, hi)]),
         "cv_mismatch": _off("response_coefficient_of_variation", X.cv_ratio(sd, avg)),
+        "cv_percentage_mismatch": ~X.same("response_cv_percentage", X.cv_pct("response_coefficient_of_variation")),
     }
 
 
@@ -296,7 +316,7 @@ def anomaly_checks() -> dict[str, Column]:
 
 def daily_checks() -> dict[str, dict[str, Column]]:
     """All recomputation checks of the daily table by theme."""
-    return {"response_counts": response_count_checks(), "averages": average_checks(), "statistics": statistic_checks(),
+    return {"keys": grain_checks(), "response_counts": response_count_checks(), "averages": average_checks(), "statistics": statistic_checks(),
             "minutes": minute_checks(), "operations": operational_checks(), "samples": sample_checks(),
             "limits": limit_checks(), "anomalies": anomaly_checks()}
 

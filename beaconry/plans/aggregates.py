@@ -220,13 +220,13 @@ def period_control_limits(spark, folder):
     return DY.period_limits(day_means(spark, folder), "average_response_minutes")
 
 
-@query("a24_warning_status", "incident_date:d borough:s kpi_status:s",
-       f"""WITH {O.DAILY} SELECT incident_date, borough, CASE WHEN average_incident_response_seconds > upper_control_limit_seconds
+@query("a24_warning_status", "incident_date:d borough:s initial_severity_level_code:i kpi_status:s",
+       f"""WITH {O.DAILY} SELECT incident_date, borough, initial_severity_level_code, CASE WHEN average_incident_response_seconds > upper_control_limit_seconds
        OR average_incident_response_seconds < lower_control_limit_seconds THEN 'Out of Control'
        WHEN average_incident_response_seconds > upper_warning_limit_seconds OR average_incident_response_seconds < lower_warning_limit_seconds THEN 'Warning'
-       WHEN average_incident_response_seconds IS NOT NULL AND has_sufficient_baseline THEN 'Normal' END AS kpi_status FROM dy WHERE initial_severity_level_code = 1""")
+       WHEN average_incident_response_seconds IS NOT NULL AND has_sufficient_baseline THEN 'Normal' END AS kpi_status FROM dy""")
 def warning_status(spark, folder):
-    d = daily(spark, folder).filter("initial_severity_level_code = 1")
+    d = daily(spark, folder)
     lim = [F.col(f"{a}_{b}_limit_seconds") for a, b in (("lower", "control"), ("upper", "control"), ("lower", "warning"), ("upper", "warning"))]
     return d.withColumn("kpi_status", DY.kpi_status("average_incident_response_seconds", *lim))
 

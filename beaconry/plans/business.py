@@ -380,11 +380,11 @@ def outcome_by_change_group(spark, folder):
 # --- measures -----------------------------------------------------------------
 
 @query("b30_previous_year_blank", "incident_year:i total_incidents:i previous_year:i yoy_change:i yoy_percentage:f6",
-       f"""WITH {O.OD}, g AS (SELECT incident_year, COUNT(*) AS total_incidents FROM od WHERE incident_year <> 1998 GROUP BY 1)
+       f"""WITH {O.OD}, g AS (SELECT incident_year, COUNT(*) AS total_incidents FROM od GROUP BY 1)
        SELECT g.*, p.total_incidents AS previous_year, g.total_incidents - p.total_incidents AS yoy_change,
        (g.total_incidents - p.total_incidents) * 1.0 / p.total_incidents AS yoy_percentage FROM g LEFT JOIN g p ON g.incident_year = p.incident_year + 1""")
 def previous_year_blank(spark, folder):
-    return M.previous_year(AN.counts(A.orders(spark, folder).filter("incident_year <> 1998"), ["incident_year"]), "incident_year")
+    return M.previous_year(AN.counts(A.orders(spark, folder), ["incident_year"]), "incident_year")
 
 
 _P75 = f"""{DAYS}, b AS (SELECT quantile_cont(total_incidents, 0.75) AS demand_benchmark, AVG(average_response_minutes) AS response_benchmark FROM days),
@@ -527,7 +527,12 @@ def member_shares(spark, folder):
 
 # --- forecast -----------------------------------------------------------------
 
-LAST_FULL = 2001 * 12 + 6  # July 2001: the order series ends on the first of August
+def _last_complete(fact: str) -> str:
+    """The last month that the data cover to its end, as a month index."""
+    return f"(SELECT year(d) * 12 + month(d) - 1 - CASE WHEN d = last_day(d) THEN 0 ELSE 1 END FROM (SELECT MAX(incident_date) AS d FROM {fact}))"
+
+
+HELD_OUT = 12
 
 
 def forecast_sql(monthly: str, seg: str = "", horizon: int = 12) -> str:
@@ -549,11 +554,11 @@ def forecast_sql(monthly: str, seg: str = "", horizon: int = 12) -> str:
 _MI = "incident_year * 12 + incident_month - 1"
 
 
-def _counts_sql(seg: str = "", cut: int = LAST_FULL) -> str:
+def _counts_sql(seg: str = "", held_out: int = 0) -> str:
     s = f"{seg}, " if seg else ""
     frame = f"(SELECT DISTINCT {seg} FROM od) CROSS JOIN " if seg else ""
     on = f"g.{seg} = f.{seg} AND " if seg else ""
-    return f"""{O.OD}, g AS (SELECT {s}{_MI} AS m, COUNT(*) AS y FROM od WHERE {_MI} <= {cut} GROUP BY ALL),
+    return f"""{O.OD}, g AS (SELECT {s}{_MI} AS m, COUNT(*) AS y FROM od WHERE {_MI} <= {_last_complete('od')} - {held_out} GROUP BY ALL),
   f AS (SELECT {s}m FROM {frame}(SELECT unnest(range(MIN(m), MAX(m) + 1)) AS m FROM g)),
   mon AS (SELECT {('f.' + seg + ', ') if seg else ''}f.m, COALESCE(y, 0) AS y FROM f LEFT JOIN g ON {on}g.m = f.m)"""
 
@@ -563,35 +568,30 @@ _FC = "h:i year:i month:i forecast:f4 lower:f4 upper:f4"
 
 @query("b40_demand_forecast", _FC, f"WITH {forecast_sql(_counts_sql())} SELECT * FROM fc")
 def demand_forecast(spark, folder):
-    monthly = FO.monthly_counts(A.orders(spark, folder), "incident_date", last_complete=F.lit(LAST_FULL))
-    return FO.forecast(monthly)
+    return FO.forecast(FO.monthly_counts(A.orders(spark, folder), "incident_date", complete=True))
 
 
 @query("b40_segment_forecast", "initial_severity_level_code:i " + _FC,
        f"WITH {forecast_sql(_counts_sql('initial_severity_level_code'), 'initial_severity_level_code')} SELECT * FROM fc")
 def segment_forecast(spark, folder):
     seg = ["initial_severity_level_code"]
-    return FO.forecast(FO.monthly_counts(A.orders(spark, folder), "incident_date", seg, F.lit(LAST_FULL)), seg)
-
-
-TRAIN_END = 1999 * 12 + 11
+    return FO.forecast(FO.monthly_counts(A.orders(spark, folder), "incident_date", seg, True), seg)
 
 
 @query("b41_forecast_error", "initial_severity_level_code:i months:i mae:f4 rmse:f4 mape:f4",
-       f"""WITH {forecast_sql(_counts_sql('initial_severity_level_code', TRAIN_END), 'initial_severity_level_code')},
-       act AS (SELECT initial_severity_level_code, {_MI} AS m, COUNT(*) AS y FROM od WHERE {_MI} <= {LAST_FULL} GROUP BY ALL),
+       f"""WITH {forecast_sql(_counts_sql('initial_severity_level_code', HELD_OUT), 'initial_severity_level_code')},
+       act AS (SELECT initial_severity_level_code, {_MI} AS m, COUNT(*) AS y FROM od WHERE {_MI} <= {_last_complete('od')} GROUP BY ALL),
        e AS (SELECT initial_severity_level_code, COALESCE(y, 0) AS y, COALESCE(y, 0) - forecast AS e
-       FROM fc LEFT JOIN act USING (initial_severity_level_code, m) WHERE m <= {LAST_FULL})
+       FROM fc LEFT JOIN act USING (initial_severity_level_code, m))
        SELECT initial_severity_level_code, COUNT(*) AS months, AVG(abs(e)) AS mae, sqrt(AVG(e * e)) AS rmse, AVG(abs(e / NULLIF(y, 0))) * 100 AS mape FROM e GROUP BY 1""")
 def forecast_error(spark, folder):
     seg = ["initial_severity_level_code"]
-    o = A.orders(spark, folder)
-    actual = pin(FO.monthly_counts(o, "incident_date", seg, F.lit(LAST_FULL)), "monthly")
-    trained = FO.forecast(actual.filter(F.col("m") <= TRAIN_END), seg)
+    actual = pin(FO.monthly_counts(A.orders(spark, folder), "incident_date", seg, True), "monthly")
+    trained = FO.forecast(FO.without_last(actual, HELD_OUT), seg, HELD_OUT)
     return FO.forecast_error(actual, trained, seg)
 
 
 @query("b42_response_forecast", _FC,
-       f"WITH {forecast_sql(f'{O.LN}, mon AS (SELECT {_MI} AS m, AVG({V}) AS y FROM ln GROUP BY 1 HAVING COUNT({V}) > 0)')} SELECT * FROM fc")
+       f"WITH {forecast_sql(f'{O.LN}, mon AS (SELECT {_MI} AS m, AVG({V}) AS y FROM ln WHERE {_MI} <= {_last_complete("ln")} GROUP BY 1 HAVING COUNT({V}) > 0)')} SELECT * FROM fc")
 def response_forecast(spark, folder):
-    return FO.forecast(FO.monthly_means(A.lines(spark, folder, supplier=False, customer=False), "incident_date", V))
+    return FO.forecast(FO.monthly_means(A.lines(spark, folder, supplier=False, customer=False), "incident_date", V, complete=True))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from beaconry.functions import blank_to_null
+from beaconry.functions import exprs as X
 from beaconry.sources.tables import list_files
 
 # The raw incident layout, in file order.
@@ -67,37 +68,48 @@ def file_inventory(spark: SparkSession, root: str, expected: DataFrame) -> DataF
             .withColumn("status", F.when(F.col("expected_files") == F.col("actual_files"), "PASS").otherwise("FAIL")))
 
 
-def file_profile(spark: SparkSession, root: str, columns=RAW_COLUMNS) -> DataFrame:
-    """Rows, columns, header match and a status per raw text file.
+def file_profile(spark: SparkSession, root: str, columns=RAW_COLUMNS, expected: DataFrame | None = None) -> DataFrame:
+    """Rows, columns and a status per raw text file.
 
-    A header is the line equal to the expected one.  The lines are counted in
-    one grouped pass, so a single large file is still read by many tasks; the
-    file listing on the left keeps files without any line.
+    The first line of a file, found by its position in the file, is its header;
+    blank lines are no rows. Lines are counted in one grouped pass, so a single
+    large file is still read by many tasks. ``expected(file_path)`` names the files
+    that should be there, and brings in missing ones. The first rule that holds
+    gives the status: missing, empty, blank header, column count, header text, no
+    rows.
     """
     header = ",".join(columns)
     lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root)
-             .select("value", F.col("_metadata.file_path").alias("file_path")))
-    is_header = F.col("value") == header
+             .select("value", F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("at"),
+                     (F.col("_metadata.file_block_start") == 0).alias("front")))
+    blank = F.trim("value") == ""
     counted = lines.groupBy("file_path").agg(
-        F.count_if(~is_header).alias("data_rows"), F.bool_or(is_header).alias("header_ok"),
-        F.max(F.when(is_header, F.size(F.split("value", ",")))).alias("column_count"))
-    out = list_files(spark, root, ".csv").join(counted, "file_path", "left").withColumns(
-        {"data_rows": F.coalesce("data_rows", F.lit(0)), "header_ok": F.coalesce("header_ok", F.lit(False))})
-    return out.withColumn("status", F.when(F.col("file_bytes") == 0, "EMPTY_FILE").when(~F.col("header_ok"), "HEADER_MISMATCH")
-                          .when(F.col("column_count") != len(columns), "COLUMN_COUNT_MISMATCH")
-                          .when(F.col("data_rows") == 0, "NO_DATA_ROWS").otherwise("PASS"))
+        F.count_if(~blank).alias("filled"), F.min_by("value", F.when(F.col("front"), F.col("at"))).alias("header"))
+    out = list_files(spark, root, ".csv").join(counted, "file_path", "left")
+    if expected is not None:
+        out = out.join(expected.select("file_path").withColumn("_wanted", F.lit(True)), "file_path", "full").drop("_wanted")
+    has_header = F.trim(F.coalesce("header", F.lit(""))) != ""
+    out = out.withColumns({
+        "column_count": F.when(has_header, F.size(F.split("header", ","))),
+        "header_ok": F.coalesce(F.col("header") == header, F.lit(False)),
+        "data_rows": F.coalesce(F.col("filled") - has_header.cast("int"), F.lit(0))}).drop("filled", "header")
+    return out.withColumn("status", X.first_match([
+        (F.col("file_bytes").isNull(), "MISSING_FILE"), (F.col("file_bytes") == 0, "EMPTY_FILE"), (F.col("column_count").isNull(), "BLANK_HEADER"),
+        (F.col("column_count") != len(columns), "COLUMN_COUNT_MISMATCH"), (~F.col("header_ok"), "HEADER_MISMATCH"),
+        (F.col("data_rows") == 0, "NO_DATA_ROWS")], "PASS"))
 
 
 def yearly_expectation(bronze: DataFrame, expected: DataFrame, year: str, key: str) -> DataFrame:
     """Expected against actual rows and missing keys per year.
 
-    ``expected(year, expected_rows)``; status passes when counts agree and no
-    key is missing.
+    ``expected(year, expected_rows)``; a year on one side only counts zero on the
+    other.  Status passes when counts agree and no key is missing.
     """
     actual = bronze.groupBy(F.col(year).alias("year")).agg(
         F.count("*").alias("actual_rows"),
         F.count_if(blank_to_null(key).isNull()).alias("missing_ids"))
-    return (actual.join(expected, "year", "left")
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("actual_rows", "expected_rows", "missing_ids")}
+    return (actual.join(expected, "year", "full").withColumns(zero)
             .withColumn("row_difference", F.col("actual_rows") - F.col("expected_rows"))
             .withColumn("status", F.when((F.col("row_difference") == 0) & (F.col("missing_ids") == 0), "PASS").otherwise("FAIL")))
 

@@ -95,7 +95,9 @@ def test_file_profile_flags_headers(spark, clean_raw):
     p = R.file_profile(spark, root)
     assert p.filter("status <> 'PASS'").count() == 0
     assert p.agg(F.sum("data_rows")).first()[0] == clean_raw[1]
-    assert R.file_profile(spark, root, ["other"]).filter("status <> 'HEADER_MISMATCH'").count() == 0
+    assert R.file_profile(spark, root, ["other"]).filter("status <> 'COLUMN_COUNT_MISMATCH'").count() == 0
+    other = [f"c{i}" for i in range(len(R.RAW_COLUMNS))]
+    assert R.file_profile(spark, root, other).filter("status <> 'HEADER_MISMATCH'").count() == 0
 
 
 def test_empty_files_are_listed(spark, tmp_path):
@@ -103,8 +105,90 @@ def test_empty_files_are_listed(spark, tmp_path):
     (tmp_path / "year=2024" / "a.csv").write_text("")
     (tmp_path / "year=2024" / "b.csv").write_text("x,y\n1,2\n3,4\n")
     (tmp_path / "year=2024" / "c.csv").write_text("x,y\n")
-    got = {r["file_path"][-5:]: (r["status"], r["data_rows"]) for r in R.file_profile(spark, str(tmp_path), ["x", "y"]).collect()}
-    assert got == {"a.csv": ("EMPTY_FILE", 0), "b.csv": ("PASS", 2), "c.csv": ("NO_DATA_ROWS", 0)}
-    expected = spark.createDataFrame([(2024, 3), (2023, 1)], "year int, expected_files int")
+    (tmp_path / "year=2024" / "d.csv").write_text("x,y,z\n1,2,3\n\n3,4,5\n")
+    (tmp_path / "year=2024" / "e.csv").write_text("\nx,y\n")
+    (tmp_path / "year=2024" / "f.csv").write_text("y,x\n1,2\n")
+    manifest = spark.createDataFrame([(f"file:{tmp_path}/year=2024/{n}.csv",) for n in "abg"], "file_path string")
+    got = {r["file_path"][-5:]: (r["status"], r["data_rows"], r["column_count"]) for r in R.file_profile(spark, str(tmp_path), ["x", "y"], manifest).collect()}
+    assert got == {"a.csv": ("EMPTY_FILE", 0, None), "b.csv": ("PASS", 2, 2), "c.csv": ("NO_DATA_ROWS", 0, 2), "d.csv": ("COLUMN_COUNT_MISMATCH", 2, 3),
+                   "e.csv": ("BLANK_HEADER", 1, None), "f.csv": ("HEADER_MISMATCH", 1, 2), "g.csv": ("MISSING_FILE", 0, None)}
+    expected = spark.createDataFrame([(2024, 6), (2023, 1)], "year int, expected_files int")
     inv = {r["year"]: r["status"] for r in R.file_inventory(spark, str(tmp_path), expected).collect()}
     assert inv == {2024: "PASS", 2023: "FAIL"}
+
+
+def test_a_year_without_rows_is_stopped(spark, clean_raw):
+    rows = spark.createDataFrame([(2024, clean_raw[1]), (2023, 500)], "year int, expected_rows long")
+    with pytest.raises(jobs.AuditFailed):
+        jobs.load_bronze(spark, clean_raw[0], new_folder(spark, "lake"), expected=rows)
+
+
+def test_a_check_without_rows_fails(spark):
+    empty = spark.createDataFrame([], "status string")
+    row = jobs._verdict([("rows", empty), ("other", spark.createDataFrame([("PASS",)], "status string"))]).first()
+    assert (row["validation_status"], row["failed_checks"]) == ("FAIL", ["rows"])
+
+
+def test_a_failed_load_leaves_the_last_good_table(spark, clean_raw, loaded):
+    before = jobs.stored(spark, loaded, "bronze").count()
+    rows = spark.createDataFrame([(2024, 1)], "year int, expected_rows long")
+    with pytest.raises(jobs.AuditFailed):
+        jobs.load_bronze(spark, clean_raw[0], loaded, expected=rows)
+    assert jobs.stored(spark, loaded, "bronze").count() == before == clean_raw[1]
+
+
+@pytest.fixture
+def copy(spark, loaded):
+    """A copy of the loaded tables that a test may spoil."""
+    out = new_folder(spark, "lake-copy")
+    for name in ("bronze", "silver", *(f"dim_{d}" for d in jobs.DIMENSIONS)):
+        jobs.stored(spark, loaded, name).write.parquet(f"{out}/{name}")
+    return out
+
+
+def spoil(spark, out, name, change):
+    df = change(jobs.stored(spark, out, name))
+    df.write.parquet(f"{out}/spoiled-{name}")
+    jobs._publish(spark, f"{out}/spoiled-{name}", f"{out}/{name}")
+
+
+def test_lost_rows_between_layers_are_stopped(spark, copy, monkeypatch):
+    whole = S.to_silver
+    monkeypatch.setattr(jobs.S, "to_silver", lambda df: whole(df).filter("incident_id NOT LIKE '%7'"))
+    with pytest.raises(jobs.AuditFailed, match="rows against bronze"):
+        jobs.load_silver(spark, copy)
+
+
+def test_a_member_held_twice_is_stopped(spark, copy, monkeypatch):
+    build = FC.build_dims
+
+    def twice(*args):
+        dims = build(*args)
+        again = dims["severity"].limit(1).withColumn("severity_key", F.lit(999).cast("long"))
+        return dims | {"severity": dims["severity"].unionByName(again)}
+
+    monkeypatch.setattr(jobs.FC, "build_dims", twice)
+    with pytest.raises(jobs.AuditFailed, match="severity natural key"):
+        jobs.load_dimensions(spark, copy, A.call_type_mapping(spark))
+
+
+def test_a_missing_member_and_a_negative_measure_are_stopped(spark, copy, monkeypatch):
+    spoil(spark, copy, "dim_disposition", lambda d: d.limit(1))
+    with pytest.raises(jobs.AuditFailed, match="rules"):
+        jobs.load_fact(spark, copy)
+    build = FC.build_fact
+    monkeypatch.setattr(jobs.FC, "build_fact", lambda s, d: build(s, d).withColumns(
+        {"disposition_key": F.lit(12345).cast("long"), "travel_time_minutes": F.lit(-1.0)}))
+    with pytest.raises(jobs.AuditFailed, match="orphans"):
+        jobs.load_fact(spark, copy)
+
+
+def test_a_wrong_number_of_mapping_entries_is_stopped(spark, copy):
+    with pytest.raises(jobs.AuditFailed, match="mapping"):
+        jobs.load_dimensions(spark, copy, A.call_type_mapping(spark), mapping_rows=1)
+
+
+def test_lookups_take_the_smallest_key(spark):
+    fact = spark.createDataFrame([("A",)], "c string")
+    dim = spark.createDataFrame([("A", 2), ("A", 1)], "c string, k long")
+    assert FC.resolve_keys(fact, [FC.Lookup(dim, ["c"], ["c"], "k", "k")]).first()["k"] == 1

@@ -7,6 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from beaconry.operators import analysis as AN
+from beaconry.functions import exprs as X
 from beaconry.operators import daily as DY
 from beaconry.operators import dims as D
 from beaconry.operators import forecast as FO
@@ -19,7 +20,7 @@ def test_dense_key_is_the_same_at_scale(spark):
     rows = [(rng.choice("abc"), rng.randint(0, 10_000)) for _ in range(3000)]
     df = spark.createDataFrame(rows, "a string, b int").distinct()
     small = D.with_surrogate_key(df, ["a", "b"], "key")
-    large = D.with_surrogate_key(df, ["a", "b"], "key", max_window_rows=10)
+    large = D.with_surrogate_key(df, ["a", "b"], "key")
     want = [(k, *v) for k, v in enumerate(sorted(set(rows)), start=1)]
     for got in (small, large):
         assert sorted(tuple(r) for r in got.select("key", "a", "b").collect()) == want
@@ -161,3 +162,22 @@ def test_limits_of_a_period_need_two_days(spark):
     assert one["upper_control_limit"] is None and one["center_line"] == 5.0
     two = DY.period_limits(spark.createDataFrame([(1.0,), (9.0,)], "v double"), "v").first()
     assert (two["upper_control_limit"], two["lower_control_limit"]) == (17.0, 0.0)
+
+
+def test_later_data_moves_the_forecast_origin(spark):
+    days = [dt.date(2020, 1, 1) + dt.timedelta(n) for n in range(800)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    for last, origin in ((dt.date(2021, 6, 30), (2021, 7)), (dt.date(2021, 7, 30), (2021, 7)), (dt.date(2022, 1, 31), (2022, 2))):
+        monthly = FO.monthly_counts(df.filter(F.col("d") <= last), "d", complete=True)
+        first = FO.forecast(monthly).filter("h = 1").first()
+        assert (first["year"], first["month"]) == origin
+    months = [r["m"] for r in FO.without_last(monthly, 3).collect()]
+    assert max(months) == 2021 * 12 + 9
+
+
+def test_whole_numbers_keep_their_digits_and_nan_is_no_measure(spark):
+    df = spark.createDataFrame([("9007199254740993",), ("2.0",), ("NaN",), ("Infinity",), ("x",), ("-3",)], "t string")
+    rows = df.select(X.convert("t", "long").alias("l"), X.to_double("t").alias("d"), X.valid_measure(F.col("t").try_cast("double")).alias("v")).collect()
+    assert [r["l"] for r in rows] == [9007199254740993, 2, None, None, None, -3]
+    assert [r["d"] for r in rows][1:] == [2.0, None, None, None, -3.0]
+    assert [r["v"] for r in rows][1:] == [2.0, None, None, None, None]

@@ -51,7 +51,7 @@ def test_percentiles_of_a_hot_group(spark, hot):
 
 def test_shuffled_lookup_splits_the_hot_key(spark, hot):
     """With broadcast off, a grown dimension joins by shuffle and loses nothing."""
-    dim = D.with_surrogate_key(hot.select("borough", "code").distinct(), ["borough", "code"], "key", max_window_rows=10)
+    dim = D.with_surrogate_key(hot.select("borough", "code").distinct(), ["borough", "code"], "key")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
