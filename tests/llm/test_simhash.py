@@ -52,7 +52,7 @@ def test_components_equal_brute_force_on_planted_fingerprints(spark, block_rows)
     crowd = [seeds[0] ^ np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, 2, False).astype(np.uint64)) for _ in range(150)]
     fps = np.unique(np.concatenate([seeds, np.array(near), np.array(crowd), np.array([0, 7, 15], np.uint64)]))
     frame = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long").repartition(5)
-    got = {r.fp: r.root for r in S.components(S.links(frame, block_rows)).collect()}
+    got = {r.fp: r.root for r in S.components(S.links(frame, block_rows), 2).collect()}
     want = plain_components({int(x): x for x in fps})
     part = {}
     for x in fps:
