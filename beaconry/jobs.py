@@ -18,6 +18,7 @@ from beaconry.operators import daily as DY
 from beaconry.operators import fact as FC
 from beaconry.operators import quality as QC
 from beaconry.operators import silver as S
+from beaconry.session import scratch
 from beaconry.sources import raw as R
 from beaconry.sources import tables as T
 
@@ -126,10 +127,11 @@ def load_dimensions(spark: SparkSession, out: str, call_type_mapping: DataFrame,
     """Check the mapping, then build, store and check the six dimensions."""
     integrity = QC.mapping_integrity(call_type_mapping, "call_type", "call_type_description", mapping_rows)
     _gate(_verdict([("mapping", integrity)]), "call type mapping", strict)
-    built = FC.build_dims(stored(spark, out, "silver"), call_type_mapping)
-    at = {name: _staged(out, f"dim_{name}") for name in built}
-    for name, dim in built.items():
-        T.overwrite(dim, at[name])
+    with scratch(spark):
+        built = FC.build_dims(stored(spark, out, "silver"), call_type_mapping)
+        at = {name: _staged(out, f"dim_{name}") for name in built}
+        for name, dim in built.items():
+            T.overwrite(dim, at[name])
     dims = {name: spark.read.parquet(path) for name, path in at.items()}
     checks = [(f"{n} key", QC.key_profile(d, f"{n}_key", n)) for n, d in dims.items()]
     checks += [(f"{n} natural key", QC.unique_members(d, NATURAL_KEYS[n], n)) for n, d in dims.items()]

@@ -89,6 +89,15 @@ def change_rate(df: DataFrame, group: str, changed: str, min_n: int = 0, name: s
     return rank_within(g, name, name="change_rate_rank")
 
 
+# Display order of the change groups.
+CHANGE_ORDER = ["Both call type and severity changed", "Call type changed only", "Severity changed only", "Neither classification changed", "Unknown change status"]
+
+
+def change_group_sort(group) -> Column:
+    """Place of a change group in its display order."""
+    return F.array_position(F.array(*[F.lit(g) for g in CHANGE_ORDER]), F.col(group)).cast("int")
+
+
 def change_group(a: str = "call_type_changed", b: str = "severity_changed") -> Column:
     """Which of two change flags are set; any unknown flag is its own group."""
     a, b = F.col(a), F.col(b)

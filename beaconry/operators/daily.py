@@ -34,8 +34,12 @@ def daily_performance(fact: DataFrame, grain=GRAIN, accuracy: int = 10000) -> Da
              F.min(v).alias("minimum_response_seconds"), F.max(v).alias("maximum_response_seconds"),
              F.percentile_approx(v, list(PERCENTILES.values()), accuracy).alias("_p")]
     aggs += [X.n_if(F.col(c)).alias(f"{n}_count") for n, c in FLAGS.items()]
+    if "initial_severity_level_code" in grain and "initial_severity_key" in fact.columns:
+        aggs.append(F.min("initial_severity_key").alias("initial_severity_key"))
     out = fact.groupBy(*grain).agg(*aggs)
     out = out.withColumns({f"{n}_response_seconds": F.col("_p")[i] for i, n in enumerate(PERCENTILES)}).drop("_p")
+    if "initial_severity_level_code" in grain:
+        out = out.withColumn("initial_severity_label", X.severity_label("initial_severity_level_code"))
     if "incident_date" in grain:
         out = out.withColumns({"incident_year": F.year("incident_date"), "date_key": X.date_key("incident_date")})
     return out

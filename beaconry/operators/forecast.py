@@ -54,8 +54,7 @@ def monthly_means(df: DataFrame, date: str, value: str, segment=(), complete: bo
 
 def without_last(monthly: DataFrame, months: int) -> DataFrame:
     """The series without its last ``months`` months, to hold them out."""
-    end = monthly.agg((F.max("m") - months).alias("_end"))
-    return monthly.crossJoin(end).filter("m <= _end").drop("_end")  # one row on the right
+    return monthly.filter(F.col("m") <= monthly.agg(F.max("m") - months).scalar())
 
 
 def decompose(monthly: DataFrame, segment=(), season: int = 12) -> DataFrame:

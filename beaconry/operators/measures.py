@@ -54,6 +54,7 @@ def catalogue() -> dict[str, Column]:
     cat = F.col("disposition_category")
     held_mean, free_mean = mean_minutes(RESP, held), mean_minutes(RESP, not_held)
     resp_all = complete_sum(RESP)
+    span = F.date_diff(F.max("incident_date"), F.min("incident_date")) + 1
     return {
         "total_incidents": total(),
         "valid_incident_flag_count": filtered(F.col("is_valid_incident_response")),
@@ -88,6 +89,11 @@ def catalogue() -> dict[str, Column]:
         "severity_changed_incidents": filtered(F.col("severity_changed")),
         "severity_change_percentage": per(filtered(F.col("severity_changed")), total()),
         "complete_incidents": filtered(complete()),
+        "complete_response_seconds": resp_all,
+        "complete_dispatch_seconds": complete_sum(DISP),
+        "complete_travel_seconds": complete_sum(TRAV),
+        "calendar_days": span,
+        "average_daily_incidents": per(total(), span),
         "dispatch_share": per(complete_sum(DISP), resp_all),
         "travel_share": per(complete_sum(TRAV), resp_all),
         "component_difference_seconds": resp_all - complete_sum(DISP) - complete_sum(TRAV),
@@ -102,6 +108,14 @@ def measure(df: DataFrame, names, group=(), filters: Column | None = None) -> Da
     return rows.groupBy(*group).agg(*[c[n].alias(n) for n in names])
 
 
+def daily_peaks(df: DataFrame, group=()) -> DataFrame:
+    """Most incidents of a day, incidents a calendar day, and calendar days, per group; rows are counted by day first."""
+    days = df.groupBy(*group, "incident_date").agg(F.count("*").alias("n"))
+    span = F.date_diff(F.max("incident_date"), F.min("incident_date")) + 1
+    return days.groupBy(*group).agg(F.max("n").alias("peak_daily_incidents"), per(F.sum("n"), span).alias("average_daily_incidents"),
+                                    span.alias("calendar_days"))
+
+
 def share_removing(df: DataFrame, member: str, others=(), name: str = "incident_share") -> DataFrame:
     """Share of a member when only its own filter is removed.
 

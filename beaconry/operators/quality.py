@@ -123,6 +123,15 @@ def unique_members(df: DataFrame, keys, table: str) -> DataFrame:
     return as_rows(one, table, ["duplicate_natural_keys"])
 
 
+def column_profile(df: DataFrame, columns=None, rsd: float = 0.05) -> DataFrame:
+    """Rows, nulls and approximate distinct values per column, from mergeable sketches in one pass."""
+    columns = list(columns or df.columns)
+    one = df.agg(F.count("*").alias("_rows"), *[F.count(c).alias(f"{c}_filled") for c in columns], *[F.approx_count_distinct(c, rsd).alias(f"{c}_distinct") for c in columns])
+    return one.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col("_rows").alias("row_count"), (F.col("_rows") - F.col(f"{c}_filled")).alias("null_rows"),
+        F.col(f"{c}_distinct").alias("approx_distinct")) for c in columns])))
+
+
 def one_to_one(df: DataFrame, a: str, b: str) -> DataFrame:
     """Number of distinct ``b`` per ``a`` with a status."""
     return df.groupBy(a).agg(F.countDistinct(b).alias("value_count")).withColumn(

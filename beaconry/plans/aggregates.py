@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from beaconry.functions import exprs as X
 from beaconry.operators import analysis as AN
 from beaconry.operators import daily as DY
+from beaconry.operators import quality as QC
 from beaconry.operators import measures as M
 from beaconry.plans import analogs as A
 from beaconry.plans import oracle as O
@@ -56,15 +57,19 @@ def exact_distinct(spark, folder):
     return table(spark, folder, "lineitem").agg(F.countDistinct(F.struct("l_orderkey", "l_linenumber")).alias("line_keys"))
 
 
-@query("a05_distinct_null_profile", "column_name:s null_rows:i distinct_ok:b",
-       f"""WITH {O.EV} SELECT 'borough' AS column_name, COUNT(*) FILTER (WHERE borough IS NULL) AS null_rows, TRUE AS distinct_ok FROM et
-       UNION ALL SELECT 'zipcode', COUNT(*) FILTER (WHERE zipcode IS NULL), TRUE FROM et
-       UNION ALL SELECT 'final_call_type', COUNT(*) FILTER (WHERE final_call_type IS NULL), TRUE FROM et""")
+_PROFILED = ["borough", "zipcode", "initial_call_type", "final_call_type", "incident_disposition_code", "valid_incident_response_seconds", "incident_date"]
+
+
+@query("a05_distinct_null_profile", "column_name:s row_count:i null_rows:i distinct_within_bound:b",
+       f"WITH {O.EV} " + " UNION ALL ".join(f"SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS null_rows, TRUE AS distinct_within_bound FROM et" for c in _PROFILED))
 def distinct_null_profile(spark, folder):
-    cols = ["borough", "zipcode", "final_call_type"]
-    one = A.events(spark, folder).agg(*[F.approx_count_distinct(c).alias(f"{c}_d") for c in cols], *[X.n_if(F.col(c).isNull()).alias(f"{c}_n") for c in cols])
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"{c}_n").alias("null_rows"), F.col(f"{c}_d").between(3, 60).alias("distinct_ok")) for c in cols])
-    return one.select(F.inline(rows))
+    # The exact counts stand beside the approximate ones; the bound is three standard errors.
+    ev = A.events(spark, folder)
+    exact = ev.agg(*[F.countDistinct(c).alias(c) for c in _PROFILED]).select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("exact")) for c in _PROFILED])))
+    p = QC.column_profile(ev, _PROFILED, rsd=0.02).join(exact, "column_name")
+    off = F.abs(F.col("approx_distinct") - F.col("exact"))
+    return p.withColumn("distinct_within_bound", off <= F.greatest(F.lit(1.0), 0.06 * F.col("exact")))
 
 
 @query("a06_basic_aggregates", "borough:s lo:f2 hi:f2 total:f2 mean:f6 n:i",
@@ -236,9 +241,7 @@ def warning_status(spark, folder):
        SELECT MAX(n) AS peak_daily_incidents, SUM(n) * 1.0 / (date_diff('day', MIN(incident_date), MAX(incident_date)) + 1) AS average_daily_incidents,
        date_diff('day', MIN(incident_date), MAX(incident_date)) + 1 AS calendar_days FROM d""")
 def peak_and_average_day(spark, folder):
-    d = AN.counts(A.orders(spark, folder), ["incident_date"], "n")
-    days = F.date_diff(F.max("incident_date"), F.min("incident_date")) + 1
-    return d.agg(F.max("n").alias("peak_daily_incidents"), F.try_divide(F.sum("n").cast("double"), days).alias("average_daily_incidents"), days.alias("calendar_days"))
+    return M.daily_peaks(A.orders(spark, folder))
 
 
 @query("a26_p75_demand", "p75_daily_demand:f4", f"WITH {DAYS} SELECT quantile_cont(total_incidents, 0.75) AS p75_daily_demand FROM days")

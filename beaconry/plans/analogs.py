@@ -17,7 +17,7 @@ from beaconry.operators import fact as FC
 from beaconry.operators import silver as S
 from beaconry.session import new_folder, pin
 from beaconry.sources import raw as R
-from beaconry.sources.tables import literal_table, table
+from beaconry.sources.tables import last_change, literal_table, table
 
 # How an event row reads as an incident.  ``k`` is the payload
 # number, ``s`` the response seconds, ``r_name`` the region of the user's area.
@@ -149,7 +149,8 @@ def event_base(spark: SparkSession, folder: str, area: bool = True) -> DataFrame
         "s": F.floor(F.col("value") * 6).cast("int")})
     if not area:
         return e.withColumn("r_name", F.lit(None).cast("string"))
-    r = table(spark, folder, "region").select("r_regionkey", "r_name")
+    # Grouped by its key the region is known to be unique, so a query that reads no area drops the join.
+    r = table(spark, folder, "region").groupBy(F.col("r_regionkey").cast("long").alias("r_regionkey")).agg(F.min("r_name").alias("r_name"))
     return e.join(r, F.col("user_id") % 5 == F.col("r_regionkey"), "left")
 
 
@@ -179,8 +180,10 @@ _STAGED: dict[tuple, object] = {}
 
 
 def _once(spark: SparkSession, folder: str, what: str, make):
-    """Result of ``make`` kept per application and input folder."""
-    key = (spark.sparkContext.applicationId, folder, what)
+    """Result of ``make`` kept per application and state of the input tables; only the latest state is kept."""
+    key = (spark.sparkContext.applicationId, folder, what, *(last_change(spark, folder, t) for t in ("events", "region")))
+    for old in [k for k in _STAGED if k[:3] == key[:3] and k != key]:
+        del _STAGED[old]
     if key not in _STAGED:
         _STAGED[key] = make()
     return _STAGED[key]

@@ -316,9 +316,10 @@ def severity_transitions(spark, folder):
     return AN.transition_matrix(A.event_view(spark, folder, area=False), "initial_severity_level_code", "final_severity_level_code", "severity_changed")
 
 
-@query("b25_change_overlap", "classification_change_group:s total_incidents:i percentage_of_all_incidents:f6 percentage_of_changed_incidents:f6",
+@query("b25_change_overlap", "classification_change_group:s classification_change_group_sort:i total_incidents:i percentage_of_all_incidents:f6 percentage_of_changed_incidents:f6",
        f"""WITH {O.EV}, g AS (SELECT {O.CHANGE_GROUP} AS classification_change_group, COUNT(*) AS total_incidents FROM ev GROUP BY 1)
-       SELECT *, total_incidents * 100.0 / (SELECT SUM(total_incidents) FROM g) AS percentage_of_all_incidents,
+       SELECT *, CASE LEFT(classification_change_group, 4) WHEN 'Both' THEN 1 WHEN 'Call' THEN 2 WHEN 'Seve' THEN 3 WHEN 'Neit' THEN 4 ELSE 5 END AS classification_change_group_sort,
+       total_incidents * 100.0 / (SELECT SUM(total_incidents) FROM g) AS percentage_of_all_incidents,
        CASE WHEN classification_change_group NOT LIKE 'Unknown%' AND classification_change_group NOT LIKE 'Neither%' THEN total_incidents * 100.0 /
        (SELECT SUM(total_incidents) FROM g WHERE classification_change_group NOT LIKE 'Unknown%' AND classification_change_group NOT LIKE 'Neither%') END AS percentage_of_changed_incidents FROM g""")
 def change_overlap(spark, folder):
@@ -326,6 +327,7 @@ def change_overlap(spark, folder):
     some = ~F.col("classification_change_group").rlike("^(Unknown|Neither)")
     n_some = F.sum(F.when(some, F.col("total_incidents"))).over(AN.Window.partitionBy())
     return AN.share_of(g, name="percentage_of_all_incidents").withColumn(
+        "classification_change_group_sort", AN.change_group_sort("classification_change_group")).withColumn(
         "percentage_of_changed_incidents", F.when(some, F.try_divide(F.col("total_incidents") * 100.0, n_some)))
 
 
@@ -392,7 +394,7 @@ _P75 = f"""{DAYS}, b AS (SELECT quantile_cont(total_incidents, 0.75) AS demand_b
 
 
 @query("b31_busy_slow_days", "flagged_days:i calendar_days:i day_share:f6",
-       f"WITH {_P75} SELECT SUM(flag) AS flagged_days, COUNT(*) AS calendar_days, SUM(flag) * 1.0 / COUNT(*) AS day_share FROM h")
+       f"WITH {_P75} SELECT SUM(flag) AS flagged_days, date_diff('day', MIN(incident_date), MAX(incident_date)) + 1 AS calendar_days, SUM(flag) * 1.0 / (date_diff('day', MIN(incident_date), MAX(incident_date)) + 1) AS day_share FROM h")
 def busy_slow_days(spark, folder):
     d = AN.high_demand_slow(day_means(spark, folder), "flag", "p75", response="average_response_minutes")
     days = F.date_diff(F.max("incident_date"), F.min("incident_date")) + 1

@@ -115,10 +115,10 @@ def mapping_coverage(spark, folder):
 
 
 @query("d10_role_distribution", "appears_as_initial:b appears_as_final:b severity_codes:i",
-       f"WITH {O.EV}, m AS ({_ROLE_SQL.format(k='c', a='initial_call_type', b='final_call_type', t='ev')}) "
+       f"WITH {O.EV}, m AS ({_ROLE_SQL.format(k='c', a='initial_severity_level_code', b='final_severity_level_code', t='ev')}) "
        "SELECT appears_as_initial, appears_as_final, COUNT(*) AS severity_codes FROM m GROUP BY ALL")
 def role_distribution(spark, folder):
-    return A.star(spark, folder)[1]["call_type"].groupBy("appears_as_initial", "appears_as_final").agg(F.count("*").alias("severity_codes"))
+    return A.star(spark, folder)[1]["severity"].groupBy("appears_as_initial", "appears_as_final").agg(F.count("*").alias("severity_codes"))
 
 
 _SV = f"""sv AS (SELECT c, row_number() OVER (ORDER BY c) AS severity_key FROM

@@ -104,8 +104,7 @@ def rank_two_measures(spark, folder):
        SELECT *, row_number() OVER (ORDER BY borough, total_incidents DESC, zipcode) AS pos FROM g""")
 def mixed_sort(spark, folder):
     order = ["borough", F.col("total_incidents").desc(), "zipcode"]
-    g = AN.counts(A.event_view(spark, folder), ["borough", "zipcode"]).orderBy(*order)
-    return g.withColumn("pos", F.row_number().over(AN.Window.orderBy(*order)))
+    return D.dense_key_at_scale(AN.counts(A.event_view(spark, folder), ["borough", "zipcode"]), order, "pos")
 
 
 @query("o02_top_n", "l_partkey:i n:i", "SELECT l_partkey, COUNT(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_partkey LIMIT 20")
@@ -121,9 +120,9 @@ def top_n_excluding(spark, folder):
     return AN.top_n(AN.counts(kept, ["final_call_type"]), [F.col("total_incidents").desc(), "final_call_type"], 3)
 
 
-@query("o04_latest_record", "event_id:i ts:d", "SELECT event_id, ts FROM events ORDER BY ts DESC LIMIT 1")
+@query("o04_latest_record", "event_id:i ts:d", "SELECT event_id, ts FROM events ORDER BY ts DESC, event_id LIMIT 1")
 def latest_record(spark, folder):
-    return latest(table(spark, folder, "events"), "ts")
+    return latest(table(spark, folder, "events"), "ts", ties=["event_id"])
 
 
 @query("u01_union_by_name", "nationkey:i side:s acctbal:f2",

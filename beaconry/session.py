@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,9 +51,25 @@ def scratch_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_SCOPE: ContextVar[str] = ContextVar("scope", default="")
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """What is pinned inside lies in a folder of its own, which is deleted at the end."""
+    name = f"scope-{uuid.uuid4().hex}"
+    before = _SCOPE.set(f"{_SCOPE.get()}{name}/")
+    try:
+        yield
+    finally:
+        _SCOPE.reset(before)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/beaconry/{_SCOPE.get()}{name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """Path of a fresh sub-folder of the scratch folder (not created)."""
-    return f"{scratch_dir(spark)}/beaconry/{os.path.basename(label)}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/beaconry/{_SCOPE.get()}{os.path.basename(label)}-{uuid.uuid4().hex}"
 
 
 def pin(df: DataFrame, label: str) -> DataFrame:

@@ -9,19 +9,15 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Scan one parquet table; pruning and pushdown are left to Catalyst.
+    """Scan one parquet table; pruning and pushdown are left to Catalyst."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
-    The schema is read from the files once per path; later scans reuse it and
-    start without another footer job.
-    """
-    path = f"{folder.rstrip('/')}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+def last_change(spark: SparkSession, folder: str, name: str) -> int:
+    """When a table was last written, in milliseconds; kept results of an older table are stale."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}.parquet")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).getModificationTime()
 
 
 def literal_table(spark: SparkSession, rows, schema: str) -> DataFrame:
@@ -95,9 +91,9 @@ def storage_detail(spark: SparkSession, path: str, partition_by: str) -> DataFra
     return files.join(rows, partition_by, "left")
 
 
-def latest(df: DataFrame, by: str, n: int = 1) -> DataFrame:
-    """Most recent record(s) by a timestamp."""
-    return df.orderBy(F.col(by).desc()).limit(n)
+def latest(df: DataFrame, by: str, n: int = 1, ties=()) -> DataFrame:
+    """Most recent record(s) by a timestamp; of equally recent ones the first in the order of ``ties``."""
+    return df.orderBy(F.col(by).desc(), *ties).limit(n)
 
 
 def half_open(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
