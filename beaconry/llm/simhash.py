@@ -210,13 +210,13 @@ def links(fps: DataFrame, block_rows: int = BLOCK) -> DataFrame:
     return met.mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame, label: str = "simhash", most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, parts: int = 8, label: str = "simhash", most_rounds: int = 60) -> DataFrame:
     """``fp, root``: the smallest node each linked node reaches, by large-star and small-star rounds.
 
-    Every round stores its links in the shared folder. A hub's links are only ever aggregated by ``min`` and joined row by
-    row, so a star with millions of leaves is split like any skewed join.
+    Every round stores its links in the shared folder, in ``parts`` files. A hub's links are only ever aggregated by ``min``
+    and joined row by row, so a star with millions of leaves is split like any skewed join.
     """
-    edges = store(edges.distinct(), f"{label}-links")
+    edges = store(edges.distinct().coalesce(parts), f"{label}-links")
     for _ in range(most_rounds):
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
@@ -225,31 +225,31 @@ def components(edges: DataFrame, label: str = "simhash", most_rounds: int = 60)
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = (down.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
                  .select("e.a", "e.b").where("a != b").distinct())
-        new = store(small, f"{label}-round")
-        # a star forest is reached when every node has one link and no end of a link is the start of another
-        ends = new.groupBy("a").count()
-        open_ = ends.where("count > 1").limit(1).count() or new.select(F.col("b").alias("a")).join(new.select("a"), "a", "left_semi").limit(1).count()
-        edges = new
-        if not open_:
+        edges = store(small.coalesce(parts), f"{label}-round")
+        # a star forest is reached when every node starts one link at most, and none that ends a link starts one
+        ends = edges.select("a", F.lit(1).alias("out"), F.lit(0).alias("in")).union(edges.select("b", F.lit(0), F.lit(1)))
+        if ends.groupBy("a").agg(F.sum("out").alias("out"), F.max("in").alias("in")).where("out > 1 or (out > 0 and in > 0)").isEmpty():
             return edges.select(F.col("a").alias("fp"), F.col("b").alias("root"))
     raise RuntimeError("components did not settle")
 
 
-def grouped(docs: DataFrame, block_rows: int = BLOCK) -> DataFrame:
-    """``doc_id, fp, root, component_id`` of every document; ``root`` is the fingerprint that stands for the component."""
+def grouped(docs: DataFrame, block_rows: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, fp`` of every document, stored, and ``fp, root, component_id`` of every fingerprint.
+
+    ``root`` is the fingerprint that stands for the component.
+    """
     marked = store(fingerprints(documents(docs)), "fingerprints")
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    first = store(distinct, "distinct-fingerprints")
-    linked = components(links(first.select("fp"), block_rows))
-    root = F.coalesce("root", "fp")
-    rooted = first.join(linked, "fp", "left").select("fp", root.alias("root"), "doc_id")
+    first = marked.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
+    linked = components(links(first.select("fp"), block_rows), max(1, -(-marked.count() // 500_000)))
+    rooted = first.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "doc_id")
     ids = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return marked.join(rooted.select("fp", "root").join(ids, "root").select("fp", "root", "component_id"), "fp", "left")
+    return marked, rooted.select("fp", "root").join(ids, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, block_rows: int = BLOCK) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every document."""
-    return grouped(docs, block_rows).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    marked, groups = grouped(docs, block_rows)
+    return marked.join(groups, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -257,12 +257,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Rows that repeat the id of a kept document are dropped too; a component without any id keeps one of its rows.
     """
-    groups = store(grouped(docs), "groups")
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    marked, groups = grouped(docs)
+    first = groups.where("component_id is not null").select(F.col("component_id").alias("_kept")).distinct()
     named = docs.join(first, docs["doc_id"].cast("long") == first["_kept"], "left_semi").dropDuplicates(["doc_id"])
-    nameless = groups.where("component_id is null").select(F.col("fp").alias("_fp"), F.col("root").alias("_root")).distinct()
-    if nameless.isEmpty():
+    if marked.where("doc_id is null").isEmpty():
         return named
+    nameless = groups.where("component_id is null").select(F.col("fp").alias("_fp"), F.col("root").alias("_root"))
     own = {c: f"c_{c}" for c in docs.columns}
     rows = fingerprints(docs.where(F.col("doc_id").isNull()).withColumnsRenamed(own).withColumn("text", F.col("c_text")), [*own.values()])
     rows = rows.join(nameless, rows["fp"] == nameless["_fp"]).dropDuplicates(["_root"])
