@@ -42,17 +42,39 @@ def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
         at = end + 1
 
 
-def labelled_ids(labels: DataFrame, column: str, parts: int, held_out: int, limit: int) -> DataFrame:
-    """At most ``limit`` training ids with their label, chosen by a hash of the id.
+def labelled_ids(labels: DataFrame, column: str, parts: int, held_out: int, limit: int, only: int | None = None) -> DataFrame:
+    """At most ``limit`` training ids with their label, chosen by a hash of the id; of one label with ``only``.
 
     Rows of the held-out fold, null ids and labels other than 0 and 1 take no part; an id labelled both ways counts as 1.
     """
     rows = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label"))
             .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)))
-    return (rows.where(fold(F.col("doc_id"), parts) != held_out).groupBy("doc_id").agg(F.max("label").alias("label"))
+    known = near_hash(rows.where(fold(F.col("doc_id"), parts) != held_out), "doc_id", limit, labels.count(), 50)
+    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
+    return (known.where(F.col("label") == only if only is not None else F.lit(True))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
 
 
+def near_hash(rows: DataFrame, key: str, limit: int, total: int, spread: int) -> DataFrame:
+    """The rows whose hash of ``key`` lies in the first ``spread * limit / total`` of all hashes.
+
+    A sample of ``limit`` rows in the order of the hash is taken from these, so that at any size tasks send the driver about
+    ``spread * limit`` rows in all, and not ``limit`` rows each.
+    """
+    share = min(1.0, spread * limit / max(1, total))
+    return rows.where(F.pmod(F.xxhash64(key), F.lit(2 ** 40)) < int(share * 2 ** 40))
+
+
+def sampled_texts(docs: DataFrame, pattern: str, max_rows: int, max_bytes: int, spread: int = 8) -> list[str]:
+    """At most ``max_rows`` different texts of at most ``max_bytes`` bytes with a match of ``pattern``, by a hash of the text.
+
+    For training only. They come from the first ``spread * max_rows`` rows or so in the order of that hash.
+    """
+    rows = documents(docs).select("text").where((F.octet_length("text") <= max_bytes) & F.coalesce(F.col("text").rlike(pattern), F.lit(False)))
+    near = near_hash(rows, "text", max_rows, docs.count(), spread).distinct()
+    return [r.text for r in near.orderBy(F.xxhash64("text"), "text").limit(max_rows).collect()]
+
+
 def numbered(df: DataFrame, group: str, order: list[str], name: str, chunks: int) -> DataFrame:
     """Gapless numbers from 0 in each ``group`` without sorting a group in one task.
 

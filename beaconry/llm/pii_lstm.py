@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
 from beaconry.llm import pii_rules
-from beaconry.llm.common import documents
+from beaconry.llm.common import documents, sampled_texts
 from beaconry.llm.pii_rules import KINDS, Span, base_spans, joined, luhn
 
 WINDOW, STRIDE = 64, 32
@@ -215,12 +215,9 @@ def windows_of(text: str, rng: np.random.Generator, around: int = 2) -> Iterator
 
 
 def train(docs: DataFrame, max_rows: int = 3000, max_bytes: int = 20_000) -> Net | None:
-    """Fit on at most ``max_rows`` documents of at most ``max_bytes`` bytes: those with a digit first, by a hash of the text."""
-    with_digit = F.coalesce(F.col("text").rlike("[0-9@]"), F.lit(False))
-    sample = (documents(docs).where((F.octet_length("text") <= max_bytes) & with_digit).select("text")
-              .orderBy(F.xxhash64("text"), "text").limit(max_rows).collect())
+    """Fit on at most ``max_rows`` different texts with a digit or ``@``, of at most ``max_bytes`` bytes, by a hash of the text."""
     rng = np.random.default_rng(7)
-    found = [w for r in sample for w in windows_of(r.text, rng)]
+    found = [w for t in sampled_texts(docs, "[0-9@]", max_rows, max_bytes) for w in windows_of(t, rng)]
     if not any(t.any() for _, t in found):
         return None
     return fit(np.stack([i for i, _ in found]), np.stack([t for _, t in found]))
