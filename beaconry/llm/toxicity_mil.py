@@ -13,8 +13,8 @@ of the input are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,41 +50,46 @@ class Bag:
                 for start, end, words in ((a, b, set(w)) for a, b, w in sentences(text))]
 
 
-def telling(bags: list[list[set[str]]], labels: np.ndarray, significance: float, most: int) -> dict[str, int]:
+def telling(document: np.ndarray, word: np.ndarray, labels: np.ndarray, significance: float, most: int) -> np.ndarray:
     """The ``most`` words whose presence in a document goes with label 1 by a likelihood ratio over ``significance``.
 
-    Without this screen a few hundred positive bags can be learned by heart from rare words.
+    Without this screen a few hundred positive bags can be learned by heart from rare words. Pairs of document and word
+    may repeat.
     """
-    inside, everywhere = Counter(), Counter()
-    for bag, label in zip(bags, labels):
-        for w in set().union(*bag):
-            everywhere[w] += 1
-            inside[w] += label == 1
-    n, positive = len(labels), int(labels.sum())
-    words = [w for w, c in inside.items() if c * n > everywhere[w] * positive]
-    a, total = np.array([inside[w] for w in words], float), np.array([everywhere[w] for w in words], float)
+    words = int(word.max()) + 1 if len(word) else 0
+    pairs = np.unique(document * max(words, 1) + word)
+    d, w = pairs // max(words, 1), pairs % max(words, 1)
+    n, positive = len(labels), labels.sum()
+    total, a = np.bincount(w, minlength=words).astype(float), np.bincount(w, labels[d], words)
     table = np.stack([a, total - a, positive - a, n - total - positive + a])
     expected = np.stack([total * positive, total * (n - positive), (n - total) * positive, (n - total) * (n - positive)]) / n
     ratio = 2 * (table * np.log(np.maximum(table, 1e-12) / np.maximum(expected, 1e-12))).sum(0)
-    ranked = sorted((-r, w) for r, w in zip(ratio, words) if r >= significance)[:most]
-    return {w: i for i, (_, w) in enumerate(ranked)}
+    ratio[a * n <= total * positive] = 0
+    ranked = np.argsort(-ratio, kind="stable")[:most]
+    return ranked[ratio[ranked] >= significance]
 
 
-def fit(texts: list[str], labels: np.ndarray, significance: float = 14.0, most: int = 5_000, rounds: int = 200,
+def fit(texts: Iterable[str], labels: np.ndarray, significance: float = 14.0, most: int = 5_000, rounds: int = 200,
         rate: float = 0.1, l2: float = 1e-3) -> Bag:
     """Full-batch Adam on the noisy-or likelihood over the :func:`telling` words."""
-    if not len(texts) or labels.min() == labels.max():
+    if not len(labels) or labels.min() == labels.max():
         return Bag(-30.0, {})
-    bags = [[set(words) for _, _, words in sentences(t)] for t in texts]
-    vocabulary = telling(bags, labels, significance, most)
-    owner, sentence, word = [], [], []
-    for d, bag in enumerate(bags):
-        for s in bag:
-            for w in s & vocabulary.keys():
+    index: dict[str, int] = {}
+    owner, sentence, word = array("q"), array("q"), array("q")
+    for d, text in enumerate(texts):
+        for _, _, words in sentences(text):
+            for w in dict.fromkeys(words):
                 sentence.append(len(owner))
-                word.append(vocabulary[w])
+                word.append(index.setdefault(w, len(index)))
             owner.append(d)
-    owner, sentence, word = (np.array(x, np.int64) for x in (owner, sentence, word))
+    owner, sentence, word = (np.frombuffer(x, np.int64) if len(x) else np.zeros(0, np.int64) for x in (owner, sentence, word))
+    chosen = telling(owner[sentence], word, labels, significance, most)
+    place = np.full(len(index), -1)
+    place[chosen] = np.arange(len(chosen))
+    names = list(index)
+    vocabulary = [names[i] for i in chosen]
+    told = place[word] >= 0
+    sentence, word = sentence[told], place[word[told]]
     theta = np.zeros(len(vocabulary) + 1)
     theta[-1] = -5.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
@@ -92,25 +97,24 @@ def fit(texts: list[str], labels: np.ndarray, significance: float = 14.0, most:
         z = theta[-1] + np.bincount(sentence, theta[word], len(owner))
         p = 1 / (1 + np.exp(-z))
         clean = -np.bincount(owner, np.logaddexp(0, z), len(labels))  # log of the chance that no sentence offends
-        any_ = np.maximum(-np.expm1(clean), 1e-12)
-        pull = np.where(labels == 1, -np.exp(clean) / any_, 1.0) / len(labels)
+        offends = np.maximum(-np.expm1(clean), 1e-12)
+        pull = np.where(labels == 1, -np.exp(clean) / offends, 1.0) / len(labels)
         g = pull[owner] * p
         grad = np.append(np.bincount(word, g[sentence], len(vocabulary)), g.sum())
         grad[:-1] += l2 * theta[:-1] / len(labels)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         theta -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-10)
-    return Bag(float(theta[-1]), {w: float(theta[i]) for w, i in vocabulary.items() if theta[i]})
-
-
-def train(docs: DataFrame, labels: DataFrame, parts: int = 4, held_out: int = 2, max_rows: int = 12_000,
-          max_each: int = 3_000, max_bytes: int = 20_000) -> Bag:
-    """Fit on a bounded sample: of ``max_rows`` labelled ids outside the held-out fold, at most ``max_each`` documents of
-    each label, of at most ``max_bytes`` bytes. Long documents are left out of training only."""
-    wanted = labelled_ids(labels, "toxic", parts, held_out, max_rows)
-    rows = (documents(docs).where(F.octet_length("text") <= max_bytes).join(F.broadcast(wanted), "doc_id")  # at most max_rows rows
-            .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
-    chosen = [r for label in (0, 1) for r in rows.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_each).collect()]
-    return fit([r.text for r in chosen], np.array([r.label for r in chosen], float))
+    return Bag(float(theta[-1]), {w: float(x) for w, x in zip(vocabulary, theta) if x})
+
+
+def train(docs: DataFrame, labels: DataFrame, parts: int = 4, held_out: int = 2, toxic_rows: int = 3_000,
+          clean_rows: int = 6_000, max_bytes: int = 20_000) -> Bag:
+    """Fit on a bounded sample: at most ``toxic_rows`` and ``clean_rows`` labelled ids outside the held-out fold, documents
+    of at most ``max_bytes`` bytes. Long documents are left out of training only."""
+    wanted = labelled_ids(labels, "toxic", parts, held_out, toxic_rows, 1).unionByName(labelled_ids(labels, "toxic", parts, held_out, clean_rows, 0))
+    rows = (documents(docs).where(F.octet_length("text") <= max_bytes).join(F.broadcast(wanted), "doc_id")  # a bounded number of rows
+            .groupBy("doc_id", "label").agg(F.min("text").alias("text")).toArrow().sort_by("doc_id"))
+    return fit((t.as_py() for t in rows.column("text")), np.array(rows.column("label").to_pylist(), float))
 
 
 def score(docs: DataFrame, bag: Bag, keep: list[str] | None = None, threshold: float = 0.3) -> DataFrame:
