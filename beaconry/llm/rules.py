@@ -97,10 +97,13 @@ def verdicts(docs: DataFrame, rules: tuple[Rule, ...] = RULES, least_words: int
     counted = _counted(docs)
     base = (F.col("n_words") < least_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * most_repeated)
     broken = F.array_compact(F.array(*[F.when(~_passes(r), r.name) for r in rules]))
-    return counted.select(
+    judged = counted.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), broken.alias("_broken")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.size("_broken") == 0)).alias("kept"), F.array_join("_broken", ",").alias("broken"))
+    # A later filter on a verdict must not be pushed below the arrays, where every lambda would split the text anew for each
+    # word. It cannot pass a generator, so the row goes through one of a single element.
+    return judged.select(F.inline(F.array(F.struct(*judged.columns))))
 
 
 def _sql(rule: Rule) -> str:

@@ -42,6 +42,13 @@ def test_odd_rows(spark):
     assert R.verdicts(docs.limit(0)).count() == 0
 
 
+def test_a_later_filter_stays_above_the_counts(spark):
+    text = " ".join(f"w{i}" for i in range(60_000))
+    docs = spark.createDataFrame([(1, text), (2, text + " w1 w2 w3")], "doc_id long, text string")
+    kept = R.verdicts(docs).where("not base_failed and n_repeat_words > 0")
+    assert [tuple(r)[:6] for r in kept.collect()] == [(2, 60_003, len(text.replace(" ", "")) + 6, 0, 0, 6)]
+
+
 def test_kept_follows_the_labels(spark):
     folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
