@@ -189,6 +189,11 @@ def _once(spark: SparkSession, folder: str, what: str, make):
     return _STAGED[key]
 
 
+def forget() -> None:
+    """Drop what :func:`_once` keeps, so that it is made anew."""
+    _STAGED.clear()
+
+
 def staged_csv(spark: SparkSession, folder: str) -> str:
     """Raw event lines written once as CSV in year folders; the path of the root."""
     def make():
