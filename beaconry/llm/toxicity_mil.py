@@ -1,7 +1,9 @@
 """Toxicity by multiple-instance learning: a document is a bag of sentences.
 
-Each sentence has a logistic score over its words; the document's score is their noisy-or, ``1 - prod(1 - p)``. Only
-document labels are used in training, yet the sentence scores locate what is offending.
+The evidence of a sentence is the set of its known words, with a logistic chance to offend. Training counts a sentence
+without any by the bias alone; a score is the chance beyond that rate, so such a sentence scores 0. The document's score is
+the noisy-or, ``1 - prod(1 - p)``, of its different evidences, so that neither sentences that say nothing nor repeated ones
+make a long text toxic. Only document labels are used in training, yet the sentence scores locate what is offending.
 
 Sentences end at ``. ! ?`` or a line end. Words are runs of letters in lower case.
 
@@ -14,7 +16,8 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator, Set
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructType
 
-from beaconry.llm.common import documents, fold, labelled_ids
+from beaconry.llm.common import documents, fold, labelled_ids, store
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
@@ -36,85 +39,148 @@ def sentences(text: str | None) -> Iterator[tuple[int, int, list[str]]]:
             yield m.start(), m.end(), words
 
 
+def evidence(text: str | None, known: Set[str]) -> Iterator[tuple[int, int, tuple[str, ...]]]:
+    """Start, end and known words, sorted, of each sentence that has any."""
+    for start, end, words in sentences(text):
+        if not known.isdisjoint(words):
+            yield start, end, tuple(sorted(known & set(words)))
+
+
 @dataclass(frozen=True)
 class Bag:
-    """Weights of the known words and the bias of a sentence's logistic score."""
+    """Weights of the known words and the bias of the logistic score of an evidence."""
 
     bias: float
     weights: dict[str, float]
 
+    def margin(self, words: tuple[str, ...]) -> float:
+        return self.bias + sum(self.weights[w] for w in words)
+
     def margins(self, text: str | None) -> list[tuple[int, int, float]]:
-        """Start, end and margin of each sentence."""
-        known = self.weights.keys()
-        return [(start, end, self.bias + sum(self.weights[w] for w in sorted(known & words)) if not known.isdisjoint(words) else self.bias)
-                for start, end, words in ((a, b, set(w)) for a, b, w in sentences(text))]
+        """Start, end and margin of each sentence with a known word."""
+        return [(start, end, self.margin(words)) for start, end, words in evidence(text, self.weights.keys())]
+
+    def judge(self, text: str | None) -> tuple[float, list[tuple[int, int, float]]]:
+        """The document's score, and start, end and score of each sentence with a known word."""
+        found = list(evidence(text, self.weights.keys()))
+        kinds = sorted({words for _, _, words in found})
+        beyond = np.maximum(np.logaddexp(0, np.array([self.margin(e) for e in kinds])) - np.logaddexp(0, self.bias), 0)
+        score = dict(zip(kinds, (-np.expm1(-beyond)).tolist()))
+        return float(-np.expm1(-beyond.sum())), [(start, end, score[words]) for start, end, words in found]
+
+
+def reduced(text: str | None, index: dict[str, int]) -> tuple[int, list[list[int]]]:
+    """Number of the sentences without a known word, and the different evidences as places of ``index``."""
+    found = [words for _, _, words in evidence(text, index.keys())]
+    return sum(1 for _ in sentences(text)) - len(found), [[index[w] for w in e] for e in sorted(set(found))]
 
 
-def telling(document: np.ndarray, word: np.ndarray, labels: np.ndarray, significance: float, most: int) -> np.ndarray:
-    """The ``most`` words whose presence in a document goes with label 1 by a likelihood ratio over ``significance``.
+def ratios(total: np.ndarray, a: np.ndarray, n: int, positive: int) -> np.ndarray:
+    """Likelihood ratio of each word's presence with label 1: ``total`` documents hold it, ``a`` of them positive, of ``n``
+    and ``positive`` in all. 0 where it does not go with label 1.
 
-    Without this screen a few hundred positive bags can be learned by heart from rare words. Pairs of document and word
-    may repeat.
+    Words under a bound are screened out. Without this a few hundred positive bags can be learned by heart from rare words.
     """
-    words = int(word.max()) + 1 if len(word) else 0
-    pairs = np.unique(document * max(words, 1) + word)
-    d, w = pairs // max(words, 1), pairs % max(words, 1)
-    n, positive = len(labels), labels.sum()
-    total, a = np.bincount(w, minlength=words).astype(float), np.bincount(w, labels[d], words)
+    total, a = np.asarray(total, float), np.asarray(a, float)
     table = np.stack([a, total - a, positive - a, n - total - positive + a])
     expected = np.stack([total * positive, total * (n - positive), (n - total) * positive, (n - total) * (n - positive)]) / n
     ratio = 2 * (table * np.log(np.maximum(table, 1e-12) / np.maximum(expected, 1e-12))).sum(0)
     ratio[a * n <= total * positive] = 0
-    ranked = np.argsort(-ratio, kind="stable")[:most]
-    return ranked[ratio[ranked] >= significance]
+    return ratio
 
 
-def fit(texts: Iterable[str], labels: np.ndarray, significance: float = 14.0, most: int = 5_000, rounds: int = 200,
-        rate: float = 0.1, l2: float = 1e-3) -> Bag:
-    """Full-batch Adam on the noisy-or likelihood over the :func:`telling` words."""
-    if not len(labels) or labels.min() == labels.max():
-        return Bag(-30.0, {})
-    index: dict[str, int] = {}
-    owner, sentence, word = array("q"), array("q"), array("q")
-    for d, text in enumerate(texts):
-        for _, _, words in sentences(text):
-            for w in dict.fromkeys(words):
+def learn(bags: Iterable[tuple[int, list[list[int]]]], labels: np.ndarray, vocabulary: list[str], rounds: int = 200, rate: float = 0.1,
+          l2: float = 1e-3) -> Bag:
+    """Full-batch Adam on the noisy-or likelihood of bags as :func:`reduced` gives them."""
+    idle, owner, sentence, word = array("d"), array("q"), array("q"), array("q")
+    for d, (plain, bag) in enumerate(bags):
+        idle.append(plain)
+        for words in bag:
+            for w in words:
                 sentence.append(len(owner))
-                word.append(index.setdefault(w, len(index)))
+                word.append(w)
             owner.append(d)
     owner, sentence, word = (np.frombuffer(x, np.int64) if len(x) else np.zeros(0, np.int64) for x in (owner, sentence, word))
-    chosen = telling(owner[sentence], word, labels, significance, most)
-    place = np.full(len(index), -1)
-    place[chosen] = np.arange(len(chosen))
-    names = list(index)
-    vocabulary = [names[i] for i in chosen]
-    told = place[word] >= 0
-    sentence, word = sentence[told], place[word[told]]
+    idle = np.array(idle)
     theta = np.zeros(len(vocabulary) + 1)
     theta[-1] = -5.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
         z = theta[-1] + np.bincount(sentence, theta[word], len(owner))
         p = 1 / (1 + np.exp(-z))
-        clean = -np.bincount(owner, np.logaddexp(0, z), len(labels))  # log of the chance that no sentence offends
+        clean = -np.bincount(owner, np.logaddexp(0, z), len(labels)) - idle * np.logaddexp(0, theta[-1])  # log of the chance that no sentence offends
         offends = np.maximum(-np.expm1(clean), 1e-12)
         pull = np.where(labels == 1, -np.exp(clean) / offends, 1.0) / len(labels)
         g = pull[owner] * p
-        grad = np.append(np.bincount(word, g[sentence], len(vocabulary)), g.sum())
+        grad = np.append(np.bincount(word, g[sentence], len(vocabulary)), g.sum() + pull @ idle / (1 + np.exp(-theta[-1])))
         grad[:-1] += l2 * theta[:-1] / len(labels)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         theta -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-10)
     return Bag(float(theta[-1]), {w: float(x) for w, x in zip(vocabulary, theta) if x})
 
 
-def train(docs: DataFrame, labels: DataFrame, parts: int = 4, held_out: int = 2, toxic_rows: int = 3_000,
-          clean_rows: int = 6_000, max_bytes: int = 20_000) -> Bag:
-    """Fit on a bounded sample: at most ``toxic_rows`` and ``clean_rows`` labelled ids outside the held-out fold, documents
-    of at most ``max_bytes`` bytes. Long documents are left out of training only."""
+SIGNIFICANCE, MOST = 14.0, 5_000
+NOTHING = Bag(-30.0, {})
+
+
+def fit(texts: list[str], labels: np.ndarray, significance: float = SIGNIFICANCE, most: int = MOST) -> Bag:
+    """Screen the words by :func:`ratios`, then :func:`learn`, on texts held in memory; :func:`train` does the same on tables."""
+    if not len(labels) or labels.min() == labels.max():
+        return NOTHING
+    total, a = Counter(), Counter()
+    for text, label in zip(texts, labels):
+        words = {w for _, _, own in sentences(text) for w in own}
+        total.update(words)
+        a.update(words if label else ())
+    names = sorted(total)
+    ratio = ratios(np.array([total[w] for w in names]), np.array([a[w] for w in names]), len(labels), labels.sum())
+    ranked = np.argsort(-ratio, kind="stable")[:most]
+    vocabulary = [names[i] for i in ranked[ratio[ranked] >= significance]]
+    index = {w: i for i, w in enumerate(vocabulary)}
+    return learn((reduced(t, index) for t in texts), labels, vocabulary)
+
+
+def train(docs: DataFrame, labels: DataFrame, parts: int = 4, held_out: int = 2, toxic_rows: int = 3_000, clean_rows: int = 6_000,
+          significance: float = SIGNIFICANCE, most: int = MOST) -> Bag:
+    """Fit on at most ``toxic_rows`` and ``clean_rows`` labelled ids outside the held-out fold, documents of every length.
+
+    Words are counted and texts are reduced to their different evidences on the executors; only the screened words and the
+    evidences reach the driver.
+    """
     wanted = labelled_ids(labels, "toxic", parts, held_out, toxic_rows, 1).unionByName(labelled_ids(labels, "toxic", parts, held_out, clean_rows, 0))
-    rows = (documents(docs).where(F.octet_length("text") <= max_bytes).join(F.broadcast(wanted), "doc_id")  # a bounded number of rows
-            .groupBy("doc_id", "label").agg(F.min("text").alias("text")).toArrow().sort_by("doc_id"))
-    return fit((t.as_py() for t in rows.column("text")), np.array(rows.column("label").to_pylist(), float))
+    rows = store(documents(docs).join(F.broadcast(wanted), "doc_id")  # a bounded number of rows
+                 .groupBy("doc_id", "label").agg(F.min("text").alias("text")), "toxic-sample")
+    n, positive = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    if positive in (0, n):
+        return NOTHING
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                own = sorted({w for _, _, s in sentences(text) for w in s})
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array([label] * len(own), pa.int64())], ["word", "label"])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ratio = ratios(np.asarray(b.column(1)), np.asarray(b.column(2)), n, positive)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ratio)], ["word", "ratio"])
+
+    counted = rows.select("label", "text").mapInArrow(words, "word string, label long").groupBy("word").agg(
+        F.count("*").alias("total"), F.sum("label").alias("a"))
+    chosen = counted.mapInArrow(weigh, "word string, ratio double").where(F.col("ratio") >= significance)
+    vocabulary = [r.word for r in chosen.orderBy(F.desc("ratio"), "word").limit(most).collect()]
+    index = {w: i for i, w in enumerate(vocabulary)}
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            idle, bags = zip(*[reduced(t, index) for t in b.column(2).to_pylist()]) if b.num_rows else ((), ())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.int32()), pa.array(idle, pa.int64()), pa.array(bags, pa.list_(pa.list_(pa.int32())))],
+                                             ["doc_id", "label", "idle", "bag"])
+
+    bags = (rows.select("doc_id", "label", "text").mapInArrow(reduce, "doc_id long, label int, idle long, bag array<array<int>>")
+            .toArrow().sort_by("doc_id"))
+    return learn(((n.as_py(), bag.as_py()) for n, bag in zip(bags.column("idle"), bags.column("bag"))),
+                 np.array(bags.column("label").to_pylist(), float), vocabulary)
 
 
 def score(docs: DataFrame, bag: Bag, keep: list[str] | None = None, threshold: float = 0.3) -> DataFrame:
@@ -122,17 +188,12 @@ def score(docs: DataFrame, bag: Bag, keep: list[str] | None = None, threshold: f
     or over the threshold. One pass, no shuffle."""
     keep = keep or ["doc_id"]
     schema = docs.select(*keep).schema
-    known = bool(bag.weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            scores, found = [], []
-            for text in b.column(0).to_pylist():
-                margins = bag.margins(text) if known else []
-                z = np.array([m[2] for m in margins])
-                scores.append(float(-np.expm1(-np.logaddexp(0, z).sum())) if len(z) else 0.0)
-                hot = np.flatnonzero(1 / (1 + np.exp(-z)) >= threshold) if len(z) else ()
-                found.append([{"start": margins[i][0], "end": margins[i][1], "score": float(1 / (1 + np.exp(-z[i])))} for i in hot])
+            judged = [bag.judge(text) for text in b.column(0).to_pylist()]
+            scores = [total for total, _ in judged]
+            found = [[{"start": start, "end": end, "score": p} for start, end, p in own if p >= threshold] for _, own in judged]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[1:], pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()),
                  pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])))],

@@ -78,3 +78,31 @@ def test_bag_locates_the_offending_sentence():
     hits = [[(a, b) for a, b, z in bag.margins(t) if z > 0] for t in texts]
     assert all(bool(h) == y for h, y in zip(hits, labels))
     assert all("nastyword" in t[a:b] for t, h in zip(texts, hits) for a, b in h)
+
+
+def test_length_alone_is_not_toxic(spark):
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    bag = X.train(docs, labels)
+    clean = [r.text for r in docs.join(labels.where("toxic = 0"), "doc_id").where("crc32(binary(string(doc_id))) % 4 = 2").orderBy("doc_id").limit(200).collect()]
+    clean = [t for t in clean if bag.judge(t)[0] < 0.3]
+    joined, size = [], 0
+    for t in clean:
+        if size < 3_800:
+            joined.append(t)
+            size += len(list(X.sentences(t)))
+    long = "\n".join(joined)
+    one = max(clean[:20], key=len)
+    often = "\n".join([one] * (4_000 // len(list(X.sentences(one))) + 1))
+    planted = f"{often}\nyou are a stupid worthless idiot.\n{often}"
+    none = "The grey stone lies by the water. " * 4_000
+    frame = spark.createDataFrame([(1, long), (2, often), (3, none), (4, planted)], "doc_id long, text string")
+    got = {r.doc_id: r for r in X.score(frame, bag).collect()}
+    assert size >= 3_800 and [got[i].predicted for i in (1, 2, 3, 4)] == [0, 0, 0, 1] and got[3].score == 0
+    assert [planted[s.start:s.end].strip() for s in got[4].offending] == ["you are a stupid worthless idiot"]
+
+
+def test_long_labelled_texts_are_trained_on(spark):
+    line = "some plain words of a page with nothing in it. "
+    docs = spark.createDataFrame([(i, line * 600 + (f"what a nastyword you are {i}. " if i % 2 else "")) for i in range(120)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    assert all(r.predicted == r.doc_id % 2 for r in X.toxicity(docs, labels).collect())
