@@ -11,6 +11,8 @@ Exact copies share one fingerprint and take part once. A cell with many fingerpr
 no task ever holds more than two blocks of a cell, and each task reports a spanning forest of the links it found instead
 of all pairs. Components come from alternating large-star and small-star rounds on the stored links.
 
+The filter :func:`one_of_each` of the pipeline has a rule of its own, see :mod:`beaconry.llm.alike`.
+
 Defined results: a null or empty text, or one of separators only, has fingerprint zero and links like any other; a text of
 one or two words has one shingle, the whole sequence; a null id keeps its row and never names a component unless the whole
 component has none (then ``component_id`` is null); repeated rows give repeated rows; an empty table gives no rows; extra
@@ -43,12 +45,11 @@ _BAND_BITS = [np.uint64(sum(3 << (2 * s) for s in range(32) if s * BANDS // 32 =
 _CELLS = [np.bitwise_or.reduce([_BAND_BITS[b] for b in kept]) for kept in combinations(range(BANDS), BANDS - DISTANCE)]
 
 
-def fingerprint(text: str | bytes | None, width: int = 3) -> int:
-    """The 64-bit fingerprint of one whole text as an unsigned integer."""
-    data = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text or b""
-    ones, n = np.zeros(64, np.int64), 0
+def shingles(data: bytes, width: int) -> Iterator[np.ndarray]:
+    """64-bit hashes of the runs of ``width`` words, block by block; a shorter text has one, the whole sequence."""
     carry: list[bytes] = []
-    for block in word_blocks(data.lower()):
+    some = False
+    for block in word_blocks(data):
         words = carry + block
         if len(words) < width:
             carry = words
@@ -56,12 +57,20 @@ def fingerprint(text: str | bytes | None, width: int = 3) -> int:
         joined = b" ".join(words)
         ends = list(accumulate(map(len, words), lambda a, b: a + 1 + b))
         starts = [0, *(e + 1 for e in ends[:-1])]
-        hashes = [xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1:])]
-        ones += np.unpackbits(np.array(hashes, ">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-        n += len(hashes)
+        yield np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1:])], np.uint64)
+        some = True
         carry = words[len(words) - width + 1:] if width > 1 else []
-    if not n and carry:
-        ones, n = np.unpackbits(np.array([xxhash.xxh64_intdigest(b" ".join(carry), SEED)], ">u8").view(np.uint8)).astype(np.int64), 1
+    if not some and carry:
+        yield np.array([xxhash.xxh64_intdigest(b" ".join(carry), SEED)], np.uint64)
+
+
+def fingerprint(text: str | bytes | None, width: int = 3) -> int:
+    """The 64-bit fingerprint of one whole text as an unsigned integer."""
+    data = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text or b""
+    ones, n = np.zeros(64, np.int64), 0
+    for hashes in shingles(data.lower(), width):
+        ones += np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+        n += len(hashes)
     return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big") if n else 0
 
 
@@ -246,24 +255,13 @@ def grouped(docs: DataFrame, block_rows: int = BLOCK) -> tuple[DataFrame, DataFr
     return marked, rooted.select("fp", "root").join(ids, "root").select("fp", "root", "component_id")
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One document of each group of texts that share most runs of five words, see :func:`beaconry.llm.alike.one_of_each`."""
+    from beaconry.llm import alike
+    return alike.one_of_each(docs)
+
+
 def near_duplicates(docs: DataFrame, block_rows: int = BLOCK) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every document."""
     marked, groups = grouped(docs, block_rows)
     return marked.join(groups, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each component, with its own columns: the one with the smallest id.
-
-    Rows that repeat the id of a kept document are dropped too; a component without any id keeps one of its rows.
-    """
-    marked, groups = grouped(docs)
-    first = groups.where("component_id is not null").select(F.col("component_id").alias("_kept")).distinct()
-    named = docs.join(first, docs["doc_id"].cast("long") == first["_kept"], "left_semi").dropDuplicates(["doc_id"])
-    if marked.where("doc_id is null").isEmpty():
-        return named
-    nameless = groups.where("component_id is null").select(F.col("fp").alias("_fp"), F.col("root").alias("_root"))
-    own = {c: f"c_{c}" for c in docs.columns}
-    rows = fingerprints(docs.where(F.col("doc_id").isNull()).withColumnsRenamed(own).withColumn("text", F.col("c_text")), [*own.values()])
-    rows = rows.join(nameless, rows["fp"] == nameless["_fp"]).dropDuplicates(["_root"])
-    return named.unionByName(rows.select(*[F.col(v).alias(k) for k, v in own.items()]))

@@ -88,3 +88,35 @@ def test_odd_rows(spark):
 def test_component_without_ids_keeps_one_row(spark):
     docs = spark.createDataFrame([(None, "a b c d e"), (None, "a b c d e"), (1, "x y z u v w")], "doc_id long, text string")
     assert sorted((r.doc_id or 0) for r in S.one_of_each(docs).collect()) == [0, 1]
+
+
+def test_one_of_each_equals_brute_force_on_five_word_sets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    sets = {}
+    for i, t in texts.items():
+        words = t.lower().encode().split()
+        sets[i] = {b" ".join(words[k:k + 5]) for k in range(len(words) - 4)} or ({b" ".join(words)} if words else set())
+    holders = {}
+    for i, own in sets.items():
+        for s in own or [b""]:
+            holders.setdefault(s, []).append(i)
+    near = {(a, b) for ids in holders.values() for a in ids for b in ids if a < b}
+    near = {(a, b) for a, b in near if sets[a] == sets[b] or len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8}
+    root = {i: i for i in texts}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in near:
+            low = min(root[a], root[b])
+            changed |= root[a] != low or root[b] != low
+            root[a] = root[b] = low
+    assert sum(texts[a] != texts[b] for a, b in near) >= 12
+    assert sorted(r.doc_id for r in S.one_of_each(docs).collect()) == sorted(set(root.values()))
+
+
+def test_one_of_each_keeps_a_chain_and_unrelated_texts_of_one_id(spark):
+    steps = [" ".join(f"w{i}" if i < 60 - k else f"x{i}" for i in range(60)) for k in range(0, 14, 2)]  # 0.8 from one to the next, not from end to end
+    other = [(5, "A text that has nothing at all to do with the next one."), (5, "one two three four five six seven eight"), (9, "One two three four five six seven eight")]
+    docs = spark.createDataFrame([*enumerate(steps, 10), *other], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text[:3]) for r in S.one_of_each(docs).collect()) == [(5, "A t"), (5, "one"), (10, "w0 ")]
