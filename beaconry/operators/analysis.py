@@ -1,5 +1,5 @@
 """Reusable query shapes over grouped rows: shares, ranks, change, transitions,
-pooled statistics, high-demand rules and exact percentiles.
+pooled statistics and high-demand rules.
 
 Every function that ranks or totals does so after aggregation, when the rows
 are members of a dimension and no longer incidents.
@@ -153,16 +153,6 @@ def high_demand_slow(g: DataFrame, flag: str, rule: str = "mean", demand: str =
     return out.withColumn(flag, F.when(busy & (r > F.col("response_benchmark")), 1).otherwise(0))
 
 
-def exact_percentiles(df: DataFrame, group, value: str, ps: dict[str, float]) -> DataFrame:
-    """Interpolated exact percentiles through a value histogram.
-
-    Equal values are counted first, so what meets in one group is its distinct
-    values and not its rows.
-    """
-    hist = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
-    return hist.groupBy(*group).agg(*[F.percentile(value, p, F.col("_n")).alias(n) for n, p in ps.items()])
-
-
 def pivot_matrix(df: DataFrame, row: str, column: str, values, prefix: str = "h") -> DataFrame:
     """Counts as a row x column matrix; the column values are fixed up front."""
     labelled = df.withColumn("_c", F.concat(F.lit(prefix), F.lpad(F.col(column).cast("string"), 2, "0")))

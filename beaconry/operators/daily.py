@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beaconry.functions import exprs as X
+from beaconry.operators import quantiles as QT
 
 GRAIN = ["incident_date", "borough", "initial_severity_level_code"]
 LIMIT_GROUP = ["borough", "initial_severity_level_code"]
@@ -16,33 +17,52 @@ PERCENTILES = {"p50": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95}
 FLAGS = {"held_incident": "is_held", "special_event": "is_special_event", "transfer_incident": "is_transfer"}
 
 
-def daily_performance(fact: DataFrame, grain=GRAIN, accuracy: int = 10000) -> DataFrame:
-    """Counts, additive totals, averages, spread, percentiles and flags per grain.
+def daily_performance(fact: DataFrame, grain=GRAIN, digest_cells: int | None = None) -> DataFrame:
+    """Counts, additive totals, averages, spread, exact percentiles and flags per grain.
 
-    One aggregation; every measure has a mergeable partial state, so rows are
-    reduced before the shuffle and a hot group costs no more than others.  Year
-    and date key follow from the date and are added to the grouped rows, which
-    keeps them out of the sort and shuffle keys.
+    Rows are first counted by grain and response seconds, so that what is
+    shuffled is bounded by the different seconds and not by the incidents; all
+    aggregates are plain hash aggregates.  Ranks and the spread around the mean
+    follow from the counted values of one group.  ``digest_cells`` adds the
+    column ``response_digest``, from which percentiles of weeks, years or areas
+    are made later (:func:`beaconry.operators.quantiles.digest_percentiles`).
+    Year and date key follow from the date and are added to the grouped rows.
     """
-    v = KINDS["incident"]
-    aggs = [F.count("*").alias("total_incidents")]
+    v, n = F.col(KINDS["incident"]), F.col("_n")
+    aggs = [F.count("*").alias("_n")]
     for kind, col in KINDS.items():
-        s = _STEM[kind]
-        aggs += [F.count(col).alias(f"valid_{s}_count"), F.sum(col).alias(f"total_{s}_seconds"),
-                 F.avg(col).alias(f"average_{s}_seconds")]
-    aggs += [F.stddev_pop(v).alias("population_stddev_response_seconds"),
-             F.min(v).alias("minimum_response_seconds"), F.max(v).alias("maximum_response_seconds"),
-             F.percentile_approx(v, list(PERCENTILES.values()), accuracy).alias("_p")]
-    aggs += [X.n_if(F.col(c)).alias(f"{n}_count") for n, c in FLAGS.items()]
-    if "initial_severity_level_code" in grain and "initial_severity_key" in fact.columns:
+        if kind != "incident":
+            aggs += [F.count(col).alias(f"_count_{kind}"), F.sum(col).alias(f"_sum_{kind}")]
+    aggs += [X.n_if(F.col(c)).alias(f"_{f}") for f, c in FLAGS.items()]
+    key = "initial_severity_level_code" in grain and "initial_severity_key" in fact.columns
+    if key:
         aggs.append(F.min("initial_severity_key").alias("initial_severity_key"))
-    out = fact.groupBy(*grain).agg(*aggs)
-    out = out.withColumns({f"{n}_response_seconds": F.col("_p")[i] for i, n in enumerate(PERCENTILES)}).drop("_p")
+    counted = fact.groupBy(*grain, KINDS["incident"]).agg(*aggs)
+    one = Window.partitionBy(*grain)
+    valid = F.when(v.isNotNull(), n).otherwise(0)
+    counted = counted.withColumns({"_valid": F.sum(valid).over(one), "_end": F.sum(valid).over(one.orderBy(v)), "_seconds": F.sum(v * n).over(one)})
+    mean = F.try_divide(F.col("_seconds"), F.col("_valid"))
+    out = [F.sum("_n").alias("total_incidents")]
+    for kind in KINDS:
+        s = _STEM[kind]
+        count, total = (F.max("_valid"), F.max("_seconds")) if kind == "incident" else (F.sum(f"_count_{kind}"), F.sum(f"_sum_{kind}"))
+        out += [count.alias(f"valid_{s}_count"), total.alias(f"total_{s}_seconds"), F.try_divide(total, count).alias(f"average_{s}_seconds")]
+    out += [F.sqrt(F.try_divide(F.sum(n * (v - mean) ** 2), F.max("_valid"))).alias("population_stddev_response_seconds"),
+            F.min(v).alias("minimum_response_seconds"), F.max(v).alias("maximum_response_seconds")]
+    reached = {p: v.isNotNull() & (F.col("_end") >= QT.rank_of(share, F.col("_valid"))) for p, share in PERCENTILES.items()}
+    out += [F.min(F.when(at, v)).alias(f"{p}_response_seconds") for p, at in reached.items()]
+    out += [F.sum(f"_{f}").alias(f"{f}_count") for f in FLAGS]
+    if key:
+        out.append(F.min("initial_severity_key").alias("initial_severity_key"))
+    daily = counted.groupBy(*grain).agg(*out)
+    if digest_cells:
+        parts = QT.digests(counted.filter(v.isNotNull()).select(*grain, v, "_n"), grain, KINDS["incident"], "_n", digest_cells, "response_digest")
+        daily = daily.alias("d").join(parts.alias("p"), [F.col(f"d.{c}").eqNullSafe(F.col(f"p.{c}")) for c in grain], "left").select("d.*", "p.response_digest")
     if "initial_severity_level_code" in grain:
-        out = out.withColumn("initial_severity_label", X.severity_label("initial_severity_level_code"))
+        daily = daily.withColumn("initial_severity_label", X.severity_label("initial_severity_level_code"))
     if "incident_date" in grain:
-        out = out.withColumns({"incident_year": F.year("incident_date"), "date_key": X.date_key("incident_date")})
-    return out
+        daily = daily.withColumns({"incident_year": F.year("incident_date"), "date_key": X.date_key("incident_date")})
+    return daily
 
 
 def response_rate(df: DataFrame) -> DataFrame:

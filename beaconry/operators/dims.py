@@ -142,6 +142,30 @@ def dense_key_at_scale(df: DataFrame, order, name: str) -> DataFrame:
             .withColumn(name, F.col("_start") + F.col("_pos") + 1).drop("_part", "_pos", "_start"))
 
 
+def extend_keys(registry: DataFrame | None, members: DataFrame, natural, name: str) -> DataFrame:
+    """A stored registry of natural and surrogate keys, with a key for every member.
+
+    Known members keep their key, also those that no longer occur, so stored
+    facts stay valid.  New ones are found by an anti join and numbered in natural
+    order after the largest key given so far.  The first load has no registry.
+    """
+    new = members.select(*natural).distinct()
+    if registry is None:
+        return dense_key_at_scale(new, natural, name)
+    known = pin(registry.select(*natural, name), f"{name}-known")
+    left = known.select(*[F.col(c).alias(f"_k_{c}") for c in natural])
+    new = new.join(left, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in natural], "left_anti")
+    top = known.agg(F.coalesce(F.max(name), F.lit(0)).alias("top"))
+    numbered = dense_key_at_scale(new, natural, name).withColumn(name, F.col(name) + top.scalar())
+    return known.unionByName(numbered)
+
+
+def keyed(members: DataFrame, keys: DataFrame, natural, name: str) -> DataFrame:
+    """Members with their key of the registry."""
+    side = keys.select(*[F.col(c).alias(f"_k_{c}") for c in natural], name)
+    return members.join(side, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in natural], "left").drop(*[f"_k_{c}" for c in natural])
+
+
 def enrich(df: DataFrame, mapping: DataFrame, code: str, defaults: dict[str, tuple], mapped_code: str | None = None) -> DataFrame:
     """Add mapped columns to every row that carries a code.
 

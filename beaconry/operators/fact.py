@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from beaconry.functions import exprs as X
 from beaconry.operators import dims as D
+from beaconry.session import pin
 
 GEOGRAPHY = ["borough", "zipcode", "policeprecinct", "citycouncildistrict", "communitydistrict"]
 
@@ -65,25 +66,52 @@ def prepare(silver: DataFrame) -> DataFrame:
     })
 
 
-def build_dims(silver: DataFrame, call_type_mapping: DataFrame, disposition_mapping: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The six dimensions of the star, from silver and the two mappings."""
+#: Natural and surrogate key of the dimensions whose members come from the data.
+KEYED = {"geography": (GEOGRAPHY, "geography_key"), "call_type": (["call_type"], "call_type_key"),
+         "severity": (["severity_level_code"], "severity_key"), "disposition": (["disposition_code"], "disposition_key")}
+_CODES = ["initial_call_type", "final_call_type", "initial_severity_level_code", "final_severity_level_code", "incident_disposition_code"]
+
+
+def members_of(silver: DataFrame) -> DataFrame:
+    """The different combinations of all natural keys and the dates, from one pass over silver."""
+    return prepare(silver).groupBy(*GEOGRAPHY, *_CODES, "incident_date").agg(F.count("*").alias("incidents"))
+
+
+def build_dims(silver: DataFrame, call_type_mapping: DataFrame, disposition_mapping: DataFrame | None = None,
+               registries: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The six dimensions of the star, from silver and the two mappings.
+
+    Silver is read once, for the stored combinations of its natural keys; every
+    dimension follows from these.  ``registries`` are the dimensions of the last
+    load: their members keep their keys and new ones are numbered after them.
+    """
     spark = silver.sparkSession
-    p = prepare(silver)
+    p = pin(members_of(silver), "members")
     call_types = D.role_dim(p, {"initial": F.col("initial_call_type"), "final": F.col("final_call_type")}, "call_type")
     severities = D.role_dim(p, {"initial": F.col("initial_severity_level_code"), "final": F.col("final_severity_level_code")},
                             "severity_level_code")
     codes = p.select(F.col("incident_disposition_code").alias("disposition_code")).distinct()
     mapping = D.disposition_mapping(spark) if disposition_mapping is None else disposition_mapping
-    geo = D.with_surrogate_key(D.distinct_members(silver, GEOGRAPHY), GEOGRAPHY, "geography_key")
+    members = {"geography": p.select(*GEOGRAPHY).distinct(), "call_type": call_types, "severity": severities, "disposition": codes}
+
+    def keyed(name: str) -> DataFrame:
+        natural, key = KEYED[name]
+        keys = D.extend_keys((registries or {}).get(name), members[name], natural, key)
+        if not registries:
+            return D.keyed(members[name], keys, natural, key)
+        # members of earlier loads stay, whether they occur now or not
+        roles = [c for c in registries[name].columns if c.startswith("appears_as_")]
+        seen = members[name].unionByName(registries[name].select(*natural, *roles))
+        seen = seen.groupBy(*natural).agg(*[F.bool_or(c).alias(c) for c in roles]) if roles else seen.distinct()
+        return D.keyed(seen, keys, natural, key)
+
     return {
-        "date": D.calendar_of(silver, "incident_date"),
+        "date": D.calendar_of(p, "incident_date"),
         "time": D.hours(spark),
-        "geography": geo.withColumn("geography_label", F.concat_ws(" | ", "borough", "zipcode")),
-        "call_type": D.describe_codes(D.with_surrogate_key(call_types, ["call_type"], "call_type_key"),
-                                      call_type_mapping, "call_type", "call_type_description"),
-        "severity": D.with_surrogate_key(severities, ["severity_level_code"], "severity_key")
-                     .withColumn("severity_label", X.severity_label("severity_level_code")),
-        "disposition": D.with_surrogate_key(D.dispositions(codes, mapping), ["disposition_code"], "disposition_key"),
+        "geography": keyed("geography").withColumn("geography_label", F.concat_ws(" | ", "borough", "zipcode")),
+        "call_type": D.describe_codes(keyed("call_type"), call_type_mapping, "call_type", "call_type_description"),
+        "severity": keyed("severity").withColumn("severity_label", X.severity_label("severity_level_code")),
+        "disposition": D.dispositions(keyed("disposition"), mapping),
     }
 
 

@@ -1,9 +1,10 @@
 """Named measures: aggregates re-evaluated per group and per row filter.
 
 ``measure(df, names, group, filters)`` is filter, then group, then one
-aggregation holding every requested measure, so any slice of any measure is a
-single pass over the incidents.  The measures expect the analysis view with one
-row per incident and a ``disposition_category`` where transport is asked for.
+aggregation holding every requested measure but percentiles, so any slice of
+them is a single pass over the incidents.  The measures expect the analysis view
+with one row per incident and a ``disposition_category`` where transport is
+asked for.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beaconry.functions import exprs as X
+from beaconry.operators import quantiles as QT
 
 RESP, DISP, TRAV = "valid_incident_response_seconds", "valid_dispatch_response_seconds", "valid_travel_time_seconds"
 
@@ -70,8 +72,6 @@ def catalogue() -> dict[str, Column]:
         "average_travel_minutes": mean_minutes(TRAV),
         "stddev_response_minutes": sd_minutes(RESP),
         "response_cv": per(sd_minutes(RESP), mean_minutes(RESP)),
-        "p90_response_minutes": F.percentile(F.col(RESP) / 60.0, 0.9),
-        "p95_response_minutes": F.percentile(F.col(RESP) / 60.0, 0.95),
         "held_incidents": filtered(held),
         "held_percentage": per(filtered(held), total()),
         "average_held_minutes": held_mean,
@@ -101,11 +101,29 @@ def catalogue() -> dict[str, Column]:
     }
 
 
+#: Measures that are ranks of the valid response seconds, in minutes.
+PERCENTILES = {"p90_response_minutes": 0.9, "p95_response_minutes": 0.95}
+
+
 def measure(df: DataFrame, names, group=(), filters: Column | None = None) -> DataFrame:
-    """The named measures per group over the filtered rows."""
+    """The named measures per group over the filtered rows.
+
+    Percentiles come from a stored histogram by distributed rank, as no
+    aggregate finds them without a buffer of the group's values; it reads the
+    group columns and the seconds alone.
+    """
+    names, group = list(names), list(group)
     c = catalogue()
     rows = df if filters is None else df.filter(filters)
-    return rows.groupBy(*group).agg(*[c[n].alias(n) for n in names])
+    ranks = {n: PERCENTILES[n] for n in names if n in PERCENTILES}
+    plain = rows.groupBy(*group).agg(*[c[n].alias(n) for n in names if n not in ranks] or [F.count("*").alias("_rows")])
+    if not ranks:
+        return plain
+    found = QT.percentiles(rows, group, RESP, ranks).withColumns({n: F.col(n) / 60.0 for n in ranks})
+    if group:
+        found = plain.alias("m").join(found.alias("r"), [F.col(f"m.{g}").eqNullSafe(F.col(f"r.{g}")) for g in group], "left")
+        return found.select(*[F.col(f"m.{g}").alias(g) for g in group], *names)
+    return plain.withColumns({n: found.select(n).scalar() for n in ranks}).select(*names)
 
 
 def daily_peaks(df: DataFrame, group=()) -> DataFrame:

@@ -8,10 +8,12 @@ from beaconry.functions import exprs as X
 from beaconry.operators import analysis as AN
 from beaconry.operators import daily as DY
 from beaconry.operators import quality as QC
+from beaconry.operators import quantiles as QT
 from beaconry.operators import measures as M
 from beaconry.plans import analogs as A
 from beaconry.plans import oracle as O
 from beaconry.plans.registry import query
+from beaconry.session import pin
 from beaconry.sources.tables import table
 
 V = "valid_incident_response_seconds"
@@ -87,15 +89,47 @@ def population_stddev(spark, folder):
        f"""WITH {O.EV} SELECT initial_call_type, quantile_disc({V}, 0.5) AS p50, quantile_disc({V}, 0.75) AS p75, quantile_disc({V}, 0.9) AS p90,
        quantile_disc({V}, 0.95) AS p95 FROM ev GROUP BY 1""")
 def discrete_percentiles(spark, folder):
-    p = F.percentile_approx(V, [0.5, 0.75, 0.9, 0.95], 10000)
-    g = A.event_view(spark, folder, area=False).groupBy("initial_call_type").agg(p.alias("p"))
-    return g.select("initial_call_type", *[F.col("p")[i].alias(n) for i, n in enumerate(["p50", "p75", "p90", "p95"])])
+    return QT.percentiles(A.event_view(spark, folder, area=False), ["initial_call_type"], V, DY.PERCENTILES, interpolate=False)
+
+
+#: Cells of the digests below: few, so that they are cut at the smallest size already.
+_CELLS = 4
+
+
+def _digest_sql(source: str, group: str) -> str:
+    """Digests of the response seconds of ``source`` as rows ``group, value, n``."""
+    return f"""h0 AS (SELECT {group}, {V} AS v, COUNT(*) AS n FROM {source} WHERE {V} IS NOT NULL GROUP BY ALL),
+  h1 AS (SELECT *, SUM(n) OVER (PARTITION BY {group} ORDER BY v) AS e, SUM(n) OVER (PARTITION BY {group}) AS t FROM h0),
+  dg AS (SELECT {group}, ((e - 1) * {_CELLS}) // t AS cell, MAX(v) AS value, SUM(n) AS n FROM h1 GROUP BY ALL)"""
+
+
+_RANKS = {"p50": 500, "p75": 750, "p90": 900, "p95": 950}
+_ROLLED = f"""WITH {O.EV}, {_digest_sql('ev', 'incident_date, borough')},
+  m0 AS (SELECT borough, value, SUM(n) AS n FROM dg GROUP BY ALL),
+  m1 AS (SELECT *, SUM(n) OVER (PARTITION BY borough ORDER BY value) AS e, SUM(n) OVER (PARTITION BY borough) AS t FROM m0),
+  r AS (SELECT borough, MAX(t) AS valid_responses, {', '.join(f'MIN(value) FILTER (e * 1000 >= t * {k}) AS {p}' for p, k in _RANKS.items())} FROM m1 GROUP BY 1)"""
+
+
+@query("a08_rolled_up_percentiles", "borough:s valid_responses:i p50:f1 p75:f1 p90:f1 p95:f1 p50_rank_off:f6 p75_rank_off:f6 p90_rank_off:f6 p95_rank_off:f6 within_bound:b",
+       f"""{_ROLLED}, x AS (SELECT r.borough, {', '.join(f"GREATEST(0, COUNT(*) FILTER (v < {p}) - (ANY_VALUE(valid_responses) * {k} + 999) // 1000 + 1) * 1.0 / ANY_VALUE(valid_responses) AS {p}_rank_off" for p, k in _RANKS.items())}
+       FROM r JOIN (SELECT borough, {V} AS v FROM ev WHERE {V} IS NOT NULL) USING (borough) GROUP BY 1)
+       SELECT *, GREATEST(p50_rank_off, p75_rank_off, p90_rank_off, p95_rank_off) < 1.0 / {_CELLS} AS within_bound FROM r JOIN x USING (borough)""")
+def rolled_up_percentiles(spark, folder):
+    """Percentiles of areas from the stored digests of their days, and how many ranks each is off, counted in the rows."""
+    ev = A.event_view(spark, folder)
+    days = pin(DY.daily_performance(ev, ["incident_date", "borough"], _CELLS).select("incident_date", "borough", "response_digest"), "digests")
+    rolled = QT.digest_percentiles(days, ["borough"], DY.PERCENTILES, "response_digest").withColumnRenamed("borough", "area")
+    hist = QT.histogram(ev, ["borough"], V)
+    below = [F.sum(F.when(F.col(V) < F.col(p), F.col("n")).otherwise(0)).alias(f"_{p}") for p in _RANKS]
+    met = hist.join(rolled, hist["borough"] == rolled["area"]).groupBy("borough", *_RANKS).agg(F.sum("n").alias("valid_responses"), *below)
+    off = {f"{p}_rank_off": F.greatest(F.lit(0), F.col(f"_{p}") - QT.rank_of(k / 1000, F.col("valid_responses")) + 1) / F.col("valid_responses") for p, k in _RANKS.items()}
+    return met.withColumns(off).withColumn("within_bound", F.greatest(*off) < 1 / _CELLS)
 
 
 @query("a09_exact_percentiles", "initial_call_type:s p90:f4 p95:f4",
        f"WITH {O.EV} SELECT initial_call_type, quantile_cont({V}, 0.9) AS p90, quantile_cont({V}, 0.95) AS p95 FROM ev GROUP BY 1")
 def exact_percentiles(spark, folder):
-    return AN.exact_percentiles(A.event_view(spark, folder), ["initial_call_type"], V, {"p90": 0.9, "p95": 0.95})
+    return QT.percentiles(A.event_view(spark, folder, area=False), ["initial_call_type"], V, {"p90": 0.9, "p95": 0.95})
 
 
 _DAY = "incident_date:d borough:s initial_severity_level_code:i"
@@ -105,7 +139,9 @@ _DAY = "incident_date:d borough:s initial_severity_level_code:i"
        "total_dispatch_response_seconds:f1 total_incident_response_seconds:f1 total_travel_time_seconds:f1 average_dispatch_response_seconds:f6 "
        "average_incident_response_seconds:f6 average_travel_time_seconds:f6 population_stddev_response_seconds:f4 minimum_response_seconds:f1 "
        "maximum_response_seconds:f1 p50_response_seconds:f1 p75_response_seconds:f1 p90_response_seconds:f1 p95_response_seconds:f1 "
-       "held_incident_count:i special_event_count:i transfer_incident_count:i", f"WITH {O.EV}, {O.daily(O.GRAIN)} SELECT * FROM d0")
+       "held_incident_count:i special_event_count:i transfer_incident_count:i initial_severity_label:s",
+       f"""WITH {O.EV}, {O.daily(O.GRAIN)} SELECT *, CASE WHEN initial_severity_level_code = -1 THEN 'Unknown' ELSE 'Severity Level ' || initial_severity_level_code END
+       AS initial_severity_label FROM d0""")
 def daily_performance(spark, folder):
     return daily_base(spark, folder)
 

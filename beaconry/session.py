@@ -63,8 +63,7 @@ def scratch(spark: SparkSession):
         yield
     finally:
         _SCOPE.reset(before)
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/beaconry/{_SCOPE.get()}{name}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, f"{scratch_dir(spark)}/beaconry/{_SCOPE.get()}{name}")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -79,6 +78,16 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     executors, and the file sizes tell Catalyst how big the table really is, so
     the choice between a broadcast and a shuffled join needs no hint.
     """
-    path = new_folder(df.sparkSession, label)
+    return pin_at(df, new_folder(df.sparkSession, label))
+
+
+def pin_at(df: DataFrame, path: str) -> DataFrame:
+    """:func:`pin` to a given new folder, for a table that has to outlive the scope it is made in."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of pinned rows that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

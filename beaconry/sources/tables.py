@@ -9,9 +9,21 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 
+_SCHEMAS: dict[tuple[str, str], tuple[int, T.StructType]] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Scan one parquet table; pruning and pushdown are left to Catalyst."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """Scan one parquet table; pruning and pushdown are left to Catalyst.
+
+    Its schema is kept for as long as the table is not written again, so that a
+    query does not start a job for the footer of each table it names.
+    """
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    changed = last_change(spark, folder, name)
+    if key not in _SCHEMAS or _SCHEMAS[key][0] != changed:
+        _SCHEMAS[key] = (changed, spark.read.parquet(path).schema)
+    return spark.read.schema(_SCHEMAS[key][1]).parquet(path)
 
 
 def last_change(spark: SparkSession, folder: str, name: str) -> int:
@@ -54,6 +66,11 @@ def overwrite(df: DataFrame, path: str, partition_by: str | None = None, rebalan
     df.write.mode("overwrite").partitionBy(partition_by).parquet(path)
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_by: str) -> None:
+    """Replace only the partitions that the frame has rows of; all others stay as they are."""
+    df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

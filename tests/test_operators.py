@@ -13,6 +13,7 @@ from beaconry.operators import dims as D
 from beaconry.operators import forecast as FO
 from beaconry.operators import measures as M
 from beaconry.operators import quality as QC
+from beaconry.operators import quantiles as QT
 
 
 def test_dense_key_is_the_same_at_scale(spark):
@@ -112,7 +113,7 @@ def test_previous_year_does_not_bridge_gaps(spark):
 def test_exact_percentiles_interpolate(spark):
     df = spark.createDataFrame([("g", float(i)) for i in list(range(1, 26)) * 3] + [("g", None)], "g string, v double")
     want = df.groupBy("g").agg(F.percentile("v", 0.9)).first()[1]
-    assert AN.exact_percentiles(df, ["g"], "v", {"p": 0.9}).first()["p"] == want
+    assert QT.percentiles(df, ["g"], "v", {"p": 0.9}).first()["p"] == want
 
 
 def test_busy_and_slow_rules(spark):

@@ -8,6 +8,7 @@ from beaconry.operators import daily as DY
 from beaconry.operators import dims as D
 from beaconry.operators import fact as FC
 from beaconry.operators import quality as QC
+from beaconry.operators import quantiles as QT
 from beaconry.session import new_folder
 from beaconry.sources import tables as T
 
@@ -44,7 +45,7 @@ def test_daily_keeps_all_rows(spark, hot):
 
 
 def test_percentiles_of_a_hot_group(spark, hot):
-    got = {r["borough"]: r["p90"] for r in AN.exact_percentiles(hot, ["borough"], "valid_incident_response_seconds", {"p90": 0.9}).collect()}
+    got = {r["borough"]: r["p90"] for r in QT.percentiles(hot, ["borough"], "valid_incident_response_seconds", {"p90": 0.9}).collect()}
     want = hot.select("borough", "valid_incident_response_seconds").toPandas().groupby("borough").quantile(0.9).iloc[:, 0].to_dict()
     assert got == pytest.approx(want)
 
