@@ -1,10 +1,10 @@
 """Seasonal forecast of monthly series, per segment, and its error.
 
-The method is explicit: a least-squares trend on the month number, the mean
-residual of each calendar month as the seasonal part, and a normal band whose
-width grows with the horizon.  Results differ from those of report tools that
-use exponential smoothing.  All segments are fitted in parallel by grouped
-aggregation.
+Two explicit methods.  The first is a least-squares trend on the month number,
+the mean residual of each calendar month as the seasonal part, and a normal band
+whose width grows with the horizon.  The second is exponential smoothing of
+level, trend and season, with weights chosen by the error on held-out months.
+All segments are fitted in parallel.
 """
 
 from __future__ import annotations
@@ -97,3 +97,61 @@ def forecast_error(actual: DataFrame, predicted: DataFrame, segment=()) -> DataF
     return e.groupBy(*seg).agg(
         F.count("*").alias("months"), F.avg(F.abs("e")).alias("mae"), F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse"),
         F.avg(F.abs(F.try_divide(F.col("e"), F.col("y"))) * 100.0).alias("mape"))
+
+
+#: The weights of level, trend and season that are tried, each with each.
+WEIGHTS = (0.1, 0.3, 0.5)
+
+
+def _smoothed(y: Column, alpha: Column, beta: Column, gamma: Column, season: int) -> Column:
+    """Level, trend and season after a series, month by month as a fold over the array ``y``.
+
+    The first season gives the start: its mean the level, the rise to the mean of
+    the second one the trend, and its deviations the season.
+    """
+    def mean(first: int) -> Column:
+        return F.aggregate(F.slice(y, first + 1, season), F.lit(0.0), lambda s, x: s + x) / season
+
+    start = F.struct(mean(0).alias("level"), ((mean(season) - mean(0)) / season).alias("trend"),
+                     F.transform(F.slice(y, 1, season), lambda x: x - mean(0)).alias("season"), F.lit(0).alias("at"))
+
+    def step(state: Column, x: Column) -> Column:
+        now = F.get(state["season"], state["at"])
+        level = alpha * (x - now) + (1 - alpha) * (state["level"] + state["trend"])
+        trend = beta * (level - state["level"]) + (1 - beta) * state["trend"]
+        seasons = F.transform(state["season"], lambda s, i: F.when(i == state["at"], gamma * (x - level) + (1 - gamma) * s).otherwise(s))
+        return F.struct(level.alias("level"), trend.alias("trend"), seasons.alias("season"), ((state["at"] + 1) % season).cast("int").alias("at"))
+
+    return F.aggregate(F.slice(y, season + 1, F.greatest(F.size(y) - season, F.lit(0))), start, step)
+
+
+def _ahead(state: Column, h: Column, season: int) -> Column:
+    return state["level"] + state["trend"] * h + F.get(state["season"], (state["at"] + h - 1) % season)
+
+
+def smoothing_forecast(monthly: DataFrame, segment=(), horizon: int = 12, season: int = 12, held_out: int = 12, weights=WEIGHTS) -> DataFrame:
+    """Forecast of each segment by additive exponential smoothing, with the chosen weights and their error.
+
+    Every combination of ``weights`` is fitted without the last ``held_out``
+    months and judged by the root of the mean squared error on them; the best
+    one, the smaller weights of equals, is then fitted to all months.  A segment
+    needs two seasons besides the held-out months.  The months of a segment are
+    few and travel as one array; combinations and segments run in parallel.
+    """
+    seg = list(segment)
+    series = (monthly.groupBy(*seg).agg(F.sort_array(F.collect_list(F.struct("m", F.col("y").cast("double").alias("y")))).alias("s"))
+              .select(*seg, F.transform("s", lambda x: x["y"]).alias("y"), F.element_at("s", -1)["m"].alias("last_m"))
+              .filter(F.size("y") >= 2 * season + held_out))
+    grid = F.array(*[F.struct(F.lit(a).alias("alpha"), F.lit(b).alias("beta"), F.lit(c).alias("gamma")) for a in weights for b in weights for c in weights])
+    tried = series.select("*", F.explode(grid).alias("w"))
+    wa, wb, wg = (F.col(f"w.{n}") for n in ("alpha", "beta", "gamma"))
+    tried = tried.withColumn("known", _smoothed(F.slice("y", 1, F.size("y") - held_out), wa, wb, wg, season))
+    misses = F.transform(F.sequence(F.lit(1), F.lit(held_out)), lambda h: F.pow(
+        F.get(F.col("y"), F.size("y") - held_out + h - 1) - _ahead(F.col("known"), h, season), F.lit(2.0)))
+    tried = tried.withColumn("held_out_rmse", F.sqrt(F.aggregate(misses, F.lit(0.0), lambda s, x: s + x) / held_out))
+    best = tried.groupBy(*seg, "y", "last_m").agg(F.min(F.struct(F.round("held_out_rmse", 6).alias("e"), "w", "held_out_rmse")).alias("b"))
+    best = best.select(*seg, "y", "last_m", F.col("b.w").alias("w"), "b.held_out_rmse")
+    fitted = best.withColumn("state", _smoothed(F.col("y"), F.col("w.alpha"), F.col("w.beta"), F.col("w.gamma"), season))
+    out = fitted.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h")).withColumn("m", F.col("last_m") + F.col("h"))
+    return out.select(*seg, "w.alpha", "w.beta", "w.gamma", "held_out_rmse", "h", F.floor(F.col("m") / 12).cast("int").alias("year"),
+                      (F.col("m") % 12 + 1).cast("int").alias("month"), "m", _ahead(F.col("state"), F.col("h"), season).alias("forecast"))

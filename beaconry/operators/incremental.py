@@ -61,4 +61,4 @@ def updated_daily(old: DataFrame, incidents: DataFrame, arrived: DataFrame, grai
     made = continued(tail.drop("_from"), rows.filter(later).drop("_from"), lambda r: DY.control_limits(r, group, order, window=window, **limits), group, order)
     parts = rows.filter(later).select(by).distinct()
     same = old.join(first, list(group), "left").filter(F.col("_from").isNull() | (F.col(order) < F.col("_from"))).drop("_from").join(parts, by, "left_semi")
-    return same.unionByName(made.select(*old.columns))
+    return same.select(*old.columns).unionByName(made.select(*old.columns))

@@ -144,6 +144,24 @@ def share_removing(df: DataFrame, member: str, others=(), name: str = "incident_
                                            F.sum("total_incidents").over(Window.partitionBy(*others))))
 
 
+def member_shares(df: DataFrame, members: dict[str, str], others=()) -> DataFrame:
+    """Incidents of every member of several dimensions and their share when only the own filter is removed.
+
+    ``members`` maps a dimension to its column; two roles of one dimension are two
+    entries.  Incidents are counted once, by the combinations of all the columns;
+    GROUPING SETS over these rows give each dimension its members, and the
+    denominators are their sums within ``others``.
+    """
+    columns, others = list(dict.fromkeys(members.values())), list(others)
+    combos = df.groupBy(*others, *columns).agg(F.count("*").alias("_n"))
+    sets = [[F.col(x) for x in (*others, c)] for c in columns]
+    g = combos.groupingSets(sets, *[F.col(x) for x in (*others, *columns)]).agg(
+        F.sum("_n").alias("total_incidents"), *[F.grouping(c).alias(f"_out_{c}") for c in columns])
+    names = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(c).cast("string").alias("member"), (F.col(f"_out_{c}") == 0).alias("_in")) for d, c in members.items()])
+    rows = g.select(*others, "total_incidents", F.inline(F.filter(names, lambda x: x["_in"]))).drop("_in")
+    return rows.withColumn("incident_share", F.try_divide(F.col("total_incidents").cast("double"), F.sum("total_incidents").over(Window.partitionBy("dimension", *others))))
+
+
 def previous_year(df: DataFrame, year: str, value: str = "total_incidents") -> DataFrame:
     """Value of exactly the year before; a missing year stays blank.
 

@@ -65,12 +65,12 @@ def orphan_keys(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) ->
 def count_orphaned_keys(fact: DataFrame, lookups) -> DataFrame:
     """Distinct orphan keys per ``(fact_key, dim, dim_key)`` lookup.
 
-    All keys of a row become (name, key) pairs in one scan; they are reduced to
-    the distinct pairs before the shuffle and then looked for among the members
-    of all dimensions, tagged the same way.
+    The different combinations of keys are found first; only they become (name,
+    key) pairs, which are reduced to the distinct ones and then looked for among
+    the members of all dimensions, tagged the same way.
     """
     pairs = F.array(*[F.struct(F.lit(fk).alias("check_name"), F.col(fk).alias("k")) for fk, _, _ in lookups])
-    used = fact.select(F.inline(pairs)).distinct()
+    used = fact.select(*dict.fromkeys(fk for fk, _, _ in lookups)).distinct().select(F.inline(pairs)).distinct()
     members = all_checks([dim.select(F.lit(fk).alias("check_name"), F.col(dk).alias("k")) for fk, dim, dk in lookups]).distinct()
     found = used.join(members.withColumn("_hit", F.lit(True)), ["check_name", "k"], "left")
     out = found.groupBy("check_name").agg(F.count_if(F.col("k").isNotNull() & F.col("_hit").isNull()).alias("issues"))
@@ -131,6 +131,12 @@ def reconcile_content(a: DataFrame, b: DataFrame, columns, by) -> DataFrame:
     return out.select(*by, "left_rows", "right_rows", same.alias("same_values"), status.alias("status"))
 
 
+def read_back(before: DataFrame, stored: DataFrame, by: str) -> DataFrame:
+    """What was to be written against what a table holds, part by part, in rows and in the values of all columns."""
+    out = reconcile_content(before, stored, sorted(set(before.columns) - {by}), by)
+    return out.withColumnsRenamed({"left_rows": "expected_rows", "right_rows": "stored_rows"})
+
+
 def columns_report(df: DataFrame, required) -> DataFrame:
     """Required columns: present or not, and how many rows hold a value."""
     have = set(df.columns)
@@ -139,6 +145,15 @@ def columns_report(df: DataFrame, required) -> DataFrame:
     return one.select(F.inline(pairs)).withColumn("status", F.when(F.col("is_present"), "PASS").otherwise("FAIL"))
 
 
+def exact_report(df: DataFrame, expected) -> DataFrame:
+    """Every column of an exact list or of the frame: MISSING, EXTRA, MISPLACED among those that both have, or PASS; with its filled rows."""
+    have, want = list(df.columns), list(expected)
+    place = dict(zip([c for c in have if c in want], [c for c in want if c in have]))
+    status = {c: "MISSING" if c not in have else "PASS" if place[c] == c else "MISPLACED" for c in want} | {c: "EXTRA" for c in have if c not in want}
+    one = df.agg(*[(F.count(c) if c in have else F.lit(None).cast("long")).alias(c) for c in status])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled_rows"), F.lit(s).alias("status")) for c, s in status.items()])))
+
+
 def exact_columns(df: DataFrame, expected, table: str) -> DataFrame:
     """Missing, extra and misplaced columns against an exact list, as check rows; no row is read."""
     have, want = list(df.columns), list(expected)
@@ -162,6 +177,25 @@ def column_profile(df: DataFrame, columns=None, rsd: float = 0.05) -> DataFrame:
         F.col(f"{c}_distinct").alias("approx_distinct")) for c in columns])))
 
 
+def distinct_sketches(df: DataFrame, part: str, columns, lg_k: int = 12) -> DataFrame:
+    """Rows, filled rows and one distinct-count sketch per column for every part of a table.
+
+    To be stored: a part that is new needs only its own rows, and the profile of
+    any set of parts follows from :func:`profile_of_sketches`.
+    """
+    return df.groupBy(part).agg(F.count("*").alias("rows"), *[F.count(c).alias(f"{c}_filled") for c in columns],
+                                *[F.hll_sketch_agg(F.col(c).cast("string"), F.lit(lg_k)).alias(f"{c}_sketch") for c in columns])
+
+
+def profile_of_sketches(sketches: DataFrame, columns) -> DataFrame:
+    """Rows, nulls and approximate distinct values per column over all parts of stored sketches."""
+    one = sketches.agg(F.sum("rows").alias("_rows"), *[F.sum(f"{c}_filled").alias(f"{c}_filled") for c in columns],
+                       *[F.hll_sketch_estimate(F.hll_union_agg(f"{c}_sketch")).alias(f"{c}_distinct") for c in columns])
+    return one.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col("_rows").alias("row_count"), (F.col("_rows") - F.col(f"{c}_filled")).alias("null_rows"),
+        F.col(f"{c}_distinct").alias("approx_distinct")) for c in columns])))
+
+
 def one_to_one(df: DataFrame, a: str, b: str) -> DataFrame:
     """Number of distinct ``b`` per ``a`` with a status."""
     return df.groupBy(a).agg(F.countDistinct(b).alias("value_count")).withColumn(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from beaconry.functions import exprs as X
@@ -65,15 +67,36 @@ _PROFILED = ["borough", "zipcode", "initial_call_type", "final_call_type", "inci
 @query("a05_distinct_null_profile", "column_name:s row_count:i null_rows:i distinct_within_bound:b",
        f"WITH {O.EV} " + " UNION ALL ".join(f"SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS null_rows, TRUE AS distinct_within_bound FROM et" for c in _PROFILED))
 def distinct_null_profile(spark, folder):
-    # The exact counts stand beside the approximate ones; the bound is three standard errors.
+    # The exact counts, each from its column's own values, stand beside the approximate ones; the bound is three standard errors.
     ev = A.events(spark, folder)
-    exact = ev.agg(*[F.countDistinct(c).alias(c) for c in _PROFILED]).select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("exact")) for c in _PROFILED])))
+    exact = reduce(lambda a, b: a.unionByName(b), [
+        A.events(spark, folder, area=c == "borough").filter(F.col(c).isNotNull()).groupBy(c).agg(F.lit(1).alias("one")).agg(F.count("*").alias("exact")).select(F.lit(c).alias("column_name"), "exact")
+        for c in _PROFILED])
     p = QC.column_profile(ev, _PROFILED, rsd=0.02).join(exact, "column_name")
     off = F.abs(F.col("approx_distinct") - F.col("exact"))
     return p.withColumn("distinct_within_bound", off <= F.greatest(F.lit(1.0), 0.06 * F.col("exact")))
 
 
+_SKETCHED = ["o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice"]
+
+
+@query("a05_profile_from_sketches", "column_name:s row_count:i null_rows:i exact_distinct:i off_by_less_than_six_percent:b equals_one_sketch:b",
+       " UNION ALL ".join(f"""SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS null_rows, COUNT(DISTINCT {c}) AS exact_distinct,
+       COUNT(*) > 0 AS off_by_less_than_six_percent, COUNT(*) > 0 AS equals_one_sketch FROM orders""" for c in _SKETCHED))
+def profile_from_sketches(spark, folder):
+    """The profile of all orders from the stored sketches of their years, beside exact counts and one sketch of all rows."""
+    o = table(spark, folder, "orders").select(*_SKETCHED, F.year("o_orderdate").alias("y"))
+    years = pin(QC.distinct_sketches(o, "y", _SKETCHED), "sketches")
+    rolled = QC.profile_of_sketches(years, _SKETCHED)
+    whole = QC.profile_of_sketches(QC.distinct_sketches(o.withColumn("y", F.lit(0)), "y", _SKETCHED), _SKETCHED).select("column_name", F.col("approx_distinct").alias("one_sketch"))
+    exact = reduce(lambda a, b: a.unionByName(b), [
+        o.filter(F.col(c).isNotNull()).groupBy(c).agg(F.lit(1).alias("one")).agg(F.count("*").alias("exact_distinct")).withColumn("column_name", F.lit(c)) for c in _SKETCHED])
+    off = F.abs(F.col("approx_distinct") - F.col("exact_distinct")) <= F.greatest(F.lit(1.0), 0.06 * F.col("exact_distinct"))
+    met = rolled.join(whole, "column_name").join(exact, "column_name")
+    # sketches of parts may keep their entries in another form, so that equal means equal but for rounding
+    return met.withColumns({"off_by_less_than_six_percent": off, "equals_one_sketch": F.abs(F.col("approx_distinct") - F.col("one_sketch")) <= F.greatest(F.lit(1.0), 0.02 * F.col("one_sketch"))})
+
+
 @query("a06_basic_aggregates", "borough:s lo:f2 hi:f2 total:f2 mean:f6 n:i",
        f"WITH {O.EV} SELECT borough, MIN({V}) AS lo, MAX({V}) AS hi, SUM({V}) AS total, AVG({V}) AS mean, COUNT({V}) AS n FROM ev GROUP BY 1")
 def basic_aggregates(spark, folder):

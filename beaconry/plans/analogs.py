@@ -53,6 +53,8 @@ EVENT_FIELDS = {
     "is_special_event": "k BETWEEN 20 AND 24",
     "is_standby": "k = 36",
     "is_transfer": "event_type = 'view' AND k < 8",
+    "incident_duration_seconds": "CAST(CASE WHEN k <> 13 THEN s + 1800 END AS DOUBLE)",
+    "hospital_travel_seconds": "CAST(CASE WHEN event_type IN ('purchase', 'signup') AND k <> 14 THEN s END AS DOUBLE)",
 }
 
 # The same event as a raw text line, with blanks, lower-case
@@ -203,32 +205,39 @@ def staged_csv(spark: SparkSession, folder: str) -> str:
     return _once(spark, folder, "csv", make)
 
 
-def lines(spark: SparkSession, folder: str, supplier: bool = True, customer: bool = True) -> DataFrame:
+def lines(spark: SparkSession, folder: str, supplier: bool = True, customer: bool = True, names: bool = True) -> DataFrame:
     """Typed order-line incidents.
 
     Customers are resolved on the order side before the lines join, so the long
     line rows are shuffled once for the order key.  Only keys travel through
     those joins; names of nations and regions are looked up on the joined rows.
     A role that a query does not use is left out with its join
-    (``supplier``/``customer`` false).
+    (``supplier``/``customer`` false).  Without ``names`` the classes stay keys
+    (``initial_call_type_key``, ``final_call_type_key``), and a query attaches
+    names to the rows that it has counted.
     """
     li, o = table(spark, folder, "lineitem"), table(spark, folder, "orders")
-    n, r = table(spark, folder, "nation"), table(spark, folder, "region")
     fields = dict(LINE_FIELDS)
+    if not names:
+        fields = {k: e for k, e in fields.items() if k != "borough"} | {"initial_call_type": "c_nationkey", "final_call_type": "s_nationkey"}
+    elif supplier or customer:
+        n = table(spark, folder, "nation")
     if customer:
         c = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
         o = o.join(c, o.o_custkey == c.c_custkey, "left")
     else:
-        fields.pop("initial_call_type"), fields.pop("borough")
+        fields = {k: e for k, e in fields.items() if k not in ("initial_call_type", "borough")}
     out = li.join(o, li.l_orderkey == o.o_orderkey)
     if supplier:
         s = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
-        home = n.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("s_nation"))
-        out = out.join(s, out.l_suppkey == s.s_suppkey, "left").join(home, "s_nationkey", "left")
+        out = out.join(s, out.l_suppkey == s.s_suppkey, "left")
+        if names:
+            out = out.join(n.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("s_nation")), "s_nationkey", "left")
     else:
         fields.pop("final_call_type")
-    if customer:
+    if customer and names:
         # Two plain scans: the estimated size of a joined pair would be their product.
+        r = table(spark, folder, "region")
         place = n.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("c_nation"), F.col("n_regionkey").alias("r_regionkey"))
         out = out.join(place, "c_nationkey", "left").join(r.select("r_regionkey", "r_name"), "r_regionkey", "left")
     out = out.withColumn("s", F.datediff("l_shipdate", "o_orderdate")).selectExpr(*exprs(fields))
@@ -236,7 +245,15 @@ def lines(spark: SparkSession, folder: str, supplier: bool = True, customer: boo
     flags = {"severity_changed": S.X.changed("initial_severity_level_code", "final_severity_level_code")}
     if supplier and customer:
         flags["call_type_changed"] = S.X.changed("initial_call_type", "final_call_type")
-    return out.withColumns(flags)
+    out = out.withColumns(flags)
+    return out if names else out.withColumnsRenamed({f"{role}_call_type": f"{role}_call_type_key" for role in ("initial", "final")})
+
+
+def nation_names(spark: SparkSession, folder: str, role: str) -> DataFrame:
+    """Key, name and description of the class in a role, for counted rows."""
+    n = table(spark, folder, "nation")
+    return n.select(F.col("n_nationkey").alias(f"{role}_call_type_key"), F.col("n_name").alias(f"{role}_call_type"),
+                    F.concat(F.lit("nation of "), F.initcap("n_name")).alias(f"{role}_call_type_description"))
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -258,8 +275,7 @@ def with_disposition(spark: SparkSession, df: DataFrame) -> DataFrame:
 def star(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Fact and dimensions of the event incidents; dimensions are stored once."""
     def make():
-        silver = events(spark, folder).withColumns({"incident_duration_seconds": F.lit(None).cast("double"),
-                                                    "hospital_travel_seconds": F.lit(None).cast("double")})
+        silver = events(spark, folder)
         dims = {n: pin(d, f"dim-{n}") for n, d in FC.build_dims(silver, call_type_mapping(spark)).items()}
         return FC.build_fact(silver, dims), dims
     return _once(spark, folder, "star", make)

@@ -298,10 +298,19 @@ def _transition_sql(cte, fact, a, b, flag, top=None):
 _TRANS = "transition_incidents:i initial_changed_incidents:i percentage_within_initial_changes:f6 percentage_of_all_changes:f6 transition_rank_within_initial:i"
 
 
-@query("b22_class_transitions", f"initial_call_type:s final_call_type:s {_TRANS}",
-       _transition_sql(O.LN, "ln", "initial_call_type", "final_call_type", "call_type_changed", 100))
+_NATION = "'nation of ' || upper(left({n}, 1)) || lower(substr({n}, 2))"
+_BOTH = "SELECT *, " + ", ".join(f"{_NATION.format(n=f'{r}_call_type')} AS {r}_call_type_description" for r in ("initial", "final"))
+
+
+@query("b22_class_transitions", f"initial_call_type:s initial_call_type_description:s final_call_type:s final_call_type_description:s {_TRANS}",
+       f"{_BOTH} FROM ({_transition_sql(O.LN, 'ln', 'initial_call_type', 'final_call_type', 'call_type_changed', 100)}) AS t")
 def class_transitions(spark, folder):
-    return AN.transition_matrix(A.lines(spark, folder), "initial_call_type", "final_call_type", "call_type_changed", top=100)
+    """Keys are compared and counted; names and descriptions go to the counted pairs."""
+    a, b, changed = "initial_call_type_key", "final_call_type_key", "call_type_changed"
+    lines = A.lines(spark, folder, names=False)
+    pairs = AN.transition_matrix(lines, a, b, changed)
+    pairs = pairs.join(A.nation_names(spark, folder, "initial"), a).join(A.nation_names(spark, folder, "final"), b)
+    return AN.top_n(pairs, [F.col("transition_incidents").desc(), "initial_call_type", "final_call_type"], 100)
 
 
 @query("b23_severity_change_rate", f"initial_severity_level_code:i severity_change_percentage:f6 {_CHANGE}",
@@ -341,7 +350,7 @@ def change_overlap(spark, folder):
        both_changed_incidents * 100.0 / total_incidents AS both_changed_percentage, any_classification_changed_incidents * 100.0 / total_incidents AS any_classification_change_percentage FROM g""")
 def annual_change_rates(spark, folder):
     a, b = F.col("call_type_changed"), F.col("severity_changed")
-    g = A.lines(spark, folder).groupBy("incident_year").agg(
+    g = A.lines(spark, folder, names=False).groupBy("incident_year").agg(
         F.count("*").alias("total_incidents"), X.n_if(a).alias("call_type_changed_incidents"), X.n_if(b).alias("severity_changed_incidents"),
         X.n_if(a & b).alias("both_changed_incidents"), X.n_if(a | b).alias("any_classification_changed_incidents"), X.n_if(a.isNull() | b.isNull()).alias("unknown_change_status_incidents"))
     names = {"call_type_changed": "call_type_change", "severity_changed": "severity_change", "both_changed": "both_changed", "any_classification_changed": "any_classification_change"}
@@ -523,8 +532,19 @@ _MEMBERS = {"weekday": ("incident_day_of_week_number", "dow"), "hour": ("inciden
        "SELECT *, total_incidents * 1.0 / SUM(total_incidents) OVER (PARTITION BY dimension, incident_year) AS incident_share FROM g")
 def member_shares(spark, folder):
     ev = A.with_disposition(spark, A.event_view(spark, folder))
-    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(c).cast("string").alias("member")) for d, (c, _) in _MEMBERS.items()])
-    return M.share_removing(ev.select("incident_year", F.inline(pairs)), "member", ["dimension", "incident_year"])
+    return M.member_shares(ev, {d: c for d, (c, _) in _MEMBERS.items()}, ["incident_year"])
+
+
+_ROLES = {"initial class": "initial_call_type", "final class": "final_call_type", "initial severity": "initial_severity_level_code", "final severity": "final_severity_level_code"}
+
+
+@query("b34_both_roles", "dimension:s member:s total_incidents:i incident_share:f6",
+       f"WITH {O.EV}, m AS (" + " UNION ALL ".join(f"SELECT '{d}' AS dimension, CAST({c} AS VARCHAR) AS member FROM ev" for d, c in _ROLES.items())
+       + "), g AS (SELECT dimension, member, COUNT(*) AS total_incidents FROM m GROUP BY ALL) "
+       "SELECT *, total_incidents * 1.0 / SUM(total_incidents) OVER (PARTITION BY dimension) AS incident_share FROM g")
+def both_roles(spark, folder):
+    """Both roles of two dimensions from one counted table."""
+    return M.member_shares(A.event_view(spark, folder, area=False), _ROLES)
 
 
 # --- forecast -----------------------------------------------------------------
@@ -580,6 +600,40 @@ def segment_forecast(spark, folder):
     return FO.forecast(FO.monthly_counts(A.orders(spark, folder), "incident_date", seg, True), seg)
 
 
+_W = ", ".join(map(str, FO.WEIGHTS))
+_STEP = """SELECT {key}, i + 1 AS i, {l} AS level, beta * ({l} - level) + (1 - beta) * trend AS trend,
+         list_transform(range(0, 12), lambda j: CASE WHEN j = i % 12 THEN gamma * (y[i + 1] - ({l})) + (1 - gamma) * season[j + 1] ELSE season[j + 1] END) AS season
+         FROM {t} JOIN {s} USING (initial_severity_level_code{more}) WHERE i < n{cut}"""
+_LEVEL = "(alpha * (y[i + 1] - season[i % 12 + 1]) + (1 - alpha) * (level + trend))"
+
+
+def _fold_sql(name: str, source: str, key: str, more: str, cut: str) -> str:
+    """A recursive walk over the months; ``source`` has the series ``y``, its length ``n`` and the weights."""
+    return f"""{name} AS (SELECT {key}, 12 AS i, list_avg(y[1:12]) AS level, (list_avg(y[13:24]) - list_avg(y[1:12])) / 12 AS trend,
+         list_transform(y[1:12], lambda v: v - list_avg(y[1:12])) AS season FROM {source}
+         UNION ALL {_STEP.format(key=key, l=_LEVEL, t=name, s=source, more=more, cut=cut)})"""
+
+
+_KEY3 = "initial_severity_level_code, alpha, beta, gamma"
+
+
+@query("b40_smoothing_forecast", "initial_severity_level_code:i alpha:f1 beta:f1 gamma:f1 held_out_rmse:f4 h:i year:i month:i forecast:f4",
+       f"""WITH RECURSIVE {_counts_sql('initial_severity_level_code')},
+       sr AS (SELECT initial_severity_level_code, list(y::DOUBLE ORDER BY m) AS y, COUNT(*) AS n, MAX(m) AS last_m FROM mon GROUP BY 1),
+       gr AS (SELECT sr.*, alpha, beta, gamma FROM sr, (SELECT unnest([{_W}])::DOUBLE AS alpha), (SELECT unnest([{_W}])::DOUBLE AS beta), (SELECT unnest([{_W}])::DOUBLE AS gamma)),
+       {_fold_sql('f1', 'gr', _KEY3, ', alpha, beta, gamma', ' - 12')},
+       er AS (SELECT {_KEY3}, sqrt(list_avg(list_transform(range(1, 13), lambda h: (y[n - 12 + h] - (level + trend * h + season[(i + h - 1) % 12 + 1])) ** 2))) AS e
+              FROM f1 JOIN gr USING (initial_severity_level_code, alpha, beta, gamma) WHERE i = n - 12),
+       bw AS (SELECT * FROM er QUALIFY row_number() OVER (PARTITION BY initial_severity_level_code ORDER BY round(e, 6), alpha, beta, gamma) = 1),
+       ch AS (SELECT sr.*, alpha, beta, gamma, e FROM sr JOIN bw USING (initial_severity_level_code)),
+       {_fold_sql('f2', 'ch', _KEY3, ', alpha, beta, gamma', '')}
+       SELECT {_KEY3}, e AS held_out_rmse, h.range AS h, (last_m + h.range) // 12 AS year, (last_m + h.range) % 12 + 1 AS month,
+       level + trend * h.range + season[(i + h.range - 1) % 12 + 1] AS forecast FROM f2 JOIN ch USING (initial_severity_level_code, alpha, beta, gamma), range(1, 13) h WHERE i = n""")
+def smoothing_forecast(spark, folder):
+    seg = ["initial_severity_level_code"]
+    return FO.smoothing_forecast(FO.monthly_counts(A.orders(spark, folder), "incident_date", seg, True), seg)
+
+
 @query("b41_forecast_error", "initial_severity_level_code:i months:i mae:f4 rmse:f4 mape:f4",
        f"""WITH {forecast_sql(_counts_sql('initial_severity_level_code', HELD_OUT), 'initial_severity_level_code')},
        act AS (SELECT initial_severity_level_code, {_MI} AS m, COUNT(*) AS y FROM od WHERE {_MI} <= {_last_complete('od')} GROUP BY ALL),

@@ -10,6 +10,7 @@ from beaconry.operators import fact as FC
 from beaconry.plans import analogs as A
 from beaconry.plans import oracle as O
 from beaconry.plans.registry import query
+from beaconry.session import pin
 
 _CAL = "date_key:i full_date:d year:i quarter_number:i quarter_name:s year_quarter:s year_quarter_sort:i month_number:i month_name:s " \
        "month_short_name:s year_month:s year_month_label:s year_month_sort:i week_of_year:i day_of_month:i day_of_year:i " \
@@ -53,6 +54,24 @@ def surrogate_key(spark, folder):
     return A.star(spark, folder)[1]["geography"]
 
 
+_EARLY = "incident_date < (SELECT MIN(incident_date) + INTERVAL 2 DAY FROM ev)"
+_OLD_GEO = f"SELECT DISTINCT {_GEO} FROM ev WHERE {_EARLY}"
+
+
+@query("d04_stable_keys", "load:i geography_key:i borough:s zipcode:s policeprecinct:s citycouncildistrict:s communitydistrict:s",
+       f"""WITH {O.EV}, first AS (SELECT row_number() OVER (ORDER BY {_GEO}) AS geography_key, * FROM ({_OLD_GEO})),
+       later AS (SELECT (SELECT COUNT(*) FROM first) + row_number() OVER (ORDER BY {_GEO}) AS geography_key, *
+                 FROM (SELECT DISTINCT {_GEO} FROM ev EXCEPT {_OLD_GEO}))
+       SELECT 1 AS load, * FROM first UNION ALL SELECT 2, * FROM first UNION ALL SELECT 2, * FROM later""")
+def stable_keys(spark, folder):
+    """Keys after a first load of two days and after one of everything: the first ones stay."""
+    ev = A.event_view(spark, folder)
+    start = ev.agg(F.date_add(F.min("incident_date"), 2)).scalar()
+    first = pin(D.extend_keys(None, ev.filter(F.col("incident_date") < start), FC.GEOGRAPHY, "geography_key"), "first-keys")
+    later = D.extend_keys(first, ev, FC.GEOGRAPHY, "geography_key")
+    return first.withColumn("load", F.lit(1)).unionByName(later.withColumn("load", F.lit(2)))
+
+
 _ROLE_SQL = """SELECT code AS {k}, bool_or(r = 1) AS appears_as_initial, bool_or(r = 2) AS appears_as_final FROM
   (SELECT {a} AS code, 1 AS r FROM {t} UNION ALL SELECT {b}, 2 FROM {t}) GROUP BY 1"""
 
@@ -165,10 +184,14 @@ def role_playing_lookup(spark, folder):
     return _lookup(spark, folder, "initial", "final")
 
 
-@query("f04_star_fact", "incident_id:s date_key:i time_key:i geography_key:i initial_call_type_key:i final_call_type_key:i initial_severity_key:i "
-       "final_severity_key:i disposition_key:i incident_count:i valid_incident_response_seconds:f1 incident_response_minutes:f2 is_held:b call_type_changed:b severity_changed:b",
-       _KEYED + " SELECT *, incident_hour AS time_key, 1 AS incident_count FROM fact")
+_FACT = {c: "i" for c in FC.FACT_COLUMNS} | {c: "b" for c in FC.FACT_COLUMNS if c.startswith("is_") or c.endswith("_changed")} | {
+    c: "f2" for c in FC.FACT_COLUMNS if c.endswith(("_seconds", "_minutes"))} | {"incident_id": "s", "incident_datetime": "d"}
+
+
+@query("f04_star_fact", " ".join(f"{c}:{t}" for c, t in _FACT.items()), _KEYED + """ SELECT *, incident_hour AS time_key, 1 AS incident_count,
+       ROUND(valid_dispatch_response_seconds / 60.0, 2) AS dispatch_response_minutes, ROUND(valid_travel_time_seconds / 60.0, 2) AS travel_time_minutes FROM fact""")
 def star_fact(spark, folder):
+    """All 29 columns of the fact."""
     return A.star(spark, folder)[0]
 
 

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from beaconry.operators import analysis as AN
 from beaconry.operators import daily as DY
 from beaconry.operators import dims as D
+from beaconry.operators import incremental as INC
 from beaconry.plans import analogs as A
 from beaconry.plans import oracle as O
 from beaconry.plans.aggregates import daily, daily_base
 from beaconry.plans.registry import query
+from beaconry.session import pin
 from beaconry.sources.tables import latest, table
 
 
@@ -54,6 +56,18 @@ def trailing_baseline(spark, folder):
     return DY.trailing_baseline(d, DY.LIMIT_GROUP, "incident_date", "average_incident_response_seconds")
 
 
+_LATE = "incident_date >= (SELECT MIN(incident_date) + INTERVAL 20 DAY FROM ev)"
+
+
+@query("w05_incremental_baseline", _DAY + " historical_baseline_day_count:i response_center_line_seconds:f4 daily_average_stddev_seconds:f4", f"WITH {O.DAILY} SELECT * FROM dy WHERE {_LATE}")
+def incremental_baseline(spark, folder):
+    """Baselines of the days of a second load, from the carried tail of the first 20 days and the new days alone."""
+    d = pin(DY.sample_quality(daily_base(spark, folder)), "daily-base")
+    start = d.agg(F.date_add(F.min("incident_date"), 20)).scalar()
+    tail = pin(INC.tail_state(d, DY.LIMIT_GROUP, "incident_date", before=F.col("incident_date") < start), "baseline-tail")
+    return INC.trailing_baseline(tail, d.filter(F.col("incident_date") >= start), DY.LIMIT_GROUP, "incident_date", "average_incident_response_seconds")
+
+
 @query("w06_control_limits", _DAY + " has_sufficient_baseline:b upper_control_limit_seconds:f4 lower_control_limit_seconds:f4 "
        "upper_warning_limit_seconds:f4 lower_warning_limit_seconds:f4", f"WITH {O.DAILY} SELECT * FROM dy")
 def control_limits(spark, folder):

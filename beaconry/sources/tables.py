@@ -75,16 +75,6 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def read_back(before: DataFrame, spark: SparkSession, path: str, by: str) -> DataFrame:
-    """Row counts per key before the write and in the stored table, with status."""
-    a = before.groupBy(by).agg(F.count("*").alias("expected_rows"))
-    b = spark.read.parquet(path).groupBy(by).agg(F.count("*").alias("stored_rows"))
-    return (a.join(b, by, "full").select(
-        by, F.coalesce("expected_rows", F.lit(0)).alias("expected_rows"),
-        F.coalesce("stored_rows", F.lit(0)).alias("stored_rows"))
-        .withColumn("status", F.when(F.col("expected_rows") == F.col("stored_rows"), "PASS").otherwise("FAIL")))
-
-
 def list_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
     """Path and size of the files under a folder.
 

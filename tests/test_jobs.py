@@ -77,7 +77,8 @@ def test_wrong_header_is_refused(spark):
 def test_typed_rows_equal_cleaned_raw_rows(spark):
     cols = ["incident_id", "initial_call_type", "final_call_type", "initial_severity_level_code", "final_severity_level_code", "borough", "zipcode",
             "incident_disposition_code", "valid_dispatch_response_seconds", "valid_incident_response_seconds", "valid_travel_time_seconds", "is_held",
-            "is_transfer", "is_special_event", "call_type_changed", "severity_changed", "incident_date", "incident_hour", "time_of_day"]
+            "is_transfer", "is_special_event", "call_type_changed", "severity_changed", "incident_date", "incident_hour", "time_of_day",
+            "incident_duration_seconds", "hospital_travel_seconds"]
     typed = A.events(spark, FOLDER).select(*cols)
     cleaned = S.to_silver(A.bronze_events(spark, FOLDER)).select(*cols)
     assert typed.exceptAll(cleaned).count() == 0 and cleaned.exceptAll(typed).count() == 0
