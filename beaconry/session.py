@@ -66,6 +66,21 @@ def scratch(spark: SparkSession):
         delete_folder(spark, f"{scratch_dir(spark)}/beaconry/{_SCOPE.get()}{name}")
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession):
+    """Shuffle files go when the query that wrote them ends, for jobs that store every step and never read one twice.
+
+    Without it they stay until the driver collects its garbage.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """Path of a fresh sub-folder of the scratch folder (not created)."""
     return f"{scratch_dir(spark)}/beaconry/{_SCOPE.get()}{os.path.basename(label)}-{uuid.uuid4().hex}"
