@@ -139,19 +139,19 @@ def smoothing_forecast(monthly: DataFrame, segment=(), horizon: int = 12, season
     few and travel as one array; combinations and segments run in parallel.
     """
     seg = list(segment)
-    series = (monthly.groupBy(*seg).agg(F.sort_array(F.collect_list(F.struct("m", F.col("y").cast("double").alias("y")))).alias("s"))
-              .select(*seg, F.transform("s", lambda x: x["y"]).alias("y"), F.element_at("s", -1)["m"].alias("last_m"))
-              .filter(F.size("y") >= 2 * season + held_out))
+    series = (monthly.groupBy(*seg).agg(F.sort_array(F.collect_list(F.struct("m", F.col("y").cast("double").alias("y")))).alias("_s"))
+              .select(*seg, F.transform("_s", lambda x: x["y"]).alias("_y"), F.element_at("_s", -1)["m"].alias("_last"))
+              .filter(F.size("_y") >= 2 * season + held_out))
     grid = F.array(*[F.struct(F.lit(a).alias("alpha"), F.lit(b).alias("beta"), F.lit(c).alias("gamma")) for a in weights for b in weights for c in weights])
-    tried = series.select("*", F.explode(grid).alias("w"))
-    wa, wb, wg = (F.col(f"w.{n}") for n in ("alpha", "beta", "gamma"))
-    tried = tried.withColumn("known", _smoothed(F.slice("y", 1, F.size("y") - held_out), wa, wb, wg, season))
+    tried = series.select("*", F.explode(grid).alias("_w"))
+    y, w = F.col("_y"), [F.col(f"_w.{n}") for n in ("alpha", "beta", "gamma")]
+    tried = tried.withColumn("_known", _smoothed(F.slice(y, 1, F.size(y) - held_out), *w, season))
     misses = F.transform(F.sequence(F.lit(1), F.lit(held_out)), lambda h: F.pow(
-        F.get(F.col("y"), F.size("y") - held_out + h - 1) - _ahead(F.col("known"), h, season), F.lit(2.0)))
-    tried = tried.withColumn("held_out_rmse", F.sqrt(F.aggregate(misses, F.lit(0.0), lambda s, x: s + x) / held_out))
-    best = tried.groupBy(*seg, "y", "last_m").agg(F.min(F.struct(F.round("held_out_rmse", 6).alias("e"), "w", "held_out_rmse")).alias("b"))
-    best = best.select(*seg, "y", "last_m", F.col("b.w").alias("w"), "b.held_out_rmse")
-    fitted = best.withColumn("state", _smoothed(F.col("y"), F.col("w.alpha"), F.col("w.beta"), F.col("w.gamma"), season))
-    out = fitted.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h")).withColumn("m", F.col("last_m") + F.col("h"))
-    return out.select(*seg, "w.alpha", "w.beta", "w.gamma", "held_out_rmse", "h", F.floor(F.col("m") / 12).cast("int").alias("year"),
-                      (F.col("m") % 12 + 1).cast("int").alias("month"), "m", _ahead(F.col("state"), F.col("h"), season).alias("forecast"))
+        F.get(y, F.size(y) - held_out + h - 1) - _ahead(F.col("_known"), h, season), F.lit(2.0)))
+    tried = tried.withColumn("_rmse", F.sqrt(F.aggregate(misses, F.lit(0.0), lambda s, x: s + x) / held_out))
+    best = tried.groupBy(*seg, "_y", "_last").agg(F.min(F.struct(F.round("_rmse", 6).alias("e"), "_w", "_rmse")).alias("_b"))
+    best = best.select(*seg, "_y", "_last", F.col("_b._w").alias("_w"), F.col("_b._rmse").alias("_rmse"))
+    fitted = best.withColumn("_state", _smoothed(y, *w, season))
+    out = fitted.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("_h")).withColumn("_m", F.col("_last") + F.col("_h"))
+    return out.select(*seg, *w, F.col("_rmse").alias("held_out_rmse"), F.col("_h").alias("h"), F.floor(F.col("_m") / 12).cast("int").alias("year"),
+                      (F.col("_m") % 12 + 1).cast("int").alias("month"), F.col("_m").alias("m"), _ahead(F.col("_state"), F.col("_h"), season).alias("forecast"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from beaconry.session import pin
 
-#: Cells of a digest: a rank read from it is off by less than one part in so many.
+#: Cells of a digest: a rank read from it is off by at most one part in so many.
 DIGEST_CELLS = 256
 
 
@@ -87,8 +87,8 @@ def digests(hist: DataFrame, group, value: str, n: str = "n", cells: int = DIGES
 def digest_rows(df: DataFrame, group, name: str = "digest") -> DataFrame:
     """The histogram that the digests of each group add up to.
 
-    Digests of disjoint rows add up by value; what is off in the sum stays below
-    the same share of its rows.
+    Digests of disjoint rows add up by value; what is off in the sum stays within
+    the same share of its rows, and one row for each digest.
     """
     return df.select(*group, F.inline(name)).groupBy(*group, "value").agg(F.sum("n").alias("n"))
 
