@@ -1,9 +1,11 @@
 """Toxicity by multiple-instance learning: a document is a bag of sentences.
 
-The evidence of a sentence is the set of its known words, with a logistic chance to offend. Training counts a sentence
-without any by the bias alone; a score is the chance beyond that rate, so such a sentence scores 0. The document's score is
-the noisy-or, ``1 - prod(1 - p)``, of its different evidences, so that neither sentences that say nothing nor repeated ones
-make a long text toxic. Only document labels are used in training, yet the sentence scores locate what is offending.
+The evidence of a sentence is the set of its known words. Its weight is ``softplus(bias + sum of the words' weights)`` beyond
+a floor, and its score ``1 - exp(-weight)``; a sentence without a known word scores 0. The document's score is the noisy-or,
+``1 - prod(1 - p)``, of its different evidences, in training as in scoring, so that the score is the fitted chance. The floor is
+learnt from the clean documents, as the weight that few of their strongest evidences pass; what is below counts nothing, so
+that neither sentences that say little, however many, nor repeated ones make a long text toxic. Only document labels are
+used in training, yet the sentence scores locate what is offending.
 
 Sentences end at ``. ! ?`` or a line end. Words are runs of letters in lower case.
 
@@ -48,10 +50,11 @@ def evidence(text: str | None, known: Set[str]) -> Iterator[tuple[int, int, tupl
 
 @dataclass(frozen=True)
 class Bag:
-    """Weights of the known words and the bias of the logistic score of an evidence."""
+    """Bias, weights of the known words, and the floor below which an evidence counts nothing."""
 
     bias: float
     weights: dict[str, float]
+    floor: float = 0.0
 
     def margin(self, words: tuple[str, ...]) -> float:
         return self.bias + sum(self.weights[w] for w in words)
@@ -64,15 +67,14 @@ class Bag:
         """The document's score, and start, end and score of each sentence with a known word."""
         found = list(evidence(text, self.weights.keys()))
         kinds = sorted({words for _, _, words in found})
-        beyond = np.maximum(np.logaddexp(0, np.array([self.margin(e) for e in kinds])) - np.logaddexp(0, self.bias), 0)
+        beyond = np.maximum(np.logaddexp(0, np.array([self.margin(e) for e in kinds])) - self.floor, 0)
         score = dict(zip(kinds, (-np.expm1(-beyond)).tolist()))
         return float(-np.expm1(-beyond.sum())), [(start, end, score[words]) for start, end, words in found]
 
 
-def reduced(text: str | None, index: dict[str, int]) -> tuple[int, list[list[int]]]:
-    """Number of the sentences without a known word, and the different evidences as places of ``index``."""
-    found = [words for _, _, words in evidence(text, index.keys())]
-    return sum(1 for _ in sentences(text)) - len(found), [[index[w] for w in e] for e in sorted(set(found))]
+def reduced(text: str | None, index: dict[str, int]) -> list[list[int]]:
+    """The different evidences of a text as places of ``index``."""
+    return [[index[w] for w in e] for e in sorted({words for _, _, words in evidence(text, index.keys())})]
 
 
 def ratios(total: np.ndarray, a: np.ndarray, n: int, positive: int) -> np.ndarray:
@@ -89,34 +91,68 @@ def ratios(total: np.ndarray, a: np.ndarray, n: int, positive: int) -> np.ndarra
     return ratio
 
 
-def learn(bags: Iterable[tuple[int, list[list[int]]]], labels: np.ndarray, vocabulary: list[str], rounds: int = 200, rate: float = 0.1,
-          l2: float = 1e-3) -> Bag:
-    """Full-batch Adam on the noisy-or likelihood of bags as :func:`reduced` gives them."""
-    idle, owner, sentence, word = array("d"), array("q"), array("q"), array("q")
-    for d, (plain, bag) in enumerate(bags):
-        idle.append(plain)
-        for words in bag:
-            for w in words:
-                sentence.append(len(owner))
-                word.append(w)
-            owner.append(d)
-    owner, sentence, word = (np.frombuffer(x, np.int64) if len(x) else np.zeros(0, np.int64) for x in (owner, sentence, word))
-    idle = np.array(idle)
+@dataclass(frozen=True)
+class Bags:
+    """Labelled bags in flat arrays: the bag of each evidence, and evidence and word of each of its words."""
+
+    labels: np.ndarray
+    owner: np.ndarray
+    sentence: np.ndarray
+    word: np.ndarray
+
+    @classmethod
+    def of(cls, bags: Iterable[list[list[int]]], labels: np.ndarray) -> Bags:
+        owner, sentence, word = array("q"), array("q"), array("q")
+        for d, bag in enumerate(bags):
+            for words in bag:
+                for w in words:
+                    sentence.append(len(owner))
+                    word.append(w)
+                owner.append(d)
+        return cls(labels, *(np.frombuffer(x, np.int64) if len(x) else np.zeros(0, np.int64) for x in (owner, sentence, word)))
+
+    def weights_of(self, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Margin of each evidence, and ``softplus`` of it."""
+        z = theta[-1] + np.bincount(self.sentence, theta[self.word], len(self.owner))
+        return z, np.logaddexp(0, z)
+
+    def loss(self, theta: np.ndarray, floor: float, l2: float) -> tuple[float, np.ndarray]:
+        """Mean negative log likelihood of the labels under the noisy-or, with the penalty, and its gradient by ``theta`` (words, bias)."""
+        z, heavy = self.weights_of(theta)
+        counts = heavy > floor
+        clean = -np.bincount(self.owner, np.where(counts, heavy - floor, 0), len(self.labels))  # log of the chance that nothing offends
+        offends = np.maximum(-np.expm1(clean), 1e-12)
+        value = -np.where(self.labels == 1, np.log(offends), clean).mean() + l2 * (theta[:-1] ** 2).sum() / (2 * len(self.labels))
+        pull = np.where(self.labels == 1, -np.exp(clean) / offends, 1.0) / len(self.labels)
+        g = np.where(counts, pull[self.owner] / (1 + np.exp(-z)), 0)
+        grad = np.append(np.bincount(self.word, g[self.sentence], len(theta) - 1) + l2 * theta[:-1] / len(self.labels), g.sum())
+        return float(value), grad
+
+    def floor_of(self, theta: np.ndarray, share: float) -> float:
+        """The weight that the strongest evidence of only ``1 - share`` of the clean bags passes; never above a weight of one."""
+        strongest = np.zeros(len(self.labels))
+        np.maximum.at(strongest, self.owner, self.weights_of(theta)[1])
+        clean = strongest[self.labels == 0]
+        return float(min(np.quantile(clean, share), 1.0)) if len(clean) else 0.0
+
+
+def learn(bags: Iterable[list[list[int]]], labels: np.ndarray, vocabulary: list[str], rounds: int = 150, rate: float = 0.1,
+          l2: float = 1e-3, clean_share: float = 0.999) -> Bag:
+    """Full-batch Adam on the noisy-or likelihood of bags as :func:`reduced` gives them: without a floor first, then with the
+    floor that the clean bags give, ``rounds`` each."""
+    data = Bags.of(bags, labels)
     theta = np.zeros(len(vocabulary) + 1)
     theta[-1] = -5.0
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
-    for step in range(1, rounds + 1):
-        z = theta[-1] + np.bincount(sentence, theta[word], len(owner))
-        p = 1 / (1 + np.exp(-z))
-        clean = -np.bincount(owner, np.logaddexp(0, z), len(labels)) - idle * np.logaddexp(0, theta[-1])  # log of the chance that no sentence offends
-        offends = np.maximum(-np.expm1(clean), 1e-12)
-        pull = np.where(labels == 1, -np.exp(clean) / offends, 1.0) / len(labels)
-        g = pull[owner] * p
-        grad = np.append(np.bincount(word, g[sentence], len(vocabulary)), g.sum() + pull @ idle / (1 + np.exp(-theta[-1])))
-        grad[:-1] += l2 * theta[:-1] / len(labels)
-        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
-        theta -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-10)
-    return Bag(float(theta[-1]), {w: float(x) for w, x in zip(vocabulary, theta) if x})
+    floor = 0.0
+    for part in range(2):
+        if part:
+            floor = data.floor_of(theta, clean_share)
+        m, v = np.zeros_like(theta), np.zeros_like(theta)
+        for step in range(1, rounds + 1):
+            _, grad = data.loss(theta, floor, l2)
+            m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
+            theta -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-10)
+    return Bag(float(theta[-1]), {w: float(x) for w, x in zip(vocabulary, theta) if x}, floor)
 
 
 SIGNIFICANCE, MOST = 14.0, 5_000
@@ -156,9 +192,8 @@ def train(docs: DataFrame, labels: DataFrame, parts: int = 4, held_out: int = 2,
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = sorted({w for _, _, s in sentences(text) for w in s})
-                yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array([label] * len(own), pa.int64())], ["word", "label"])
+            rows = [(w, label) for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for w in {w for _, _, s in sentences(text) for w in s}]
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows], pa.string()), pa.array([x for _, x in rows], pa.int64())], ["word", "label"])
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -173,14 +208,11 @@ def train(docs: DataFrame, labels: DataFrame, parts: int = 4, held_out: int = 2,
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            idle, bags = zip(*[reduced(t, index) for t in b.column(2).to_pylist()]) if b.num_rows else ((), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.int32()), pa.array(idle, pa.int64()), pa.array(bags, pa.list_(pa.list_(pa.int32())))],
-                                             ["doc_id", "label", "idle", "bag"])
-
-    bags = (rows.select("doc_id", "label", "text").mapInArrow(reduce, "doc_id long, label int, idle long, bag array<array<int>>")
-            .toArrow().sort_by("doc_id"))
-    return learn(((n.as_py(), bag.as_py()) for n, bag in zip(bags.column("idle"), bags.column("bag"))),
-                 np.array(bags.column("label").to_pylist(), float), vocabulary)
+            bags = [reduced(t, index) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.int32()), pa.array(bags, pa.list_(pa.list_(pa.int32())))], ["doc_id", "label", "bag"])
+
+    bags = rows.select("doc_id", "label", "text").mapInArrow(reduce, "doc_id long, label int, bag array<array<int>>").toArrow().sort_by("doc_id")
+    return learn((bag.as_py() for bag in bags.column("bag")), np.array(bags.column("label").to_pylist(), float), vocabulary)
 
 
 def score(docs: DataFrame, bag: Bag, keep: list[str] | None = None, threshold: float = 0.3) -> DataFrame:

@@ -101,6 +101,58 @@ def test_length_alone_is_not_toxic(spark):
     assert [planted[s.start:s.end].strip() for s in got[4].offending] == ["you are a stupid worthless idiot"]
 
 
+def test_all_clean_documents_together_stay_clean(spark):
+    """Over eight million characters of clean text, joined: weak evidence does not add up, and one planted sentence is found."""
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    bag = X.train(docs, labels)
+    clean = [r.text or "" for r in docs.join(labels.where("toxic = 0"), "doc_id").orderBy("doc_id").collect()]
+    joined = "\n".join(t for t in clean if bag.judge(t)[0] < 0.3)
+    planted = f"{joined}\nyou are a stupid worthless idiot.\n{joined[:1000]}"
+    assert len(joined) > 8_000_000 and bag.judge(joined)[0] < 0.3 <= bag.judge(planted)[0]
+    found = [planted[a:b].strip() for a, b, p in bag.judge(planted)[1] if p >= 0.3]
+    assert "you are a stupid worthless idiot" in found
+
+
+def plain_loss(bags, labels, theta, floor, l2):
+    """The likelihood bag by bag: a sentence offends with 1 - exp(-weight), a document if any sentence does."""
+    total = 0.0
+    for bag, label in zip(bags, labels):
+        clean = 1.0
+        for words in bag:
+            weight = max(np.log1p(np.exp(theta[-1] + sum(theta[w] for w in words))) - floor, 0)
+            clean *= 1 - (1 - np.exp(-weight))
+        total -= np.log(max(1 - clean, 1e-12) if label else clean)
+    return total / len(labels) + l2 * sum(t * t for t in theta[:-1]) / (2 * len(labels))
+
+
+@pytest.mark.parametrize("floor", [0.0, 0.3])
+def test_likelihood_and_gradient_equal_plain_ones(floor):
+    rng = np.random.default_rng(8)
+    bags = [[sorted(rng.choice(6, rng.integers(1, 4), False).tolist()) for _ in range(rng.integers(0, 5))] for _ in range(40)]
+    labels = rng.integers(0, 2, 40).astype(float)
+    theta = rng.normal(size=7)
+    data = X.Bags.of(bags, labels)
+    value, grad = data.loss(theta, floor, 0.1)
+    assert value == pytest.approx(plain_loss(bags, labels, theta, floor, 0.1))
+    for i in range(7):
+        up, down = theta.copy(), theta.copy()
+        up[i] += 1e-6
+        down[i] -= 1e-6
+        assert grad[i] == pytest.approx((plain_loss(bags, labels, up, floor, 0.1) - plain_loss(bags, labels, down, floor, 0.1)) / 2e-6, abs=1e-5)
+
+
+def test_the_score_is_the_fitted_model():
+    bag = X.Bag(-1.0, {"bad": 2.0, "worse": 3.0, "meh": 0.1}, 0.4)
+    weight = lambda *w: max(np.log1p(np.exp(-1.0 + sum(bag.weights[x] for x in w))) - 0.4, 0)
+    text = "A bad one. Worse and bad! Nothing here. meh\nBad one again. Worse, BAD."
+    total = weight("bad") + weight("bad", "worse") + weight("meh")
+    score, own = bag.judge(text)
+    assert score == pytest.approx(1 - np.exp(-total)) and [round(p, 9) for _, _, p in own] == [round(1 - np.exp(-weight(*w)), 9) for w in (("bad",), ("bad", "worse"), ("meh",), ("bad",), ("bad", "worse"))]
+    index = {w: i for i, w in enumerate(bag.weights)}
+    fitted = X.Bags.of([X.reduced(text, index)], np.ones(1)).loss(np.array([*bag.weights.values(), bag.bias]), bag.floor, 0.0)[0]
+    assert fitted == pytest.approx(-np.log(score))
+
+
 def test_long_labelled_texts_are_trained_on(spark):
     line = "some plain words of a page with nothing in it. "
     docs = spark.createDataFrame([(i, line * 600 + (f"what a nastyword you are {i}. " if i % 2 else "")) for i in range(120)], "doc_id long, text string")
