@@ -52,6 +52,19 @@ def rank_within(df: DataFrame, by, within=(), name: str = "rank", dense: bool =
     return df.withColumn(name, (F.dense_rank() if dense else F.rank()).over(w))
 
 
+def rank_visible(df: DataFrame, by: str, member: str, visible: Column | None = None, blank: str | None = X.UNKNOWN, name: str = "visible_rank") -> DataFrame:
+    """Dense rank among the members that a report shows; all other rows stay, without a rank.
+
+    ``visible`` is the condition of the shown set.  A row whose member is null or
+    ``blank``, or whose value is null, is suppressed.
+    """
+    shown = F.col(member).isNotNull() & F.col(by).isNotNull() & (F.lit(True) if visible is None else F.coalesce(visible, F.lit(False)))
+    if blank is not None:
+        shown = shown & (F.col(member) != blank)
+    ranked = df.withColumn("_shown", shown)
+    return ranked.withColumn(name, F.when(F.col("_shown"), F.dense_rank().over(Window.partitionBy("_shown").orderBy(F.col(by).desc())))).drop("_shown")
+
+
 def prev_change(df: DataFrame, order: str, value: str, within=(), prev: str = "previous", change: str = "change",
                 change_pct: str | None = None) -> DataFrame:
     """Previous row's value, the difference and the difference in percent."""

@@ -38,14 +38,14 @@ def left_anti_orphans(spark, folder):
     return QC.orphan_keys(table(spark, folder, "events"), "user_id", table(spark, folder, "supplier"), "s_suppkey")
 
 
-@query("j05_full_outer", "nationkey:i customers:i suppliers:i",
-       """WITH c AS (SELECT c_nationkey AS k, COUNT(*) AS n FROM customer WHERE c_acctbal < 0 GROUP BY 1),
-       s AS (SELECT s_nationkey AS k, COUNT(*) AS n FROM supplier WHERE s_acctbal > 5000 GROUP BY 1)
-       SELECT COALESCE(c.k, s.k) AS nationkey, COALESCE(c.n, 0) AS customers, COALESCE(s.n, 0) AS suppliers FROM c FULL JOIN s ON c.k = s.k""")
+@query("j05_full_outer", "key:i orders:i lines:i",
+       """WITH o AS (SELECT o_custkey AS k, COUNT(*) AS n FROM orders GROUP BY 1), l AS (SELECT l_suppkey AS k, COUNT(*) AS n FROM lineitem GROUP BY 1)
+       SELECT COALESCE(o.k, l.k) AS key, COALESCE(o.n, 0) AS orders, COALESCE(l.n, 0) AS lines FROM o FULL JOIN l ON o.k = l.k""")
 def full_outer(spark, folder):
-    c = table(spark, folder, "customer").filter("c_acctbal < 0").groupBy(F.col("c_nationkey").alias("nationkey")).agg(F.count("*").alias("customers"))
-    s = table(spark, folder, "supplier").filter("s_acctbal > 5000").groupBy(F.col("s_nationkey").alias("nationkey")).agg(F.count("*").alias("suppliers"))
-    return c.join(s, "nationkey", "full").fillna(0, ["customers", "suppliers"])
+    """Orders by customer key beside lines by supplier key: keys of either side alone count zero on the other."""
+    o = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("key")).agg(F.count("*").alias("orders"))
+    li = table(spark, folder, "lineitem").groupBy(F.col("l_suppkey").alias("key")).agg(F.count("*").alias("lines"))
+    return o.join(li, "key", "full").fillna(0, ["orders", "lines"])
 
 
 @query("j06_one_row_total", "event_type:s total_incidents:i incident_percentage:f6",
@@ -55,12 +55,17 @@ def one_row_total(spark, folder):
 
 
 @query("j07_multi_left_null_test", "check_name:s issues:i",
-       """SELECT 'l_suppkey' AS check_name, COUNT(*) FILTER (WHERE s_suppkey IS NULL) AS issues FROM lineitem LEFT JOIN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) ON l_suppkey = s_suppkey
-       UNION ALL SELECT 'l_partkey', COUNT(*) FILTER (WHERE p_partkey IS NULL) FROM lineitem LEFT JOIN (SELECT p_partkey FROM part WHERE p_size < 40) ON l_partkey = p_partkey""")
+       """WITH l AS (SELECT l_suppkey, l_partkey FROM lineitem UNION ALL SELECT -s_suppkey, NULL FROM supplier UNION ALL SELECT NULL, -p_partkey FROM part)
+       SELECT 'l_suppkey' AS check_name, COUNT(*) FILTER (WHERE s_suppkey IS NULL AND l_suppkey IS NOT NULL) AS issues FROM l LEFT JOIN supplier ON l_suppkey = s_suppkey
+       UNION ALL SELECT 'l_partkey', COUNT(*) FILTER (WHERE p_partkey IS NULL AND l_partkey IS NOT NULL) FROM l LEFT JOIN part ON l_partkey = p_partkey""")
 def multi_left_null_test(spark, folder):
-    s = table(spark, folder, "supplier").filter("s_acctbal > 0")
-    p = table(spark, folder, "part").filter("p_size < 40")
-    return QC.orphans_in_one_pass(table(spark, folder, "lineitem"), [("l_suppkey", s, "s_suppkey"), ("l_partkey", p, "p_partkey")])
+    """Orphans are planted as further lines: one for each supplier and one for each part."""
+    s, p = table(spark, folder, "supplier"), table(spark, folder, "part")
+    lines = table(spark, folder, "lineitem").select("l_suppkey", "l_partkey")
+    none = F.lit(None).cast("long")
+    lines = lines.unionByName(s.select((-F.col("s_suppkey")).alias("l_suppkey"), none.alias("l_partkey"))).unionByName(
+        p.select(none.alias("l_suppkey"), (-F.col("p_partkey")).alias("l_partkey")))
+    return QC.orphans_in_one_pass(lines, [("l_suppkey", s, "s_suppkey"), ("l_partkey", p, "p_partkey")])
 
 
 @query("j08_group_to_parent", "borough:s incident_disposition_code:s total_incidents:i parent_incidents:i parent_percentage:f6",

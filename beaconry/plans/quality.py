@@ -141,11 +141,15 @@ def dimension_keys(spark, folder):
 
 
 def incomplete_dims(spark, folder):
-    """The dimensions with a few members taken out, to make lookups fail."""
+    """The dimensions with code and key of a few members changed, to make lookups fail."""
     dims = dict(A.star(spark, folder)[1])
-    dims["call_type"] = dims["call_type"].filter("call_type <> 'REVIEW'")
-    dims["disposition"] = dims["disposition"].filter("disposition_code NOT IN ('X99', 'ZZZZZZ')")
-    dims["severity"] = dims["severity"].filter("severity_level_code <> 3")
+    spoilt = {"call_type": ("call_type", "call_type = 'REVIEW'"), "disposition": ("disposition_code", "disposition_code IN ('X99', 'ZZZZZZ')"),
+              "severity": ("severity_level_code", "severity_level_code = 3")}
+    for name, (code, which) in spoilt.items():
+        key = f"{name}_key"
+        other = F.concat(F.lit("renamed "), code) if name != "severity" else F.col(code) + 90
+        hit = F.expr(which)
+        dims[name] = dims[name].withColumns({key: F.when(hit, -F.col(key)).otherwise(F.col(key)), code: F.when(hit, other).otherwise(F.col(code))})
     return dims
 
 

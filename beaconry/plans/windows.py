@@ -98,11 +98,12 @@ def dense_numbering(spark, folder):
 
 
 @query("w11_dense_rank_visible", "zipcode:s total_incidents:i visible_rank:i",
-       f"""WITH {O.EV} SELECT zipcode, COUNT(*) AS total_incidents, DENSE_RANK() OVER (ORDER BY COUNT(*) DESC) AS visible_rank FROM ev
-       WHERE zipcode <> 'UNKNOWN' AND incident_hour < 12 GROUP BY 1""")
+       f"""WITH {O.EV}, g AS (SELECT zipcode, COUNT(*) AS total_incidents, zipcode <> 'UNKNOWN' AND zipcode < '10030' AS shown FROM ev GROUP BY 1)
+       SELECT zipcode, total_incidents, CASE WHEN shown THEN DENSE_RANK() OVER (PARTITION BY shown ORDER BY total_incidents DESC) END AS visible_rank FROM g""")
 def dense_rank_visible(spark, folder):
-    seen = A.event_view(spark, folder, area=False).filter("zipcode <> 'UNKNOWN' AND incident_hour < 12")
-    return AN.rank_within(AN.counts(seen, ["zipcode"]), "total_incidents", name="visible_rank", dense=True)
+    """All areas; a rank for those a report shows, none for the others and for the unknown one."""
+    g = AN.counts(A.event_view(spark, folder, area=False), ["zipcode"])
+    return AN.rank_visible(g, "total_incidents", "zipcode", F.col("zipcode") < "10030")
 
 
 @query("w12_rank_two_measures", "incident_hour:i total_incidents:i average_response_seconds:f6 combined_rank:i",

@@ -90,10 +90,12 @@ def list_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
 
 
 def storage_detail(spark: SparkSession, path: str, partition_by: str) -> DataFrame:
-    """Files and bytes per partition folder, and the rows stored there."""
+    """Format, partition columns, files and bytes per partition folder, and the rows stored there."""
+    folders = F.regexp_extract_all("file_path", F.lit("/([^/=]+)=[^/]*(?=/)"), 1)
     files = list_files(spark, path, ".parquet").groupBy(
         F.regexp_extract("file_path", f"/{partition_by}=([^/]*)/", 1).alias(partition_by)).agg(
-        F.count("*").alias("n_files"), F.sum("file_bytes").alias("n_bytes"))
+        F.count("*").alias("n_files"), F.sum("file_bytes").alias("n_bytes"),
+        F.max(F.regexp_extract("file_path", r"\.([a-z]+)$", 1)).alias("format"), F.max(F.array_join(folders, ",")).alias("partition_columns"))
     rows = spark.read.parquet(path).groupBy(F.col(partition_by).cast("string").alias(partition_by)).agg(F.count("*").alias("n_rows"))
     return files.join(rows, partition_by, "left")
 
