@@ -65,13 +65,15 @@ def near_hash(rows: DataFrame, key: str, limit: int, total: int, spread: int) ->
     return rows.where(F.pmod(F.xxhash64(key), F.lit(2 ** 40)) < int(share * 2 ** 40))
 
 
-def sampled_texts(docs: DataFrame, pattern: str, max_rows: int, max_bytes: int, spread: int = 8) -> list[str]:
-    """At most ``max_rows`` different texts of at most ``max_bytes`` bytes with a match of ``pattern``, by a hash of the text.
+def sampled_texts(docs: DataFrame, pattern: str, max_rows: int, max_bytes: int, spread: int = 8, without: bool = False) -> list[str]:
+    """At most ``max_rows`` different texts of at most ``max_bytes`` bytes with (or without) a match of ``pattern``, by a hash of the text.
 
-    For training only. They come from the first ``spread * max_rows`` rows or so in the order of that hash.
+    For training only. The rows that fit are counted first, so that rare ones fill the bound as well; the sample is taken from
+    the first ``spread * max_rows`` of them or so in the order of the hash.
     """
-    rows = documents(docs).select("text").where((F.octet_length("text") <= max_bytes) & F.coalesce(F.col("text").rlike(pattern), F.lit(False)))
-    near = near_hash(rows, "text", max_rows, docs.count(), spread).distinct()
+    match = F.coalesce(F.col("text").rlike(pattern), F.lit(False))
+    rows = documents(docs).select("text").where((F.octet_length("text") <= max_bytes) & (~match if without else match))
+    near = near_hash(rows, "text", max_rows, rows.count(), spread).distinct()
     return [r.text for r in near.orderBy(F.xxhash64("text"), "text").limit(max_rows).collect()]
 
 
