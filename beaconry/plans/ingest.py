@@ -10,7 +10,7 @@ from beaconry.operators import quality as QC
 from beaconry.plans import analogs as A
 from beaconry.plans import oracle as O
 from beaconry.plans.registry import query
-from beaconry.session import new_folder, pin
+from beaconry.session import new_folder, pin, streamed_writes
 from beaconry.sources import raw as R
 from beaconry.sources import tables as T
 from beaconry.sources import versions as V
@@ -53,7 +53,8 @@ def _faulty_files(spark, folder) -> str:
     root = new_folder(spark, "faulty-raw")
     raw = A.raw_events(spark, folder)
     text = [c for c in raw.columns if c != "year"]
-    raw.repartition(3).write.partitionBy("year").option("header", True).option("emptyValue", "").csv(root)
+    with streamed_writes(spark):
+        raw.repartition(3).write.partitionBy("year").option("header", True).option("emptyValue", "").csv(root)
     few = spark.range(1).select(*[F.lit("x").alias(c) for c in text])
     bad = {"year=1991/extra": few, "year=1992/short": few.select(*text[:5]), "year=1992/other": few.withColumnRenamed(text[0], "another_name"), "year=1992/headed": few.limit(0)}
     for name, df in bad.items():
