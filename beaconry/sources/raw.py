@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from beaconry.functions import blank_to_null
 from beaconry.functions import exprs as X
+from beaconry.session import streamed_writes
 from beaconry.sources.tables import list_files
 
 # The raw incident layout, in file order.
@@ -52,10 +53,13 @@ def write_raw(df: DataFrame, path: str, by: str) -> None:
     """Write text columns as headed CSV in ``by=value`` folders.
 
     ``by`` stays in the folder name only, so the files keep the fixed layout.
+    Every task writes its own rows as they come, a file for each folder it
+    meets: no shuffle and no sort holds them.
     """
-    (df.hint("rebalance", F.col(by)).write.partitionBy(by)
-     .option("header", True).option("emptyValue", "").option("nullValue", "")
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    with streamed_writes(df.sparkSession):
+        (df.write.partitionBy(by)
+         .option("header", True).option("emptyValue", "").option("nullValue", "")
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def file_inventory(spark: SparkSession, root: str, expected: DataFrame) -> DataFrame:
