@@ -77,7 +77,8 @@ def file_profile(spark: SparkSession, root: str, columns=RAW_COLUMNS, expected:
 
     The first line of a file, found by its position in the file, is its header;
     blank lines are no rows. Lines are counted in one grouped pass, so a single
-    large file is still read by many tasks. ``expected(file_path)`` names the files
+    large file is still read by many tasks; of a line only numbers go into it, so
+    that it is no sort of all lines. ``expected(file_path)`` names the files
     that should be there, and brings in missing ones. The first rule that holds
     gives the status: missing, empty, blank header, column count, header text, no
     rows.
@@ -87,16 +88,18 @@ def file_profile(spark: SparkSession, root: str, columns=RAW_COLUMNS, expected:
              .select("value", F.col("_metadata.file_path").alias("file_path"), F.monotonically_increasing_id().alias("at"),
                      (F.col("_metadata.file_block_start") == 0).alias("front")))
     blank = F.trim("value") == ""
+    fields = F.length("value") - F.length(F.replace("value", F.lit(","))) + 1
+    shape = F.when(blank, 0).otherwise(fields * 2 + (F.col("value") == header).cast("int"))  # of a line that may be the header
     counted = lines.groupBy("file_path").agg(
-        F.count_if(~blank).alias("filled"), F.min_by("value", F.when(F.col("front"), F.col("at"))).alias("header"))
+        F.count_if(~blank).alias("filled"), F.min_by(F.when(F.col("front"), shape), F.when(F.col("front"), F.col("at"))).alias("shape"))
     out = list_files(spark, root, ".csv").join(counted, "file_path", "left")
     if expected is not None:
         out = out.join(expected.select("file_path").withColumn("_wanted", F.lit(True)), "file_path", "full").drop("_wanted")
-    has_header = F.trim(F.coalesce("header", F.lit(""))) != ""
+    has_header = F.coalesce("shape", F.lit(0)) != 0
     out = out.withColumns({
-        "column_count": F.when(has_header, F.size(F.split("header", ","))),
-        "header_ok": F.coalesce(F.col("header") == header, F.lit(False)),
-        "data_rows": F.coalesce(F.col("filled") - has_header.cast("int"), F.lit(0))}).drop("filled", "header")
+        "column_count": F.when(has_header, F.shiftright("shape", 1)),
+        "header_ok": F.coalesce(F.col("shape") % 2 == 1, F.lit(False)),
+        "data_rows": F.coalesce(F.col("filled") - has_header.cast("int"), F.lit(0))}).drop("filled", "shape")
     return out.withColumn("status", X.first_match([
         (F.col("file_bytes").isNull(), "MISSING_FILE"), (F.col("file_bytes") == 0, "EMPTY_FILE"), (F.col("column_count").isNull(), "BLANK_HEADER"),
         (F.col("column_count") != len(columns), "COLUMN_COUNT_MISMATCH"), (~F.col("header_ok"), "HEADER_MISMATCH"),
