@@ -83,19 +83,17 @@ def shuffles_deleted(spark: SparkSession):
 
 @contextmanager
 def streamed_writes(spark: SparkSession):
-    """Rows go to their partition folders and into ``repartition(n)`` as they come, without a sort that holds a task's rows in memory.
+    """Rows go to their partition folders as they come, without a sort that holds a task's rows in memory.
 
     A task keeps a file open for each folder it meets, a hundred at most; only the rows of further folders are sorted.
     """
-    wanted = {"spark.sql.maxConcurrentOutputFileWriters": "100", "spark.sql.execution.sortBeforeRepartition": "false"}
-    before = {name: spark.conf.get(name) for name in wanted}
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "100")
     try:
-        for name, value in wanted.items():
-            spark.conf.set(name, value)
         yield
     finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+        spark.conf.set(name, before)
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
