@@ -96,6 +96,25 @@ def streamed_writes(spark: SparkSession):
         spark.conf.set(name, before)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, megabytes: int = 4):
+    """Rows go to Python in batches of so many bytes, however wide they are; a wider row goes alone.
+
+    Spark's own bounds, 10,000 rows and 64 MB, are held several times for each task: while a batch is written, by the process that
+    reads it, and once more as Python's own values. What is stored inside is made so; a lazy frame that leaves is not.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(megabytes << 20))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """Path of a fresh sub-folder of the scratch folder (not created)."""
     return f"{scratch_dir(spark)}/beaconry/{_SCOPE.get()}{os.path.basename(label)}-{uuid.uuid4().hex}"
