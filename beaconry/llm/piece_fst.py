@@ -11,7 +11,8 @@ weighs nothing if merging the two pieces' text gives back these two, otherwise i
 one that merging gives, and it is found by depth-first search, longest pieces first, over states (position, last piece).
 
 The lattice falls apart wherever no piece crosses from one character to the next, at least before every word, so words are
-encoded once and remembered by the worker process, up to a fixed number.
+encoded once and remembered by the worker process, up to a fixed number. So are the arcs that start with the same four
+characters and the weights of pairs of pieces, as most words of a corpus are rare but made of the same pieces.
 
 Defined results: a null text counts as empty and gives no pieces; every other text is encoded whole; characters outside the
 alphabet become byte pieces and decode to themselves; a literal space mark decodes to a space, as the model defines;
@@ -23,8 +24,10 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,10 @@ from pyspark.sql import DataFrame
 from beaconry.llm.common import documents
 
 MARK = "▁"
+#: Characters by which the arcs from a position are looked up.
+HEAD = 4
+#: Most heads, and most pairs of pieces, that a machine remembers before it starts anew.
+MOST = 200_000
 
 
 class Memory:
@@ -54,8 +61,9 @@ class Memory:
             self.young[key] = value
 
 
-#: Memories of this worker process by model, so that its tasks share them.
+#: Memories of this worker process by model, and the machine with what it remembers itself, so that its tasks share them.
 _MEMORIES: dict[str, tuple[Memory, Memory]] = {}
+_MACHINES: dict[str, Machine] = {}
 
 
 def merge(symbols: list[str], rank: dict[str, float]) -> list[str]:
@@ -131,12 +139,22 @@ class Machine:
                     return True
                 a = a2
 
-    def arcs(self, text: str, at: int) -> Iterator[int]:
-        """Pieces that start at a position, longest first. The first two characters bound the length."""
-        get = self.number.get
-        for end in range(min(at + self.longest.get(text[at:at + 2], 1), len(text)), at, -1):
-            if (p := get(text[at:end])) is not None:
-                yield p
+    def head(self, first: str) -> tuple[Sequence[int], list[int]]:
+        """Lengths over :data:`HEAD` of the pieces that start so, longest first, and the pieces among the prefixes of ``first`` itself."""
+        if len(self.heads) >= MOST:
+            self.heads.clear()
+        short = [p for n in range(len(first), 0, -1) if (p := self.number.get(first[:n])) is not None]
+        found = self.heads[first] = self.lengths.get(first, ()), short
+        return found
+
+    def arcs(self, text: str, at: int) -> Sequence[int]:
+        """Pieces that start at a position, longest first."""
+        first = text[at:at + HEAD]
+        long, short = self.heads.get(first) or self.head(first)
+        if not long:
+            return short
+        get, left = self.number.get, len(text) - at
+        return [p for n in long if n <= left and (p := get(text[at:at + n])) is not None] + short
 
     def path(self, text: str) -> list[int]:
         """Shortest path over a text of known characters, as piece numbers."""
@@ -157,33 +175,50 @@ class Machine:
 
     def _only(self, text: str) -> list[int]:
         """The one path of finite weight. A state that led nowhere is never entered again."""
+        whole = self.number.get(text)
+        if whole is not None:
+            return [whole]
         dead: set[tuple[int, int]] = set()
         path: list[int] = []
-        ends = [0]
-        open_ = [self.arcs(text, 0)]
-        last = -1
-        while ends[-1] < len(text):
-            at = ends[-1]
+        open_ = [iter(self.arcs(text, 0))]
+        at, last, n, width, pairs = 0, -1, len(self.ids), self.width, self.pairs
+        if len(pairs) >= MOST:
+            pairs.clear()
+        while at < len(text):
             for p in open_[-1]:
-                end = at + self.width[p]
-                if (end, p) not in dead and (last < 0 or self.fits(last, p)):
-                    path.append(p)
-                    ends.append(end)
-                    open_.append(self.arcs(text, end))
-                    last = p
-                    break
+                if dead and (at + width[p], p) in dead:
+                    continue
+                if last >= 0:
+                    fits = pairs.get(last * n + p)
+                    if fits is None:
+                        fits = pairs[last * n + p] = self.fits(last, p)
+                    if not fits:
+                        continue
+                path.append(p)
+                at += width[p]
+                open_.append(iter(self.arcs(text, at)))
+                last = p
+                break
             else:
                 if not path:
                     raise ValueError("no path through a text of known characters")
                 dead.add((at, last))
-                path.pop(), ends.pop(), open_.pop()
+                path.pop(), open_.pop()
+                at -= width[last]
                 last = path[-1] if path else -1
         return path
 
     def __post_init__(self) -> None:
         self.width = [0] * len(self.ids)
+        lengths: dict[str, set[int]] = {}
         for piece, n in self.number.items():
             self.width[n] = len(piece)
+            if len(piece) > HEAD:
+                lengths.setdefault(piece[:HEAD], set()).add(len(piece))
+        self.lengths = {first: sorted(found, reverse=True) for first, found in lengths.items()}
+        self.known = frozenset(c for c in self.longest if len(c) == 1)
+        self.heads: dict[str, tuple[Sequence[int], list[int]]] = {}
+        self.pairs: dict[int, bool] = {}
 
     def chunk(self, text: str, memory: Memory) -> list[int]:
         """Model ids of a normalised chunk: perhaps a run of marks, then a word without marks inside."""
@@ -199,8 +234,15 @@ class Machine:
                 ids = ids[1:]
             return [self.run_ids[p] for p in merge([MARK] * run, self.run_rank)] + ids
         start = 0
+        if self.known.issuperset(text):
+            for i, pair in enumerate(map(add, text, text[1:]), 1):
+                if pair not in self.crossed:
+                    out += self.segment(text[start:i], memory)
+                    start = i
+            out += self.segment(text[start:], memory)
+            return out
         for i, c in enumerate(text):
-            if c not in self.longest:
+            if c not in self.known:
                 if start < i:
                     out += self.segment(text[start:i], memory)
                 out += [self.byte_ids[b] for b in c.encode("utf-8", "surrogatepass")]
@@ -212,11 +254,11 @@ class Machine:
             out += self.segment(text[start:], memory)
         return out
 
-    def segment(self, text: str, memory: Memory) -> list[int]:
+    def segment(self, text: str, memory: Memory) -> tuple[int, ...]:
         """Model ids of a text of known characters that no border of the lattice cuts."""
         ids = memory.get(text)
         if ids is None:
-            ids = [self.ids[p] for p in self.path(text)]
+            ids = tuple(map(self.ids.__getitem__, self.path(text)))
             memory.put(text, ids)
         return ids
 
@@ -225,13 +267,14 @@ class Machine:
 
     def encode(self, text: str, words: Memory, segments: Memory) -> np.ndarray:
         """Model ids of a whole text; the memories keep the encodings of words and of segments of words."""
-        parts = []
-        for word in self.words.findall(self.normalised(text)):
-            ids = words.get(word)
+        found = self.words.findall(self.normalised(text))
+        parts = list(map(words.young.get, found))
+        for i in [i for i, ids in enumerate(parts) if ids is None]:
+            ids = words.get(found[i])
             if ids is None:
-                ids = np.array(self.chunk(word, segments), np.int32).tobytes()
-                words.put(word, ids)
-            parts.append(ids)
+                ids = array("i", self.chunk(found[i], segments)).tobytes()
+                words.put(found[i], ids)
+            parts[i] = ids
         return np.frombuffer(b"".join(parts), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
@@ -298,15 +341,16 @@ def _inside(piece: str, rank: dict[str, float]) -> dict[str, float]:
 def encode(docs: DataFrame, machine: Machine) -> DataFrame:
     """``doc_id, ids, n_pieces, n_bytes, round_trip`` of every document; one pass, no shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _MACHINES.setdefault(machine.name, machine)
         words, segments = _MEMORIES.setdefault(machine.name, (Memory(), Memory()))
-        fallback = np.isin(np.arange(max(machine.decoded) + 1), machine.byte_ids)
+        fallback = np.isin(np.arange(max(own.decoded) + 1), own.byte_ids)
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
                 texts = [t or "" for t in part.column(1).to_pylist()]
-                ids = [machine.encode(t, words, segments) for t in texts]
+                ids = [own.encode(t, words, segments) for t in texts]
                 offsets = np.append(0, np.cumsum([len(x) for x in ids])).astype(np.int32)
-                same = [machine.decode(x) == t.replace(MARK, " ") for x, t in zip(ids, texts)]
+                same = [own.decode(x) == t.replace(MARK, " ") for x, t in zip(ids, texts)]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))),
                     pa.array([len(x) for x in ids], pa.int32()), pa.array([int(fallback[x].sum()) for x in ids], pa.int32()), pa.array(same, pa.bool_())],

@@ -41,6 +41,34 @@ def test_random_texts_equal_the_library(machine, library):
         assert machine.encode("a" + " " * n + "b", words, segments).tolist() == library.encode("a" + " " * n + "b")
 
 
+def test_pairs_of_pieces_are_weighed_once(machine, library, monkeypatch):
+    """Rare words are made of the same pieces: what two of them weigh, and which start at a head, is remembered up to a bound."""
+    asked = []
+    fits = M.Machine.fits
+    monkeypatch.setattr(M.Machine, "fits", lambda self, a, b: asked.append((a, b)) or fits(self, a, b))
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(["th", "er", "on", "ing", "a", "tion", "qu", "zz", "é"]) for _ in range(rng.randint(3, 14))) for _ in range(3000)]
+    machine.pairs.clear()
+    for t in texts:
+        assert machine.encode(t, M.Memory(), M.Memory()).tolist() == library.encode(t)
+    assert len(asked) == len(set(asked)) < M.MOST
+    monkeypatch.setattr(M, "MOST", 20)
+    machine.heads.clear()
+    for t in texts[:500]:
+        assert machine.encode(t, M.Memory(), M.Memory()).tolist() == library.encode(t)
+        assert len(machine.heads) <= 20
+
+
+def test_arcs_are_all_pieces_longest_first(machine):
+    rng = random.Random(7)
+    pieces = sorted(machine.number)
+    for _ in range(500):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 4)))
+        for at in range(len(text)):
+            every = [machine.number[text[at:end]] for end in range(len(text), at, -1) if text[at:end] in machine.number]
+            assert list(machine.arcs(text, at)) == every
+
+
 def test_documents_equal_the_library_and_come_back(spark, machine, library):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
